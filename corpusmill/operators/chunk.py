@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.arrays import let
+from corpusmill.schemas import fields
 
 MAX_CHARS, NEW_AFTER, OVERLAP = 2048, 1500, 0
 
@@ -234,10 +235,8 @@ def _chunk_large(
         F.posexplode(_all_pieces(F.array("e"), max_chars, overlap)).alias("piece", "p"),
     ).withColumn("block", F.floor(F.col("pos") / block_elements).cast("int"))
 
-    def ids(fields: str) -> T.StructType:
-        return T.StructType(
-            [T.StructField("doc_id", id_type), *T.StructType.fromDDL(fields).fields]
-        )
+    def ids(**types: str) -> T.StructType:
+        return fields(doc_id=id_type, **types)
 
     def to_map(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["pos", "piece"])
@@ -249,7 +248,7 @@ def _chunk_large(
     maps = (
         parts.select("doc_id", "block", "pos", "piece", "p.len", "p.brk")
         .groupBy("doc_id", "block")
-        .applyInPandas(to_map, ids("block INT, reached BINARY"))
+        .applyInPandas(to_map, ids(block="integer", reached="binary"))
         .withColumn("span", F.floor(F.col("block") / span_blocks).cast("int"))
     )
 
@@ -270,9 +269,9 @@ def _chunk_large(
 
     spans = (
         maps.groupBy("doc_id", "span")
-        .applyInPandas(chain, ids("span INT, reached BINARY"))
+        .applyInPandas(chain, ids(span="integer", reached="binary"))
         .groupBy("doc_id")
-        .applyInPandas(span_entries, ids("span INT, entry INT"))
+        .applyInPandas(span_entries, ids(span="integer", entry="integer"))
     )
 
     def block_entries(blocks: pd.DataFrame, span: pd.DataFrame) -> pd.DataFrame:
@@ -285,7 +284,7 @@ def _chunk_large(
     entries = (
         maps.groupBy("doc_id", "span")
         .cogroup(spans.groupBy("doc_id", "span"))
-        .applyInPandas(block_entries, ids("block INT, entry INT"))
+        .applyInPandas(block_entries, ids(block="integer", entry="integer"))
     )
 
     blocks = (

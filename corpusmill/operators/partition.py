@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.arrays import lookup
-from corpusmill.schemas import METADATA_TYPE
+from corpusmill.schemas import METADATA_TYPE, fields
 
 # fixed values: element type by tag, category by element type
 TAG_TYPES = {
@@ -169,12 +169,10 @@ def partition_with(
     source = df.select(*columns)
     out = T.StructType(
         [T.StructField("doc_id", source.schema["doc_id"].dataType)]
-        + list(
-            T.StructType.fromDDL(
-                "pos INT, type STRING, text STRING, filename STRING, filetype STRING, "
-                "page_number INT"
-            ).fields
-        )
+        + fields(
+            pos="integer", type="string", text="string", filename="string", filetype="string",
+            page_number="integer",
+        ).fields
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

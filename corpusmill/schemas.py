@@ -6,16 +6,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-RECORD_SCHEMA = T.StructType.fromDDL(
-    """
-    id STRING, timestamp TIMESTAMP_NTZ, customer_name STRING, sales_representative STRING,
-    product_line STRING, product_model STRING, product_category STRING, price DOUBLE,
-    retailer STRING, location_city STRING, region STRING, interaction_type STRING,
-    interaction_text STRING, text STRING, quarter STRING, year INT, month STRING,
-    day_of_week STRING, customer_segment STRING, sales_channel STRING, lead_source STRING,
-    deal_stage STRING, revenue_potential DOUBLE, customer_priority STRING,
-    follow_up_required BOOLEAN, notes STRING
-    """
+
+
+def fields(**types: str | T.DataType) -> T.StructType:
+    """A struct type from field names and types; needs no running session."""
+    struct = T.StructType()
+    for name, kind in types.items():
+        struct.add(name, kind)
+    return struct
+
+
+RECORD_SCHEMA = fields(
+    id="string", timestamp="timestamp_ntz", customer_name="string",
+    sales_representative="string", product_line="string", product_model="string",
+    product_category="string", price="double", retailer="string", location_city="string",
+    region="string", interaction_type="string", interaction_text="string", text="string",
+    quarter="string", year="integer", month="string", day_of_week="string",
+    customer_segment="string", sales_channel="string", lead_source="string",
+    deal_stage="string", revenue_potential="double", customer_priority="string",
+    follow_up_required="boolean", notes="string",
 )
 
 # what a hand-written single record carries; the other fields stay NULL
@@ -25,16 +34,12 @@ PARTIAL_RECORD_FIELDS = (
     "interaction_text", "text", "quarter", "year", "month", "day_of_week",
 )
 
-METADATA_TYPE = T.StructType.fromDDL("filename STRING, filetype STRING, page_number INT")
-
-ELEMENT_TYPE = T.StructType.fromDDL("type STRING, category STRING, text STRING")
+METADATA_TYPE = fields(filename="string", filetype="string", page_number="integer")
 
-POINT_SCHEMA = T.StructType.fromDDL(
-    """
-    id STRING, vector ARRAY<FLOAT>,
-    payload STRUCT<type: STRING, category: STRING, text: STRING,
-                   metadata: STRUCT<filename: STRING, filetype: STRING, page_number: INT>>
-    """
+POINT_SCHEMA = fields(
+    id="string",
+    vector=T.ArrayType(T.FloatType()),
+    payload=fields(type="string", category="string", text="string", metadata=METADATA_TYPE),
 )
 
 
