@@ -20,47 +20,70 @@ DIM = 1536
 
 
 def _signed_codes(text: Column, dim: int) -> Column:
-    """Sorted ``2 * coordinate + (1 if negative)``, one per token."""
+    """Sorted ``2 * coordinate + (1 if negative)``, one per token.
 
-    def code(token: Column) -> Column:
-        return let(
-            F.md5(token.cast("binary")),
-            lambda h: F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % dim * 2
-            + F.conv(F.substring(h, 9, 2), 16, 10).cast("bigint") % 2,
-        ).cast("int")
+    The first eight hex digits of the digest choose the coordinate, the next
+    two the sign (even is positive); all ten are read as one number.
+    """
 
-    return F.sort_array(F.transform(tokens(text), code))
+    numbers = F.transform(
+        tokens(text),
+        lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 10), 16, 10).cast("bigint"),
+    )
+    # a second pass, so that the number is read once and used twice
+    return F.sort_array(
+        F.transform(
+            numbers, lambda v: (F.shiftright(v, 8) % dim * 2 + v.bitwiseAND(1)).cast("int")
+        )
+    )
 
 
 def hashed_counts(text: Column | str, dim: int = DIM) -> Column:
     """Array of (dim, n): the signed token count of every coordinate that is not zero.
 
-    Runs of the sorted codes are folded inside the row, so no token ever
-    leaves its task; the array built is bounded by ``dim``.
+    Works on runs of equal sorted codes inside the row, so no token ever
+    leaves its task. A run is known by its last index, its length is the
+    distance to the run before, and the two runs of a coordinate are neighbours.
     """
     text = F.col(text) if isinstance(text, str) else text
-    zero = F.struct(
-        F.array().cast("array<struct<dim:int,n:int>>").alias("done"),
-        F.lit(-1).alias("dim"),
-        F.lit(0).alias("n"),
-    )
 
-    def closed(acc: Column) -> Column:
-        return F.when(
-            acc["n"] != 0,
-            F.array_append(acc["done"], F.struct(acc["dim"].alias("dim"), acc["n"].alias("n"))),
-        ).otherwise(acc["done"])
-
-    def merge(acc: Column, code: Column) -> Column:
-        at, sign = F.shiftright(code, 1), F.lit(1) - code.bitwiseAND(1) * 2
-        same = acc["dim"] == at
-        return F.struct(
-            F.when(same, acc["done"]).otherwise(closed(acc)).alias("done"),
-            at.alias("dim"),
-            F.when(same, acc["n"] + sign).otherwise(sign).alias("n"),
+    def run_ends(codes: Column) -> Column:
+        # a code that differs from its successor ends a run; the last one always does
+        marked = F.transform(
+            codes,
+            lambda c, i: F.when(
+                ~F.get(codes, i + 1).eqNullSafe(c), F.struct(i.alias("i"), c.alias("code"))
+            ),
         )
+        return F.filter(marked, lambda e: e.isNotNull())
+
+    def lengths(ends: Column) -> Column:
+        return F.transform(
+            ends,
+            lambda e, k: F.struct(
+                e["code"].alias("code"),
+                (e["i"] - F.coalesce(F.get(ends, k - 1)["i"], F.lit(-1))).alias("n"),
+            ),
+        )
+
+    def signed(runs: Column) -> Column:
+        def weigh(r: Column, k: Column) -> Column:
+            after, before = F.get(runs, k + 1), F.get(runs, k - 1)
+            minus = F.when(after["code"] == r["code"] + 1, after["n"]).otherwise(0)
+            positive = F.struct(
+                F.shiftright(r["code"], 1).alias("dim"), (r["n"] - minus).alias("n")
+            )
+            negative = F.struct(F.shiftright(r["code"], 1).alias("dim"), (-r["n"]).alias("n"))
+            return F.when(r["code"].bitwiseAND(1) == 0, positive).when(
+                ~before["code"].eqNullSafe(r["code"] - 1), negative
+            )
 
-    return F.aggregate(_signed_codes(text, dim), zero, merge, closed)
+        return F.filter(F.transform(runs, weigh), lambda w: w.isNotNull() & (w["n"] != 0))
+
+    return let(
+        _signed_codes(text, dim),
+        lambda codes: let(run_ends(codes), lambda ends: let(lengths(ends), signed)),
+    )
 
 
 def hashed_sparse(text: Column | str, dim: int = DIM) -> Column:

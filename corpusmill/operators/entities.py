@@ -84,25 +84,27 @@ def gazetteer_entities(
     ).first()
     lengths = measured["lengths"] or [1]
 
-    def runs(n: int) -> Column:
-        t = F.col("_tokens")
-        starts = F.when(
-            F.size(t) >= n, F.sequence(F.lit(0), F.size(t) - F.lit(n))
-        ).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                i.alias("pos"),
+    # One row per token with the tokens that follow it. The shifted arrays share
+    # the token strings; the runs are put together in generated code.
+    tokenized = df.select(F.col(doc_id).alias("doc_id"), F.explode(F.array(tokens(text))).alias("t"))
+    shifted = [
+        F.slice("t", F.lit(k + 1), F.greatest(F.size("t") - k, F.lit(0))).alias(f"t{k}")
+        for k in range(max(lengths))
+    ]
+    following = tokenized.select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
+    runs = F.array(
+        *(
+            F.struct(
                 F.lit(n).alias("n"),
-                F.array_join(F.slice(t, i + 1, n), " ").alias("phrase"),
-            ),
+                F.when(
+                    F.col(f"z.t{n - 1}").isNotNull(),
+                    F.concat_ws(" ", *(F.col(f"z.t{k}") for k in range(n))),
+                ).alias("phrase"),
+            )
+            for n in lengths
         )
-
-    # through an explode of one entry, so that the tokens are computed once per text
-    tokenized = df.select(
-        F.col(doc_id).alias("doc_id"), F.explode(F.array(tokens(text))).alias("_tokens")
     )
-    windows = tokenized.select("doc_id", F.inline(F.flatten(F.array(*map(runs, lengths)))))
+    windows = following.select("doc_id", "pos", F.inline(runs)).where(F.col("phrase").isNotNull())
     names = names.drop("n")
     if measured["bytes"] <= broadcast_bytes:
         matches = windows.join(F.broadcast(names), "phrase")

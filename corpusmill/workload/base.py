@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.session import spread
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,7 +56,8 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")
     )
     joined = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        spread(orders)
+        .join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
     )

@@ -16,6 +16,7 @@ from corpusmill.operators.aggregates import (
     table_stats, terms,
 )
 from corpusmill.plans.reports import RecordReport
+from corpusmill.session import spread
 from corpusmill.sources.files import scan_documents, url_manifest, validate_manifest
 from corpusmill.sources.records import Catalog, records_for
 from corpusmill.sources.tables import sample_rows
@@ -113,7 +114,7 @@ def match_keyword_(spark, sf_dir):
 )
 def match_any(spark, sf_dir):
     return (
-        load(spark, sf_dir, "documents")
+        spread(load(spark, sf_dir, "documents"))
         .where(match("text", "Nicht étion, LICENSE"))
         .select("doc_id")
     )
@@ -126,7 +127,9 @@ def match_any(spark, sf_dir):
 )
 def match_all_tokens(spark, sf_dir):
     return (
-        load(spark, sf_dir, "documents").where(match("text", "of that is", "and")).select("doc_id")
+        spread(load(spark, sf_dir, "documents"))
+        .where(match("text", "of that is", "and"))
+        .select("doc_id")
     )
 
 
@@ -757,7 +760,7 @@ def _sql_records(seed: int, start: str, span: int) -> str:
 
 @named("generate_records", _sql_records(42, "2016-01-01", 315619200))
 def generate_records_(spark, sf_dir):
-    return records_for(load(spark, sf_dir, "orders"), "o_orderkey", seed=42)
+    return records_for(spread(load(spark, sf_dir, "orders")), "o_orderkey", seed=42)
 
 
 @named(
@@ -768,7 +771,7 @@ def generate_records_(spark, sf_dir):
         UNION ALL SELECT 'price', NULL, count(*) FROM r""",
 )
 def generated_profile(spark, sf_dir):
-    records = records_for(load(spark, sf_dir, "orders"), "o_orderkey", seed=42)
+    records = records_for(spread(load(spark, sf_dir, "orders")), "o_orderkey", seed=42)
     return profile(records, {"product_line": 10, "region": 15}, ["price"]).select(
         "agg", "key", "doc_count"
     )
