@@ -111,26 +111,31 @@ def profile(
     the number of different values and not with the number of records.
     """
     none_text, none_num = F.lit(None).cast("string"), F.lit(None).cast("double")
+    terms_kind, stats_kind, histogram_kind = 0, 1, 2
 
-    def entry(kind: str, agg: str, key: Column, num: Column) -> Column:
+    def entry(kind: int, agg: str, key: Column, num: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("kind"), F.lit(agg).alias("agg"), key.alias("key"), num.alias("num")
         )
 
-    entries = [entry("terms", f, F.col(f).cast("string"), none_num) for f in fields]
-    entries += [entry("stats", m, none_text, F.col(m).cast("double")) for m in metrics]
+    entries = [entry(terms_kind, f, F.col(f).cast("string"), none_num) for f in fields]
+    entries += [entry(stats_kind, m, none_text, F.col(m).cast("double")) for m in metrics]
     if histogram:
         ts, interval = histogram
-        entries.append(entry("histogram", ts, bucket_start(ts, interval).cast("string"), none_num))
+        if ts in fields:
+            raise ValueError(f"{ts} cannot be a term and a histogram at once")
+        start = bucket_start(ts, interval).cast("string")
+        entries.append(entry(histogram_kind, ts, start, none_num))
     grouped = (
         df.select(F.inline(F.array(*entries)))
-        .where(F.col("key").isNotNull() | F.col("num").isNotNull())
+        .where(F.col("key").isNotNull() | (F.col("kind") == stats_kind))
         .groupBy("agg", "key")
         .agg(
-            # an aggregate and no grouping key: a filter on it stays above the
-            # aggregation, so that the parts below share one scan and shuffle
+            # An aggregate and no grouping key: a filter on it stays above the
+            # aggregation, so that the parts below share one scan and shuffle.
+            # A number, as a string here would force a sort of all rows.
             F.max("kind").alias("kind"),
-            F.count("*").alias("doc_count"),
+            F.count_if((F.col("kind") != stats_kind) | F.col("num").isNotNull()).alias("doc_count"),
             F.min("num").alias("min"),
             F.max("num").alias("max"),
             F.avg("num").alias("avg"),
@@ -140,12 +145,12 @@ def profile(
     columns = ["agg", "key", "doc_count", "min", "max", "avg", "sum"]
     parts = []
     if metrics:
-        parts.append(grouped.where(F.col("kind") == "stats").select(*columns))
+        parts.append(grouped.where(F.col("kind") == stats_kind).select(*columns))
     if fields:
         sizes = F.create_map(*(F.lit(x) for pair in fields.items() for x in pair))
         order = Window.partitionBy("agg").orderBy(F.desc("doc_count"), "key")
         parts.append(
-            grouped.where(F.col("kind") == "terms")
+            grouped.where(F.col("kind") == terms_kind)
             .withColumn("_rank", F.row_number().over(order))
             # the constant bound is applied in the tasks before a field is brought together
             .where(F.col("_rank") <= max(fields.values()))
@@ -153,7 +158,7 @@ def profile(
             .select(*columns)
         )
     if histogram:
-        buckets = grouped.where(F.col("kind") == "histogram").withColumn(
+        buckets = grouped.where(F.col("kind") == histogram_kind).withColumn(
             "key", F.col("key").cast("timestamp_ntz")
         )
         parts.append(
