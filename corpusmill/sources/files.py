@@ -42,12 +42,13 @@ def scan_documents(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 def scan_text_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per file with its whole text (UTF-8): path, filename, filetype, content."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     source = F.col("_metadata.file_path")
     name = F.col("_metadata.file_name")
-    return reader.text(path).select(
+    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
+    return files.select(
         source.alias("path"),
         name.alias("filename"),
         file_type(name).alias("filetype"),
