@@ -28,7 +28,7 @@ def has_vector(vector: Column | str, dim: int) -> Column:
 
 def collection_stats(
     points: DataFrame,
-    dim: int,
+    dim: int | None = None,
     *,
     type: str = "payload.type",
     category: str = "payload.category",
@@ -39,16 +39,17 @@ def collection_stats(
 ) -> DataFrame:
     """Points by type and by category, and totals: section, key, n.
 
-    The totals (section ``points``) are ``total``, ``with_text`` and
-    ``with_vector``. All come from one scan and one shuffle. ``sample_limit``
-    restricts the report to the first points by key.
+    The totals (section ``points``) are ``total``, ``with_text`` and, when the
+    dimension is given, ``with_vector``; without it the vectors, by far the
+    largest column, are not read. All come from one scan and one shuffle.
+    ``sample_limit`` restricts the report to the first points by key.
     """
     narrow = points.select(
         F.col(key).alias("id"),
         F.coalesce(F.col(type).cast("string"), F.lit("Unknown")).alias("type"),
         F.coalesce(F.col(category).cast("string"), F.lit("Unknown")).alias("category"),
         has_text(text).alias("with_text"),
-        has_vector(vector, dim).alias("with_vector"),
+        *([has_vector(vector, dim).alias("with_vector")] if dim is not None else []),
     )
     if sample_limit is not None:
         narrow = narrow.orderBy("id").limit(sample_limit)
@@ -57,14 +58,16 @@ def collection_stats(
         return F.struct(F.lit(section).alias("section"), k.alias("key"), n.alias("n"))
 
     one = F.lit(1)
-    entries = F.array(
+    entries = [
         entry("type", F.col("type"), one),
         entry("category", F.col("category"), one),
         entry("points", F.lit("total"), one),
         entry("points", F.lit("with_text"), F.col("with_text").cast("int")),
-        entry("points", F.lit("with_vector"), F.col("with_vector").cast("int")),
-    )
-    return narrow.select(F.inline(entries)).groupBy("section", "key").agg(F.sum("n").alias("n"))
+    ]
+    if dim is not None:
+        entries.append(entry("points", F.lit("with_vector"), F.col("with_vector").cast("int")))
+    long = narrow.select(F.inline(F.array(*entries)))
+    return long.groupBy("section", "key").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------------------

@@ -105,14 +105,30 @@ def hashed_sparse(text: Column | str, dim: int = DIM) -> Column:
 
 
 def densify(sparse: Column, dim: int = DIM) -> Column:
-    """A sparse vector as ``dim`` floats, as the point table stores it."""
-    return let(
-        F.map_from_entries(sparse),
-        lambda m: F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda i: F.coalesce(F.try_element_at(m, i), F.lit(0.0)).cast("float"),
-        ),
-    )
+    """A sparse vector, sorted by dim, as ``dim`` floats, as the point table stores it.
+
+    Zeros are laid out between one coordinate and the next, so the work grows
+    with ``dim`` and not with ``dim`` times the number of coordinates.
+    """
+
+    def zeros(n: Column) -> Column:
+        return F.array_repeat(F.lit(0.0).cast("float"), n)
+
+    def last_dim(entry: Column) -> Column:
+        return F.coalesce(entry["dim"], F.lit(-1))
+
+    def dense(s: Column) -> Column:
+        filled = F.flatten(
+            F.transform(
+                s,
+                lambda e, k: F.array_append(
+                    zeros(e["dim"] - last_dim(F.get(s, k - 1)) - 1), e["w"].cast("float")
+                ),
+            )
+        )
+        return F.concat(filled, zeros(F.lit(dim - 1) - last_dim(F.get(s, F.size(s) - 1))))
+
+    return let(sparse, dense)
 
 
 def embed_hashed(

@@ -11,6 +11,9 @@ from corpusmill.functions.predicates import tokens
 
 # A gazetteer up to this size is sent to every executor.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Up to this many names, their digests are sent instead, to sort out token runs
+# that are no name before any of them is shuffled.
+DIGEST_ROWS = 8_000_000
 # Copies of a larger gazetteer, so that one frequent phrase is spread over tasks.
 SALTS = 32
 # Tokens per group when overlapping matches of one document are compared.
@@ -58,13 +61,16 @@ def gazetteer_entities(
     doc_id: str = "doc_id",
     text: str = "text",
     broadcast_bytes: int = BROADCAST_BYTES,
+    digest_rows: int = DIGEST_ROWS,
 ) -> DataFrame:
     """Names of a gazetteer (name, entity_type) found in text.
 
     Result: doc_id, entity_type, entity, pos (token number, from 0). A match
     inside a longer one is dropped. Token runs are built only for the lengths
-    the gazetteer has; they are joined with it where they arise when its
-    measured size allows sending it along, and after a salted shuffle otherwise.
+    the gazetteer has. They are joined with it where they arise when its
+    measured size allows sending it along. Otherwise they are shuffled and
+    salted, after the digests of the names, if those are few enough to be sent,
+    have left hardly more than true matches.
     """
     names = (
         gazetteer.select(
@@ -80,6 +86,7 @@ def gazetteer_entities(
             F.sum(F.length("phrase") + F.length("entity") + F.length("entity_type") + 48),
             F.lit(0),
         ).alias("bytes"),
+        F.count("*").alias("rows"),
         F.array_sort(F.collect_set("n")).alias("lengths"),
     ).first()
     lengths = measured["lengths"] or [1]
@@ -109,6 +116,13 @@ def gazetteer_entities(
     if measured["bytes"] <= broadcast_bytes:
         matches = windows.join(F.broadcast(names), "phrase")
     else:
+        if measured["rows"] <= digest_rows:
+            digests = names.select(F.xxhash64("phrase").alias("_digest")).distinct()
+            windows = (
+                windows.withColumn("_digest", F.xxhash64("phrase"))
+                .join(F.broadcast(digests), "_digest", "left_semi")
+                .drop("_digest")
+            )
         salted = names.withColumn(
             "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         )

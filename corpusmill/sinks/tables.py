@@ -66,9 +66,9 @@ def upsert_table(
         kept_buckets = old.schema[key].metadata.get("buckets")
         if kept_buckets != buckets:
             raise ValueError(f"the table has {kept_buckets} buckets, not {buckets}")
-        # at most one row per bucket
-        touched = rows.select(BUCKET).distinct()
-        old = old.join(F.broadcast(touched), BUCKET, "left_semi")
+        # bucket numbers only, so that the folders of all others are left alone
+        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+        old = old.where(F.col(BUCKET).isin(touched))
         kept = old.join(rows.select(key), key, "left_anti")
         rows = kept.unionByName(rows, allowMissingColumns=True)
     columns = [tagged if c == key else F.col(c) for c in rows.columns]

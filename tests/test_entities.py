@@ -34,9 +34,11 @@ def by_python(docs):
     return sorted(found)
 
 
-@pytest.mark.parametrize("limit", [entities.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize(
+    "limit, digests", [(entities.BROADCAST_BYTES, 0), (0, entities.DIGEST_ROWS), (0, 0)]
+)
 @pytest.mark.parametrize("bucket", [4096, 3])
-def test_gazetteer(spark, monkeypatch, limit, bucket):
+def test_gazetteer(spark, monkeypatch, limit, digests, bucket):
     monkeypatch.setattr(entities, "BUCKET_TOKENS", bucket)
     rng = random.Random(5)
     words = ["New", "york", "TIMES", "Ann", "Lee", "a", "b", "c", "d", "x"]
@@ -44,7 +46,7 @@ def test_gazetteer(spark, monkeypatch, limit, bucket):
     docs += [(100, ""), (101, None), (102, "the New-York Times")]
     df = spark.createDataFrame(docs, "doc_id int, text string")
     gazetteer = spark.createDataFrame(NAMES, "name string, entity_type string")
-    found = gazetteer_entities(df, gazetteer, broadcast_bytes=limit)
+    found = gazetteer_entities(df, gazetteer, broadcast_bytes=limit, digest_rows=digests)
     assert sorted(map(tuple, found.collect())) == by_python(docs)
 
 
