@@ -72,67 +72,130 @@ def gazetteer_entities(
     salted, after the digests of the names, if those are few enough to be sent,
     have left hardly more than true matches.
     """
+    return extract_entities(df, gazetteer, doc_id, text, {}, broadcast_bytes, digest_rows)
+
+
+def extract_entities(
+    df: DataFrame,
+    gazetteer: DataFrame | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    patterns: Mapping[str, str] = PATTERNS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    digest_rows: int = DIGEST_ROWS,
+) -> DataFrame:
+    """Entities by pattern and, when a gazetteer is given, by name.
+
+    Columns as in :func:`pattern_entities` and :func:`gazetteer_entities`. With
+    a gazetteer that can be sent along, the text is read once for both.
+    """
+    if gazetteer is None:
+        return pattern_entities(df, doc_id, text, patterns)
     names = (
         gazetteer.select(
             phrase("name").alias("phrase"), "entity_type", F.col("name").alias("entity")
         )
         .where(F.col("phrase") != "")
-        .groupBy("phrase", "entity_type")
-        .agg(F.min("entity").alias("entity"))
+        .groupBy("phrase", F.col("entity_type").alias("name_type"))
+        .agg(F.min("entity").alias("name"))
         .withColumn("n", F.size(F.split("phrase", " ")))
     )
     measured = names.agg(
         F.coalesce(
-            F.sum(F.length("phrase") + F.length("entity") + F.length("entity_type") + 48),
-            F.lit(0),
+            F.sum(F.length("phrase") + F.length("name") + F.length("name_type") + 48), F.lit(0)
         ).alias("bytes"),
         F.count("*").alias("rows"),
         F.array_sort(F.collect_set("n")).alias("lengths"),
     ).first()
-    lengths = measured["lengths"] or [1]
+    lengths, names = measured["lengths"] or [1], names.drop("n")
+
+    if measured["bytes"] <= broadcast_bytes:
+        candidates = _candidates(df, doc_id, text, lengths, patterns)
+        # a pattern match has no phrase and stays without a name
+        joined = candidates.join(F.broadcast(names), "phrase", "left" if patterns else "inner")
+        return _resolved(joined, lengths)
+
+    candidates = _candidates(df, doc_id, text, lengths, {})
+    if measured["rows"] <= digest_rows:
+        digests = names.select(F.xxhash64("phrase").alias("_digest")).distinct()
+        candidates = (
+            candidates.withColumn("_digest", F.xxhash64("phrase"))
+            .join(F.broadcast(digests), "_digest", "left_semi")
+            .drop("_digest")
+        )
+    salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = candidates.withColumn(
+        "_salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
+    ).join(salted, ["phrase", "_salt"])
+    found = _resolved(joined, lengths)
+    if not patterns:
+        return found
+    return found.unionByName(pattern_entities(df, doc_id, text, patterns))
+
 
-    # One row per token with the tokens that follow it. The shifted arrays share
-    # the token strings; the runs are put together in generated code.
-    tokenized = df.select(F.col(doc_id).alias("doc_id"), F.explode(F.array(tokens(text))).alias("t"))
+def _candidates(
+    df: DataFrame, doc_id: str, text: str, lengths: list[int], patterns: Mapping[str, str]
+) -> DataFrame:
+    """Token runs and pattern matches: doc_id, pos, n, phrase, entity_type, entity.
+
+    One row per token first, with the tokens that follow it and with the
+    pattern match of the same number. The shifted arrays share the token
+    strings; the runs are put together in generated code.
+    """
+    matched = [
+        F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias(f"m{i}")
+        for i, p in enumerate(patterns.values())
+    ]
+    # exploded from an array of one, so that the tokens are computed once per text
+    tokenized = df.select(
+        F.col(doc_id).alias("doc_id"), *matched, F.explode(F.array(tokens(text))).alias("t")
+    )
     shifted = [
         F.slice("t", F.lit(k + 1), F.greatest(F.size("t") - k, F.lit(0))).alias(f"t{k}")
         for k in range(max(lengths))
     ]
-    following = tokenized.select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
-    runs = F.array(
-        *(
-            F.struct(
-                F.lit(n).alias("n"),
-                F.when(
-                    F.col(f"z.t{n - 1}").isNotNull(),
-                    F.concat_ws(" ", *(F.col(f"z.t{k}") for k in range(n))),
-                ).alias("phrase"),
-            )
-            for n in lengths
-        )
+    numbered = tokenized.select(
+        "doc_id",
+        F.posexplode(
+            F.arrays_zip(*shifted, *(F.col(f"m{i}") for i in range(len(patterns))))
+        ).alias("pos", "z"),
     )
-    windows = following.select("doc_id", "pos", F.inline(runs)).where(F.col("phrase").isNotNull())
-    names = names.drop("n")
-    if measured["bytes"] <= broadcast_bytes:
-        matches = windows.join(F.broadcast(names), "phrase")
-    else:
-        if measured["rows"] <= digest_rows:
-            digests = names.select(F.xxhash64("phrase").alias("_digest")).distinct()
-            windows = (
-                windows.withColumn("_digest", F.xxhash64("phrase"))
-                .join(F.broadcast(digests), "_digest", "left_semi")
-                .drop("_digest")
-            )
-        salted = names.withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+    def row(n: int, phrase: Column, kind: Column, entity: Column) -> Column:
+        return F.struct(
+            F.lit(n).alias("n"), phrase.alias("phrase"), kind.alias("entity_type"),
+            entity.alias("entity"),
         )
-        matches = windows.withColumn(
-            "_salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
-        ).join(salted, ["phrase", "_salt"])
-    matches = matches.select(
-        "doc_id", "entity_type", "entity", "pos", (F.col("pos") + F.col("n")).alias("_end")
+
+    none = F.lit(None).cast("string")
+    rows = [
+        row(
+            n,
+            F.when(
+                F.col(f"z.t{n - 1}").isNotNull(),
+                F.concat_ws(" ", *(F.col(f"z.t{k}") for k in range(n))),
+            ),
+            none,
+            none,
+        )
+        for n in lengths
+    ] + [row(1, none, F.lit(kind), F.col(f"z.m{i}")) for i, kind in enumerate(patterns)]
+    return numbered.select("doc_id", "pos", F.inline(F.array(*rows))).where(
+        F.col("phrase").isNotNull() | F.col("entity").isNotNull()
+    )
+
+
+def _resolved(joined: DataFrame, lengths: list[int]) -> DataFrame:
+    """Named or matched candidates, without names inside longer names."""
+    found = joined.where(F.col("name").isNotNull() | F.col("entity").isNotNull()).select(
+        "doc_id",
+        F.coalesce("entity_type", "name_type").alias("entity_type"),
+        F.coalesce("entity", "name").alias("entity"),
+        "pos",
+        (F.col("pos") + F.col("n")).alias("_end"),
+        F.col("name").isNotNull().alias("_named"),
     )
-    return (matches if len(lengths) == 1 else _longest(matches)).drop("_end")
+    return (found if len(lengths) == 1 else _longest(found)).drop("_end", "_named")
 
 
 def _longest(matches: DataFrame) -> DataFrame:
@@ -151,32 +214,14 @@ def _longest(matches: DataFrame) -> DataFrame:
             )
         ),
     )
-    order = Window.partitionBy("doc_id", "_bucket").orderBy(
-        F.col("pos").asc(), F.col("_end").desc()
-    )
+    # pattern matches keep to themselves, each of their extents is different
+    group = Window.partitionBy("doc_id", "_named", "_bucket")
+    order = group.orderBy(F.col("pos").asc(), F.col("_end").desc())
     ranked = bucketed.withColumn("_extent", F.dense_rank().over(order))
-    before = (
-        Window.partitionBy("doc_id", "_bucket")
-        .orderBy("_extent")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+    before = group.orderBy("_extent").rangeBetween(Window.unboundedPreceding, -1)
     return (
         ranked.withColumn("_reached", F.max("_end").over(before))
         .where(F.coalesce(F.col("_reached") < F.col("_end"), F.lit(True)))
         .where(F.col("_bucket") == F.floor(F.col("pos") / BUCKET_TOKENS))
         .drop("_bucket", "_extent", "_reached")
     )
-
-
-def extract_entities(
-    df: DataFrame,
-    gazetteer: DataFrame | None = None,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    patterns: Mapping[str, str] = PATTERNS,
-) -> DataFrame:
-    """Entities by pattern and, when a gazetteer is given, by name."""
-    found = pattern_entities(df, doc_id, text, patterns)
-    if gazetteer is None:
-        return found
-    return found.unionByName(gazetteer_entities(df, gazetteer, doc_id, text))

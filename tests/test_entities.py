@@ -60,10 +60,16 @@ def test_patterns(spark):
     ]
 
 
-def test_both(spark):
+@pytest.mark.parametrize("limit", [entities.BROADCAST_BYTES, 0])
+def test_both(spark, limit):
     df = spark.createDataFrame([(1, "Ann Lee paid $5")], "doc_id int, text string")
     gazetteer = spark.createDataFrame(NAMES, "name string, entity_type string")
-    found = {(r.entity_type, r.entity) for r in extract_entities(df, gazetteer).collect()}
-    assert found == {("PERSON", "Ann Lee"), ("MONEY", "$5")}
+    both = extract_entities(df, gazetteer, broadcast_bytes=limit).collect()
+    assert sorted(map(tuple, both)) == [(1, "MONEY", "$5", 0), (1, "PERSON", "Ann Lee", 0)]
+    many = spark.createDataFrame([(1, "$1 " * 9000 + "lee")], "doc_id int, text string")
+    found = extract_entities(many, gazetteer, broadcast_bytes=limit).collect()
+    assert sorted((r.pos, r.entity_type) for r in found) == sorted(
+        [(i, "MONEY") for i in range(9000)] + [(9000, "ORG"), (9000, "PERSON")]
+    )
     empty = gazetteer.limit(0)
     assert {r.entity for r in extract_entities(df, empty).collect()} == {"$5"}
