@@ -13,7 +13,7 @@ def document_items(chunks: DataFrame) -> DataFrame:
     return chunks.select(
         F.concat_ws("-", F.lit("doc"), "doc_id", "chunk_no").alias("id"),
         F.lit("document").alias("origin"),
-        F.lit("CompositeElement").alias("type"),
+        F.lit("Chunk").alias("type"),
         F.lit("body").alias("category"),
         "text",
         "metadata",

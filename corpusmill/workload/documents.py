@@ -288,7 +288,7 @@ _SQL_CORPUS = f"""
   WITH r AS ({SQL_ORDER_RECORDS}),
   c AS ({_sql_chunks(_SQL_TEXT_ELEMENTS, 2048, 1500, 0)})
   SELECT 'doc-' || doc_id || '-' || chunk_no AS id, 'document' AS origin,
-         'CompositeElement' AS type, 'body' AS category, text, NULL AS customer_name,
+         'Chunk' AS type, 'body' AS category, text, NULL AS customer_name,
          NULL::DOUBLE AS price FROM c
   UNION ALL
   SELECT 'rec-' || id, 'record', 'Record', region, interaction_text, customer_name, price FROM r

@@ -195,7 +195,7 @@ def _flow(sf_dir):
 @named(
     "flow_collection_stats",
     _sql_collection(
-        f"""SELECT 'CompositeElement' AS type, 'body' AS category, text,
+        f"""SELECT 'Chunk' AS type, 'body' AS category, text,
                    CASE WHEN regexp_matches(text, '[\\p{{L}}\\p{{N}}]')
                         THEN range(1536) END AS vector
             FROM ({_sql_chunks(_SQL_HTML_ELEMENTS, 2048, 1500, 0)})""",
