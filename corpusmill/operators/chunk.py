@@ -158,12 +158,13 @@ def chunk_by_title(
     block_elements: int = BLOCK_ELEMENTS,
     span_blocks: int = SPAN_BLOCKS,
 ) -> DataFrame:
-    """Chunks from element rows (doc_id, pos, type, text, metadata).
+    """Chunks from a stored table of element rows (doc_id, pos, type, text, metadata).
 
     Documents up to one block of elements are packed in one group each, after
     one shuffle. Whether any document is larger is asked beforehand: the test
     reads only ``pos``, and a stored table answers it from the statistics of
-    its row groups. Larger documents go through :func:`_chunk_large`.
+    its row groups; elements that are not stored would be computed once more
+    for it, so write them first, or use :func:`packed`. Larger documents go through :func:`_chunk_large`.
     """
     _check(max_chars, new_after, overlap)
     source = elements.where(F.col("text") != "").select(

@@ -146,50 +146,61 @@ def partition_text(
     return explode_elements(df, doc_id, text_elements(text), metadata(filename, F.lit("txt")))
 
 
-def partition_with(
+def parse_with(
     df: DataFrame,
     parser: Callable[[bytes], list[tuple]],
     doc_id: str = "doc_id",
     content: str = "content",
     filename: str | None = None,
-    filetype: str | None = None,
+    filetype: str | Column | None = None,
 ) -> DataFrame:
-    """Elements from a parser of your own, for formats such as PDF.
+    """One row per document with its elements from a parser of your own.
 
     ``parser`` takes the content of one document and returns
-    ``(type, text, page_number)`` tuples. It runs in the tasks, one document
-    at a time, and its elements leave in batches.
+    ``(type, text, page_number)`` tuples. It runs in the tasks, once per
+    document. Result: doc_id, filename, filetype, elements.
     """
-    columns = [
+    described = metadata(filename, filetype)
+    source = df.select(
         F.col(doc_id).alias("doc_id"),
         F.col(content).alias("content"),
-        metadata(filename, filetype)["filename"].alias("filename"),
-        metadata(filename, filetype)["filetype"].alias("filetype"),
-    ]
-    source = df.select(*columns)
-    out = T.StructType(
-        [T.StructField("doc_id", source.schema["doc_id"].dataType)]
-        + fields(
-            pos="integer", type="string", text="string", filename="string", filetype="string",
-            page_number="integer",
-        ).fields
+        described["filename"].alias("filename"),
+        described["filetype"].alias("filetype"),
+    )
+    parsed = fields(type="string", text="string", page_number="integer")
+    out = fields(
+        doc_id=source.schema["doc_id"].dataType, filename="string", filetype="string",
+        elements=T.ArrayType(parsed),
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc in batch.itertuples(index=False):
-                parsed = [
-                    (doc.doc_id, pos, kind, text, doc.filename, doc.filetype, page)
-                    for pos, (kind, text, page) in enumerate(parser(doc.content))
-                ]
-                if parsed:
-                    yield pd.DataFrame(parsed, columns=out.names).astype({"page_number": "Int32"})
-
-    return source.mapInPandas(run, out).select(
+            found = [
+                [dict(zip(("type", "text", "page_number"), e)) for e in parser(c)]
+                for c in batch["content"]
+            ]
+            yield batch[["doc_id", "filename", "filetype"]].assign(elements=found)
+
+    return source.mapInPandas(run, out)
+
+
+def partition_with(
+    df: DataFrame,
+    parser: Callable[[bytes], list[tuple]],
+    doc_id: str = "doc_id",
+    content: str = "content",
+    filename: str | None = None,
+    filetype: str | Column | None = None,
+) -> DataFrame:
+    """Elements by a parser of your own, for formats such as PDF; see :func:`parse_with`."""
+    parsed = parse_with(df, parser, doc_id, content, filename, filetype)
+    return parsed.select(
+        "doc_id", "filename", "filetype", F.posexplode("elements").alias("pos", "e")
+    ).select(
         "doc_id",
         "pos",
-        "type",
-        F.coalesce(lookup(CATEGORIES, F.col("type")), F.lit("body")).alias("category"),
-        "text",
-        F.struct("filename", "filetype", "page_number").cast(METADATA_TYPE).alias("metadata"),
+        "e.type",
+        F.coalesce(lookup(CATEGORIES, F.col("e.type")), F.lit("body")).alias("category"),
+        "e.text",
+        F.struct("filename", "filetype", "e.page_number").cast(METADATA_TYPE).alias("metadata"),
     )

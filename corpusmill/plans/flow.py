@@ -8,14 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.chunk import (
-    MAX_CHARS, NEW_AFTER, OVERLAP, chunk_by_title, explode_chunks, packed,
-)
+from corpusmill.operators.chunk import MAX_CHARS, NEW_AFTER, OVERLAP, explode_chunks, packed
 from corpusmill.operators.clean import strip_inline_images
 from corpusmill.operators.embed import DIM, embed_hashed, embed_with
 from corpusmill.operators.hybrid import document_items, to_points
 from corpusmill.operators.partition import (
-    explode_elements, html_elements, metadata, partition_with, text_elements,
+    explode_elements, html_elements, metadata, parse_with, partition_with, text_elements,
 )
 from corpusmill.sinks.points import write_points
 
@@ -24,10 +22,9 @@ from corpusmill.sinks.points import write_points
 class DocumentFlow:
     """Documents to points: partition, then chunk, then embed.
 
-    ``source`` is ``html``, ``text`` or a parser for :func:`partition_with`.
-    With the first two, a document stays in its row from the scan to its
-    chunks and vectors, and the whole flow needs no shuffle. A parser's
-    elements arrive as rows and are brought together once to be chunked.
+    ``source`` is ``html``, ``text`` or a parser for :func:`parse_with`. A
+    document stays in its row from the scan to its chunks and vectors, and the
+    whole flow needs no shuffle.
     """
 
     source: str | Callable[[bytes], list[tuple]] = "html"
@@ -61,12 +58,16 @@ class DocumentFlow:
         return explode_elements(cleaned, self.doc_id, self._array(), self._metadata())
 
     def chunks(self, documents: DataFrame) -> DataFrame:
-        sizes = (self.max_chars, self.new_after, self.overlap)
+        cleaned = self._cleaned(documents)
         if callable(self.source):
-            return chunk_by_title(self.elements(documents), *sizes)
-        return explode_chunks(
-            self._cleaned(documents), self.doc_id, packed(self._array(), *sizes), self._metadata()
-        )
+            cleaned = parse_with(cleaned, self.source, self.doc_id, self.content, self.filename)
+            doc_id, elements = "doc_id", F.col("elements")
+            page = F.get("elements", F.lit(0))["page_number"].alias("page_number")
+            meta = F.struct("filename", "filetype", page)
+        else:
+            doc_id, elements, meta = self.doc_id, self._array(), self._metadata()
+        chunks = packed(elements, self.max_chars, self.new_after, self.overlap)
+        return explode_chunks(cleaned, doc_id, chunks, meta)
 
     def points(self, documents: DataFrame) -> DataFrame:
         return self.embed(document_items(self.chunks(documents)))

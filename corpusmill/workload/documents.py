@@ -157,6 +157,13 @@ def _dialogue_parser(content: bytes) -> list[tuple]:
     return [("NarrativeText", line, page) for page, line in enumerate(lines, 1)]
 
 
+def _messages(spark, sf_dir):
+    return load(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
+        F.col("text").cast("binary").alias("content"),
+    )
+
+
 @named(
     "partition_custom",
     """SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos,
@@ -168,11 +175,7 @@ def _dialogue_parser(content: bytes) -> list[tuple]:
        WHERE line <> ''""",
 )
 def partition_custom(spark, sf_dir):
-    messages = load(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
-        F.col("text").cast("binary").alias("content"),
-    )
-    return partition_with(messages, _dialogue_parser).select(
+    return partition_with(_messages(spark, sf_dir), _dialogue_parser).select(
         "doc_id", "pos", "type", "category", "text", "metadata.page_number"
     )
 
@@ -230,8 +233,23 @@ def chunk_html(spark, sf_dir):
 
 @named("chunk_element_rows", _sql_chunks(_SQL_HTML_ELEMENTS, 300, 200, 20))
 def chunk_rows(spark, sf_dir):
-    elements = partition_html(spread(load(spark, sf_dir, "pages")), "page_id")
-    return chunk_by_title(elements, 300, 200, 20).drop("metadata")
+    path = scratch_path(spark, "elements")
+    partition_html(spread(load(spark, sf_dir, "pages")), "page_id").write.parquet(path)
+    return chunk_by_title(spark.read.parquet(path), 300, 200, 20).drop("metadata")
+
+
+@named(
+    "chunk_custom",
+    _sql_chunks(
+        """SELECT conv_id * 1000 + turn AS doc_id, i AS pos, 'NarrativeText' AS type, line AS text
+           FROM (SELECT conv_id, turn, unnest(l) AS line, generate_subscripts(l, 1) AS i
+                 FROM (SELECT *, string_split(text, chr(10)) AS l FROM conversations))""",
+        200, 150, 10,
+    ),
+)
+def chunk_custom(spark, sf_dir):
+    flow = DocumentFlow(_dialogue_parser, max_chars=200, new_after=150, overlap=10)
+    return flow.chunks(_messages(spark, sf_dir)).drop("metadata")
 
 
 # ---------------------------------------------------------------------------
