@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.functions.predicates import all_of, any_of, contains_any, exists_in, has_text
+from corpusmill.functions.predicates import all_of, any_of, contains_any, exists_in
 
 INTERVALS = ("year", "quarter", "month", "week", "day", "hour", "minute")
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from corpusmill.functions.predicates import between_range, match, match_keyword, since
 from corpusmill.functions.scalars import snippet, text_stats

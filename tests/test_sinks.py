@@ -14,7 +14,9 @@ from corpusmill.sources.files import scan_text_files
 
 def test_upsert(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    new = spark.createDataFrame([(2, "x", 1), (2, "y", 3), (2, "z", 2), (3, "c", 1)], "id int, v string, seq int")
+    new = spark.createDataFrame(
+        [(2, "x", 1), (2, "y", 3), (2, "z", 2), (3, "c", 1)], "id int, v string, seq int"
+    )
     once = upsert(old, new, "id", "seq")
     expected = [(1, "a"), (2, "y"), (3, "c")]
     assert sorted(map(tuple, once.collect())) == expected
@@ -33,7 +35,9 @@ def test_bucketed_upsert_rewrites_only_what_changed(spark, tmp_path):
     first = spark.range(100).select(F.col("id"), F.lit("old").alias("v"), F.lit(0).alias("seq"))
     upsert_table(spark, path, first, "id", "seq", buckets=8)
     before = mtimes(path)
-    change = spark.createDataFrame([(5, "new", 1.5, 1), (5, "newer", 2.5, 2)], "id long, v string, w double, seq int")
+    change = spark.createDataFrame(
+        [(5, "new", 1.5, 1), (5, "newer", 2.5, 2)], "id long, v string, w double, seq int"
+    )
     for _ in range(2):
         upsert_table(spark, path, change, "id", "seq", buckets=8)
     rows = {r.id: (r.v, r.w) for r in read_table(spark, path).collect()}
@@ -89,7 +93,9 @@ def test_text(spark, tmp_path):
 
 def test_flow(spark, tmp_path):
     html = "<h1>T</h1><p>one two</p><h2>U</h2><p>three ![i](data:image/png;base64,QQ==)</p>"
-    docs = spark.createDataFrame([(1, html, "a.html"), (2, "<p></p>", "b.html")], "doc_id int, content string, name string")
+    docs = spark.createDataFrame(
+        [(1, html, "a.html"), (2, "<p></p>", "b.html")], "doc_id int, content string, name string"
+    )
     flow = DocumentFlow("html", filename="name", dim=32, strip_images=True)
     assert flow.elements(docs).count() == 4
     assert [r.text for r in flow.chunks(docs).orderBy("chunk_no").collect()] == ["T\none two", "U\nthree"]

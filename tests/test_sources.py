@@ -72,5 +72,7 @@ def test_filters_reach_the_file(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     pushed = plan[plan.index("PushedFilters"):]
-    for part in ("GreaterThanOrEqual(o_totalprice", "GreaterThanOrEqual(o_orderdate", "EqualTo(o_orderstatus"):
+    for part in (
+        "GreaterThanOrEqual(o_totalprice", "GreaterThanOrEqual(o_orderdate", "EqualTo(o_orderstatus",
+    ):
         assert part in pushed
