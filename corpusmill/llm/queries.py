@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, quality_rules, token_counts, token_files, url_filter
+from corpusmill.llm import bpe, pu_classifier, quality_rules, simhash, token_counts, token_files, url_filter
 from corpusmill.llm.common import table
 from corpusmill.workload.base import Named
 
@@ -121,6 +121,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, files, index)
 
 
+@query("op8_simhash")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality_classifier")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_classifier.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
