@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, pu_classifier, quality_rules, simhash, token_counts, token_files, url_filter
+from corpusmill.llm import bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, token_counts, token_files, url_filter
 from corpusmill.llm.common import table
 from corpusmill.workload.base import Named
 
@@ -112,6 +112,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("host_rate", F.round("host_rate", 6))
 
 
+PSEUDONYM_KEY = "a key of the workload; a real one comes from a secret store"
+
+
+@query("op5_pseudonyms")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_token_files")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_files.token_folder(spark)
