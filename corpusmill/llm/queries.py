@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, token_counts, token_files, url_filter
+from corpusmill.llm import bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
 from corpusmill.llm.common import table
 from corpusmill.workload.base import Named
 
@@ -68,6 +68,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, listed)
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op3_bpe_codec")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
