@@ -137,7 +137,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, index = token_files.write_tokens(
         table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end=2
     )
-    return token_files.read_digests(spark, files, index)
+    return token_files.read_digests(files, index)
 
 
 @query("op8_simhash")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,8 @@ from corpusmill.session import scratch_path
 SEQUENCE = 2048
 BATCH = 256
 _CACHE = 400_000
+_WORDS = 20_000  # plain words given to the library as one string
+_TOGETHER = 2_000  # other stretches given to the library at once; each costs it about a kilobyte
 
 
 @dataclass(frozen=True)
@@ -47,40 +50,60 @@ def encoder(path: str, end: int) -> Callable[[list[str]], list[bytes]]:
     The tokenizers library encodes each distinct stretch of text once. White space always separates
     tokens of this kind of vocabulary, and letters part from other characters, unless an
     apostrophe, a special token or a normalisation may join them; such texts are cut at white space only.
+    Words of Latin-1 letters, once in lower case, need no normalising, and a piece that closes a word
+    tells them apart, so many go through the library's merges as one string.
     """
     import re
-    import unicodedata
 
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
-    if tokenizer.get_vocab_size() > 1 << 16:
+    vocabulary = tokenizer.get_vocab()
+    if max(vocabulary.values()) >= 1 << 16:
         raise ValueError("ids of this vocabulary do not fit 16 bits")
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    fine = re.compile(r"[^\W\d_]+|(?:[\d_]|[^\w\s])+").findall
+    closes = np.zeros(1 << 16, bool)
+    closes[[i for piece, i in vocabulary.items() if piece.endswith(tokenizer.model.end_of_word_suffix)]] = True
+    merges = Tokenizer(tokenizer.model)
+    merges.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    )
+    fine = re.compile(r"[^\W\d_]+|(?:[\d_]|[^\w \t\n\r\x0b\x0c])+").findall
+    coarse = re.compile(r"[^ \t\n\r\x0b\x0c]+").findall
+    latin = re.compile(r"[^\x00-\xff]").search
     tail = np.array([end], "<u2").tobytes()
     cache: dict[str, bytes] = {}
 
+    def learn(fresh: set[str]) -> None:
+        words = [x for x in fresh if x.isalpha() and not latin(x) and x.islower()]
+        for at in range(0, len(words), _WORDS):
+            some = words[at : at + _WORDS]
+            ids = np.array(merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
+            cuts = [0, *(2 * np.flatnonzero(closes[ids]) + 2).tolist()]
+            data = ids.tobytes()
+            for x, a, b in zip(some, cuts[:-1], cuts[1:], strict=True):
+                cache[x] = data[a:b]
+        others = list(fresh.difference(words))
+        for at in range(0, len(others), _TOGETHER):
+            some = others[at : at + _TOGETHER]
+            for x, e in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                cache[x] = array("H", e.ids).tobytes()
+
     def stretches(text: str) -> list[str]:
-        plain = "'" not in text and "<|" not in text
-        if plain and text.isascii():
-            return fine(text.lower())
-        if plain and unicodedata.is_normalized("NFC", text):
-            return fine(text)
-        return text.split() if not any(" " in s for s in special) else [text]
+        if "'" in text or "<|" in text or latin(text):
+            return coarse(text)
+        return fine(text.lower())
 
     def encode(texts: list[str]) -> list[bytes]:
         split = [stretches(t) for t in texts]
-        fresh = set().union(*split) - cache.keys()
+        fresh = set().union(*split).difference(cache)
         if len(cache) + len(fresh) > _CACHE:
             cache.clear()
             fresh = set().union(*split)
-        fresh = list(fresh)
-        for x, e in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-            cache[x] = np.array(e.ids, "<u2").tobytes()
-        return [b"".join([cache[x] for x in xs]) + tail for xs in split]
+        learn(fresh)
+        known = cache.__getitem__
+        return [b"".join(map(known, xs)) + tail for xs in split]
 
     return encode
 
@@ -202,22 +225,23 @@ def sequence_at(reader: pa.ipc.RecordBatchFileReader, k: int, batch: int = BATCH
     return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
 
 
-def read_tokens(spark: SparkSession, files: TokenFiles, index: DataFrame) -> DataFrame:
-    """Per row of the index: id, start in the whole stream, ids (as 16-bit bytes).
+def _read(files: TokenFiles, index: DataFrame, made: Callable[[list[np.ndarray]], list[pa.Array]], names: str) -> DataFrame:
+    """Id and start of every row of the index, and what ``made`` gives for its ids.
 
     The rows of a file come together in their order, and the file is read batch by batch beside them.
     """
     kind = index.schema["doc_id"].dataType.simpleString()
     known = {int(name[5:11]): (name, start) for name, start, _ in files.parts}
     rows = index.repartition("part").sortWithinPartitions("part", "first")
+    fields = ["doc_id", "start", *(n.split()[0] for n in names.split(", "))]
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, reader, group, before = None, None, 0, 0
         have = np.zeros(0, "<u2")  # ids of the file from ``before`` on
         for batch in batches:
-            doc, part, first, n = (batch.column(i) for i in range(4))
+            part, first, n = (batch.column(i).to_pylist() for i in range(1, 4))
             start, found = [], []
-            for p, f, k in zip(part.to_pylist(), first.to_pylist(), n.to_pylist()):
+            for p, f, k in zip(part, first, n):
                 if p != at:
                     at, reader, group, before, have = p, open_part(files, known[p][0]), 0, 0, have[:0]
                 if f + k > before + len(have):
@@ -227,33 +251,32 @@ def read_tokens(spark: SparkSession, files: TokenFiles, index: DataFrame) -> Dat
                         rows_ = reader.get_batch(group)
                         group += 1
                         mask = rows_.column(1).flatten().to_numpy(zero_copy_only=False)
-                        chunks.append(rows_.column(0).flatten().to_numpy()[mask])
+                        ids = rows_.column(0).flatten().to_numpy()
+                        chunks.append(ids if mask.all() else ids[mask])
                         size += len(chunks[-1])
                     have, before = np.concatenate(chunks), f
                 start.append(known[p][1] + f)
-                found.append(have[f - before : f - before + k].tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [doc, pa.array(start, pa.int64()), pa.array(found, pa.binary())], names=["doc_id", "start", "ids"]
-            )
+                found.append(have[f - before : f - before + k])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(start, pa.int64()), *made(found)], names=fields)
+
+    return rows.mapInArrow(read, f"doc_id {kind}, start bigint, {names}")
+
 
-    return rows.mapInArrow(read, f"doc_id {kind}, start bigint, ids binary")
+def read_tokens(files: TokenFiles, index: DataFrame) -> DataFrame:
+    """Per row of the index its id, start in the whole stream and ids, as 16-bit bytes."""
+    return _read(files, index, lambda found: [pa.array([x.tobytes() for x in found], pa.binary())], "ids binary")
 
 
-def read_digests(spark: SparkSession, files: TokenFiles, index: DataFrame) -> DataFrame:
+def read_digests(files: TokenFiles, index: DataFrame) -> DataFrame:
     """Id, start, number of ids and their crc32 as 32-bit integers, from the files."""
-    tokens = read_tokens(spark, files, index)
-    kind = index.schema["doc_id"].dataType.simpleString()
 
-    def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [np.frombuffer(x, "<u2") for x in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()),
-                 pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return tokens.mapInArrow(digest, f"doc_id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint")
+    def made(found: list[np.ndarray]) -> list[pa.Array]:
+        return [
+            pa.array([len(x) for x in found], pa.int64()),
+            pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
+        ]
+
+    return _read(files, index, made, "n_tokens bigint, ids_crc32 bigint")
 
 
 def token_folder(spark: SparkSession) -> str:
