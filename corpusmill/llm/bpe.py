@@ -10,18 +10,22 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterable
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import each_block
+from corpusmill.llm.ragged import Table, at_rows, distinct
 
 # fixed value: the pattern that splits text before byte-level merges
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
-_TRIE_BYTES = 1 << 18  # words go into one trie up to this size
 _CACHE = 300_000  # words whose encoding a task remembers at once
 
 
@@ -49,7 +53,8 @@ class ByteBpe:
         for t in self.special:
             self.ids.pop(t.encode(), None)
         self.pieces = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
+        # token of a byte string, or -1 where it only begins one
+        self.known = {b[:n]: -1 for b in self.ids for n in range(1, len(b))} | self.ids
         self.rank = {i: -1 for i in self.ids.values()}
         self.parts: dict[int, tuple[int, int]] = {}
         self.merged: dict[int, tuple[int, int]] = {}
@@ -122,110 +127,138 @@ class ByteBpe:
             symbols[i : i + 2] = [whole]
         return symbols == [token]
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of distinct words, in tries of bounded size over the sorted words."""
-        found: dict[str, list[int]] = {}
-        group: list[bytes] = []
-        size = 0
-        for w in sorted(w.encode("utf-8", "replace") for w in words if w not in self.special):
-            group.append(w)
-            size += len(w)
-            if size >= _TRIE_BYTES:
-                self._walk(group, found)
-                group, size = [], 0
-        self._walk(group, found)
-        return found | {w: [self.special[w]] for w in words if w in self.special}
-
-    def _walk(self, words: list[bytes], found: dict[str, list[int]]) -> None:
-        step: dict[int, int] = {}  # node and byte to the next node
-        below: list[list[int]] = [[]]  # bytes that lead on from a node
-        ends: dict[int, bytes] = {}
+    def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+        """Ids of distinct words."""
+        special = [w for w in words if w in self.special]
+        for w in special:
+            yield w, [self.special[w]]
+        for data, ids in self._walk(sorted(w.encode("utf-8", "replace") for w in words if w not in self.special)):
+            yield data.decode("utf-8", "replace"), ids
+
+    def _walk(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        """Ids of words in the order of a depth-first traversal of their trie.
+
+        Sorted words are a trie laid flat: each word hangs below its predecessor at the end of their common
+        prefix. So the path from the root is kept with its states, cut back to that depth, and
+        only the nodes below it are new: no prefix that words share is computed twice.
+        """
+        known, apart, stands, test = self.known.get, self._apart.get, self.stands, self.stays_apart
+        last = [-1]  # last token of the encoding of the path, at each depth
+        size = [0]  # its length
+        reach = [0]  # length of the longest suffix of the path that some token begins with
+        before = b""
         for w in words:
-            node = 0
-            for b in w:
-                key = node << 8 | b
-                after = step.get(key)
-                if after is None:
-                    after = step[key] = len(below)
-                    below.append([])
-                    below[node].append(b)
-                node = after
-            ends[node] = w
-        ids, longest, apart, stands = self.ids.get, self.longest, self.stays_apart, self.stands
-        path = bytearray()
-        last = [-1]  # last token of the encoding of the path up to each depth
-        size = [0]
-        todo = [(step[b], 0, b) for b in below[0]]
-        while todo:
-            node, depth, byte = todo.pop()
-            del path[depth:], last[depth + 1 :], size[depth + 1 :]
-            path.append(byte)
-            depth += 1
-            for n in range(min(depth, longest), 0, -1):
-                token = ids(bytes(path[depth - n :]))
-                if token is not None and (stands(token) if n == depth else apart(last[depth - n], token)):
-                    last.append(token)
-                    size.append(n)
-                    break
-            if node in ends:
-                out, at = [], depth
-                while at:
-                    out.append(last[at])
-                    at -= size[at]
-                out.reverse()
-                found[ends[node].decode("utf-8", "replace")] = out
-            todo += [(step[node << 8 | b], depth, b) for b in below[node]]
+            depth, most = 0, min(len(w), len(before))
+            while depth < most and w[depth] == before[depth]:
+                depth += 1
+            del last[depth + 1 :], size[depth + 1 :], reach[depth + 1 :]
+            for end in range(depth + 1, len(w) + 1):
+                n = reach[-1] + 1
+                token = known(w[end - n : end])
+                while token is None:
+                    n -= 1
+                    token = known(w[end - n : end])
+                reach.append(n)
+                while True:
+                    if token is not None and token >= 0:
+                        if n == end:
+                            if stands(token):
+                                break
+                        else:
+                            left = last[end - n]
+                            free = apart(left << 32 | token)
+                            if test(left, token) if free is None else free:
+                                break
+                    n -= 1
+                    token = known(w[end - n : end])
+                last.append(token)
+                size.append(n)
+            ids, at = [], len(w)
+            while at:
+                ids.append(last[at])
+                at -= size[at]
+            ids.reverse()
+            before = w
+            yield w, ids
 
     def encode(self, text: str) -> list[int]:
         words = self.words(text)
-        known = self.encode_words(set(words))
+        known = dict(self.encode_words(set(words)))
         return [i for w in words for i in known[w]]
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(self.pieces[i] for i in ids).decode("utf-8", "replace")
 
 
-def _coder(path: str, result: Callable[[list[str], list[bytes]], tuple]) -> Callable[[], Callable]:
-    """For each text, ``result`` of the ids of its words (as text) and the bytes these decode to."""
+_APART = "\x00"
 
-    def make() -> Callable[[list[str]], list[tuple]]:
-        bpe = ByteBpe(path)
-        cache: dict[str, tuple[str, bytes]] = {}
 
-        def work(texts: list[str]) -> list[tuple]:
-            split = [bpe.words(t) for t in texts]
-            fresh = set().union(*split) - cache.keys()
-            if len(cache) + len(fresh) > _CACHE:
-                cache.clear()
-                fresh = set().union(*split)
-            for w, ids in bpe.encode_words(fresh).items():
-                cache[w] = (",".join(map(str, ids)), b"".join([bpe.pieces[i] for i in ids]))
-            return [result([cache[w][0] for w in ws], [cache[w][1] for w in ws]) for ws in split]
+class _Coder:
+    """Ids of blocks of texts, and what these decode to; words met before are remembered.
 
-        return work
+    No token goes beyond a space that follows a character other than a space. So Arrow cuts such
+    texts ahead of each space and finds the different stretches, and only these are split and
+    encoded. Texts with two spaces together, special tokens or NUL are taken whole.
+    """
 
-    return make
+    def __init__(self, path: str):
+        self.bpe = ByteBpe(path)
+        self.words: dict[str, bytes] = {}
+        self.stretches: dict[str, bytes] = {}
+        n = max(self.bpe.pieces) + 1
+        self.numbers = Table([f"{i},".encode() for i in range(n)], "u1")
+        self.pieces = Table([self.bpe.pieces.get(i, b"") for i in range(n)], "u1")
+
+    def _learn(self, stretches: list[str]) -> None:
+        if len(self.words) > _CACHE:
+            self.words.clear()
+        split = [self.bpe.words(x) for x in stretches]
+        fresh = set().union(*split).difference(self.words)
+        for w, ids in self.bpe.encode_words(fresh):
+            self.words[w] = array("I", ids).tobytes()
+        known = self.words.__getitem__
+        for x, ws in zip(stretches, split):
+            self.stretches[x] = known(ws[0]) if len(ws) == 1 else b"".join(map(known, ws))
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the offsets of the texts in them."""
+        column = pa.array(texts, pa.string())
+        plain = [not ("  " in t or "<|" in t or _APART in t) for t in texts]
+        cut = pc.split_pattern(pc.if_else(pa.array(plain), pc.replace_substring(column, " ", _APART + " "), column), _APART)
+        found, index, offsets = distinct(cut)
+        if len(self.stretches) > _CACHE:
+            self.stretches.clear()
+        self._learn([x for x in found if x not in self.stretches])
+        flat, ends = Table([self.stretches[x] for x in found], "<u4").take(index)
+        return flat, at_rows(ends, offsets)
+
+    def rendered(self, ids: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        """For each text its ids in decimal with a comma after each, and the bytes they decode to."""
+        decimal, d_ends = self.numbers.take(ids)
+        decoded, p_ends = self.pieces.take(ids)
+        d, p = (at_rows(e, offsets).tolist() for e in (d_ends, p_ends))
+        decimal, decoded = decimal.tobytes(), decoded.tobytes()
+        for i in range(len(offsets) - 1):
+            yield decimal[d[i] : d[i + 1]], decoded[p[i] : p[i + 1]]
 
 
 def encode_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every text (``array<int>``) beside its id; null and empty texts have none."""
 
-    def ids(words: list[str], _: list[bytes]) -> tuple:
-        return ([int(i) for w in words for i in w.split(",")],)
+    def columns() -> Callable[[list[str]], dict[str, list]]:
+        code = _Coder(path)
 
-    make = _coder(path, ids)
+        def run(texts: list[str]) -> dict[str, list]:
+            flat, offsets = code.ids(texts)
+            return {"ids": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int32)))}
 
-    def columns() -> Callable[[list[str]], dict[str, list]]:
-        work = make()
-        return lambda texts: {"ids": [r[0] for r in work(texts)]}
+        return run
 
     return each_block(docs.select(id_col, F.col(text_col).alias("_text")), "_text", columns, "ids array<int>")
 
 
 def decode_table(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Text of every row of ids, beside the other columns; a null row decodes to the empty text."""
-    import pyarrow as pa
-
     kept = [c for c in tokens.columns if c != ids_col]
     schema = tokens.select(*kept, F.lit("").alias("text")).schema
 
@@ -248,23 +281,18 @@ def code_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Rows are independent, so repeated ones give repeated results; other columns are left out.
     """
 
-    def digest(ids: list[str], pieces: list[bytes]) -> tuple:
-        joined = ",".join(ids)
-        text = b"".join(pieces).decode("utf-8", "replace")
-        return (
-            joined.count(",") + 1 if joined else 0,
-            hashlib.sha256(joined.encode()).hexdigest(),
-            hashlib.sha256(text.encode("utf-8", "replace")).hexdigest(),
-        )
-
-    make = _coder(path, digest)
-
     def columns() -> Callable[[list[str]], dict[str, list]]:
-        work = make()
+        code = _Coder(path)
 
         def run(texts: list[str]) -> dict[str, list]:
-            n, ids, decoded = zip(*work(texts)) if texts else ((), (), ())
-            return {"n_tokens": list(n), "ids_sha256": list(ids), "decoded_sha256": list(decoded)}
+            ids, decoded = [], []
+            flat, offsets = code.ids(texts)
+            n = np.diff(offsets).tolist()
+            for joined, data in code.rendered(flat, offsets):
+                ids.append(hashlib.sha256(joined[:-1]).hexdigest())
+                text = data.decode("utf-8", "replace")
+                decoded.append(hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
+            return {"n_tokens": n, "ids_sha256": ids, "decoded_sha256": decoded}
 
         return run
 

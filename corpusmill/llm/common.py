@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -62,6 +63,11 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
 
 
+def spare_collector() -> None:
+    """Makes Python look for cycles rarely: tasks hold millions of strings and lists, and no cycles."""
+    gc.set_threshold(1_000_000, 50, 50)
+
+
 def each_block(
     df: DataFrame,
     text: str,
@@ -79,6 +85,7 @@ def each_block(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
+        spare_collector()
         for batch in batches:
             for part, texts in blocks(batch, text):
                 work = work or make()

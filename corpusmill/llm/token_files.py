@@ -17,10 +17,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import blocks, remove_at_exit
+from corpusmill.llm.common import blocks, remove_at_exit, spare_collector
+from corpusmill.llm.ragged import Table, at_rows, distinct
 from corpusmill.session import scratch_path
 
 SEQUENCE = 2048
@@ -44,12 +46,12 @@ def file_schema(sequence: int) -> pa.Schema:
     return pa.schema([("ids", pa.list_(pa.uint16(), sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
 
 
-def encoder(path: str, end: int) -> Callable[[list[str]], list[bytes]]:
-    """Turns texts into their ids and ``end``, as little-endian 16-bit integers.
+def encoder(path: str, end: int) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Turns texts into the ids of all, each with ``end`` after it, as 16-bit integers, and the offsets of the texts.
 
     The tokenizers library encodes each distinct stretch of text once. White space always separates
     tokens of this kind of vocabulary, and letters part from other characters, unless an
-    apostrophe, a special token or a normalisation may join them; such texts are cut at white space only.
+    apostrophe, a special token or a normalisation may join them; these are cut at white space only.
     Words of Latin-1 letters, once in lower case, need no normalising, and a piece that closes a word
     tells them apart, so many go through the library's merges as one string.
     """
@@ -70,13 +72,13 @@ def encoder(path: str, end: int) -> Callable[[list[str]], list[bytes]]:
         [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     )
     fine = re.compile(r"[^\W\d_]+|(?:[\d_]|[^\w \t\n\r\x0b\x0c])+").findall
-    coarse = re.compile(r"[^ \t\n\r\x0b\x0c]+").findall
     latin = re.compile(r"[^\x00-\xff]").search
     tail = np.array([end], "<u2").tobytes()
     cache: dict[str, bytes] = {}
+    whole: dict[str, bytes] = {}
 
     def learn(fresh: set[str]) -> None:
-        words = [x for x in fresh if x.isalpha() and not latin(x) and x.islower()]
+        words = [x for x in fresh if x.isalpha() and x.islower() and (x.isascii() or not latin(x))]
         for at in range(0, len(words), _WORDS):
             some = words[at : at + _WORDS]
             ids = np.array(merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u2")
@@ -91,19 +93,30 @@ def encoder(path: str, end: int) -> Callable[[list[str]], list[bytes]]:
                 cache[x] = array("H", e.ids).tobytes()
 
     def stretches(text: str) -> list[str]:
-        if "'" in text or "<|" in text or latin(text):
-            return coarse(text)
-        return fine(text.lower())
-
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [stretches(t) for t in texts]
-        fresh = set().union(*split).difference(cache)
-        if len(cache) + len(fresh) > _CACHE:
+        """The parts of a stretch without white space that are encoded on their own."""
+        if text.isascii() and text.isalpha():
+            return [text.lower()]
+        return [text] if "'" in text or "<|" in text or latin(text) else fine(text.lower())
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        column = pa.array(texts, pa.string())
+        found, index, offsets = distinct(pc.ascii_split_whitespace(column))
+        fresh = [x for x in found if x not in whole]
+        if len(whole) + len(fresh) > _CACHE:
+            whole.clear()
+            fresh = found
+        if len(cache) > _CACHE:
             cache.clear()
-            fresh = set().union(*split)
-        learn(fresh)
+        split = list(map(stretches, fresh))
+        learn(set().union(*split).difference(cache))
         known = cache.__getitem__
-        return [b"".join(map(known, xs)) + tail for xs in split]
+        for x, parts in zip(fresh, split):
+            whole[x] = known(parts[0]) if len(parts) == 1 else b"".join(map(known, parts))
+        # the end id follows the items of each text
+        closing = len(found)
+        spread = np.insert(index, offsets[1:], closing)
+        flat, ends = Table([*map(whole.__getitem__, found), tail], "<u2").take(spread)
+        return flat, at_rows(ends, offsets + np.arange(len(offsets)))
 
     return encode
 
@@ -180,19 +193,17 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, id_col: str
 
         task = TaskContext.get()
         part, writer, encode = task.partitionId(), None, None
+        spare_collector()
         for batch_ in batches:
             for piece, texts in blocks(batch_, "text"):
                 if writer is None:
                     writer = _Writer(folder, part, f"{task.taskAttemptId()}", sequence, batch)
                     encode = encoder(path, end)
-                offsets, sizes = [], []
-                for ids in encode(texts):
-                    offsets.append(writer.n)
-                    sizes.append(len(ids) // 2)
-                    writer.add(ids)
-                n = len(texts)
+                ids, offsets = encode(texts)
+                n, first = len(texts), writer.n
+                writer.add(ids.tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([part] * n, pa.int32()), pa.array(offsets, pa.int64()), pa.array(sizes, pa.int64())],
+                    [piece.column(0), pa.array([part] * n, pa.int32()), pa.array(first + offsets[:-1]), pa.array(np.diff(offsets))],
                     names=["doc_id", "part", "first", "n_tokens"],
                 )
         if writer is not None:
