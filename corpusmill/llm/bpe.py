@@ -222,10 +222,15 @@ class _Coder:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of the texts in them."""
-        column = pa.array(texts, pa.string())
-        plain = [not ("  " in t or "<|" in t or _APART in t) for t in texts]
-        cut = pc.split_pattern(pc.if_else(pa.array(plain), pc.replace_substring(column, " ", _APART + " "), column), _APART)
+        whole = [i for i, t in enumerate(texts) if "  " in t or "<|" in t or _APART in t]
+        column = list(texts)
+        for i in whole:
+            column[i] = ""
+        cut = pc.split_pattern(pc.replace_substring(pa.array(column, pa.string()), " ", _APART + " "), _APART)
         found, index, offsets = distinct(cut)
+        index = index.copy()
+        index[offsets[whole]] = len(found) + np.arange(len(whole))
+        found += [texts[i] for i in whole]
         if len(self.stretches) > _CACHE:
             self.stretches.clear()
         self._learn([x for x in found if x not in self.stretches])

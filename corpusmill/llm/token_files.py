@@ -59,6 +59,7 @@ def encoder(path: str, end: int) -> Callable[[list[str]], tuple[np.ndarray, np.n
 
     from tokenizers import Tokenizer, pre_tokenizers
 
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
