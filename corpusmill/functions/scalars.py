@@ -54,13 +54,19 @@ def iso_format(ts: Column | str) -> Column:
 
 
 def iso_parse(text: Column | str) -> Column:
-    """Reads ISO-8601 with or without ``Z``; what cannot be read becomes NULL.
+    """Reads ISO-8601 with or without ``Z`` or an offset; what cannot be read becomes NULL.
 
-    The wall-clock reading is kept (``Z`` is taken as the zone all data is in),
-    so the result does not depend on the time zone of the session.
+    ``Z`` is taken as the zone all data is in, and a time with an offset is moved to it, so
+    the result does not depend on the time zone of the session.
     """
-    bare = F.regexp_replace(F.trim(_col(text)), "Z$", "")
-    return bare.try_cast("timestamp_ntz")
+    trimmed = F.trim(_col(text))
+    offset = F.regexp_extract(trimmed, r"[T ]\d{1,2}:.*([+-]\d{2}):?(\d{2})$", 0)
+    hours = F.regexp_extract(trimmed, r"([+-]\d{2}):?\d{2}$", 1)
+    minutes = F.concat(F.substring(hours, 1, 1), F.substring(trimmed, -2, 2))
+    read = F.regexp_replace(trimmed, "Z$", "").try_cast("timestamp_ntz")
+    bare = F.regexp_replace(trimmed, r"[+-]\d{2}:?\d{2}$", "").try_cast("timestamp_ntz")
+    moved = bare - F.make_dt_interval(F.lit(0), hours.try_cast("int"), minutes.try_cast("int"))
+    return F.when(offset != "", moved).otherwise(read)
 
 
 def iso_year(text: Column | str) -> Column:

@@ -176,7 +176,7 @@ def parse_with(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [
-                [dict(zip(("type", "text", "page_number"), e)) for e in parser(c)]
+                [dict(zip(("type", "text", "page_number"), e)) for e in parser(c)] if c is not None else []
                 for c in batch["content"]
             ]
             yield batch[["doc_id", "filename", "filetype"]].assign(elements=found)

@@ -34,13 +34,14 @@ def session(app: str = "corpusmill", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can see, as named by ``spark.checkpoint.dir``.
 
-    A local master may go without the setting: one machine holds everything,
-    so a temporary folder is shared by definition.
+    Without it, the folder given to ``setCheckpointDir`` counts. A master that runs all tasks in its
+    own process may go without either: there, a temporary folder is shared by definition.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return os.path.join(tempfile.gettempdir(), "corpusmill")
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
@@ -50,6 +51,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Removes what was staged under a path of :func:`scratch_path`."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for a small input ahead of heavy per-row work.
 

@@ -6,24 +6,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.session import scratch_path
+from corpusmill.session import drop_path, scratch_path
 
 BUCKET = "_bucket"
 
 
 def last_by_key(df: DataFrame, key: str, seq: str) -> DataFrame:
-    """The row with the highest ``seq`` per key.
+    """The row with the highest ``seq`` per key; NULL is lower than any, equal ones go by content.
 
-    Repeats are combined in the task that reads them, so a key with very many
+    A NULL key is a key like any other. Repeats are combined in the task that reads them, so a key with very many
     versions does not gather in one place.
     """
     return (
         df.groupBy(F.col(key).alias("_key"))
-        .agg(F.max_by(F.struct(*df.columns), F.col(seq)).alias("_row"))
+        .agg(
+            F.max_by(
+                F.struct(*df.columns),
+                F.struct(F.col(seq).isNotNull(), F.col(seq), F.xxhash64(*df.columns)),
+            ).alias("_row")
+        )
         .select("_row.*")
     )
 
 
+def _without(old: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The rows of ``old`` whose key is not in ``rows``; NULL equals NULL."""
+    keys = rows.select(F.col(key).alias("_new_key"))
+    return old.join(keys, F.col(key).eqNullSafe(F.col("_new_key")), "left_anti")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
     """``old`` with the rows of ``new`` put in place of those with the same key.
 
@@ -33,7 +44,7 @@ def upsert(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
     side lacks become NULL.
     """
     rows = last_by_key(new, key, seq).drop(seq)
-    kept = old.join(rows.select(key), key, "left_anti")
+    kept = _without(old, rows, key)
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
@@ -62,14 +73,15 @@ def upsert_table(
     last_by_key(new, key, seq).drop(seq).withColumn(BUCKET, keyed).write.parquet(staged)
     rows = spark.read.parquet(staged)
     if exists_at(spark, path):
-        old = spark.read.parquet(path)
-        kept_buckets = old.schema[key].metadata.get("buckets")
+        # all files' columns: a bucket may have ones that another lacks
+        old = spark.read.option("mergeSchema", "true").parquet(path)
+        kept_buckets = spark.read.parquet(path).schema[key].metadata.get("buckets")
         if kept_buckets != buckets:
             raise ValueError(f"the table has {kept_buckets} buckets, not {buckets}")
         # bucket numbers only, so that the folders of all others are left alone
         touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
         old = old.where(F.col(BUCKET).isin(touched))
-        kept = old.join(rows.select(key), key, "left_anti")
+        kept = _without(old, rows, key)
         rows = kept.unionByName(rows, allowMissingColumns=True)
     columns = [tagged if c == key else F.col(c) for c in rows.columns]
     (
@@ -80,6 +92,7 @@ def upsert_table(
         .partitionBy(BUCKET)
         .parquet(path)
     )
+    drop_path(spark, staged)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

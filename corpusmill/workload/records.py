@@ -714,7 +714,7 @@ def _sql_records(seed: int, start: str, span: int) -> str:
         holes = {
             "customer": "customer_name", "city": "location_city", "region": "region",
             "model": "product_model", "line": "product_line", "rep": "sales_representative",
-            "retailer": "retailer", "price": "p", "reduced": "(p - 20)",
+            "retailer": "retailer", "price": "p", "deposit": "(p // 10)",
             "topic": "replace(interaction_type, '_', ' ')",
         }
         sql = "'" + template.replace("'", "''") + "'"
@@ -726,6 +726,7 @@ def _sql_records(seed: int, start: str, span: int) -> str:
         f"WHEN '{kind}' THEN {filled(t)}" for kind, t in c.interactions.items() if t is not None
     )
     models = [m for line in c.lines for m in line.models]
+    n_models = len(models) // len(c.lines)
     digests = ", ".join(f"md5('{seed}:{b}:' || o_orderkey) AS h{b}" for b in range(5))
     return f"""
       WITH d AS (SELECT md5('{seed}:uuid:' || o_orderkey) AS u, {digests} FROM orders),
@@ -739,7 +740,7 @@ def _sql_records(seed: int, start: str, span: int) -> str:
              {pick(6, c.retailers)} AS retailer, {pick(7, c.cities)} AS location_city,
              {pick(8, c.regions)} AS region, {pick(9, c.interactions)} AS interaction_type,
              {quoted(x.name for x in c.lines)}[line + 1] AS product_line,
-             {quoted(models)}[line * 3 + {raw(1)} % 3 + 1] AS product_model
+             {quoted(models)}[line * {n_models} + {raw(1)} % {n_models} + 1] AS product_model
            FROM a),
       t AS (SELECT *, CASE interaction_type {cases} ELSE {filled(c.fallback)} END AS tx FROM b)
       SELECT substr(u, 1, 8) || '-' || substr(u, 9, 4) || '-4' || substr(u, 14, 3) || '-a'

@@ -116,3 +116,25 @@ def test_flow(spark, tmp_path):
     assert (point.payload.text, point.vector) == ("T\nabc", [1.0, 0.0])
     with pytest.raises(ValueError):
         DocumentFlow("odt").elements(docs)
+
+
+def test_null_and_equal_versions(spark, tmp_path):
+    """A NULL version loses to any other, and a lone one stays; a NULL key is replaced like any key."""
+    rows = spark.createDataFrame(
+        [(1, "a", None), (2, "b", None), (2, "c", 3), (None, "d", 1)], "id int, v string, seq int"
+    )
+    old = spark.createDataFrame([(None, "old"), (5, "e")], "id int, v string")
+    found = {(r.id, r.v) for r in upsert(old, rows, "id", "seq").collect()}
+    assert found == {(1, "a"), (2, "c"), (None, "d"), (5, "e")}
+    equal = spark.createDataFrame([(1, c, 7) for c in "abcdef"], "id int, v string, seq int")
+    picked = {upsert(old, equal.repartition(n), "id", "seq").where("id = 1").first().v for n in (1, 2, 5)}
+    assert len(picked) == 1
+
+
+def test_column_of_one_bucket_stays(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_table(spark, path, spark.createDataFrame([(i, "a", 1) for i in range(20)], "id int, v string, seq int"), "id", "seq", 2)
+    upsert_table(spark, path, spark.createDataFrame([(3, "b", "new", 2)], "id int, v string, w string, seq int"), "id", "seq", 2)
+    upsert_table(spark, path, spark.createDataFrame([(i, "c", 3) for i in range(20) if i != 3], "id int, v string, seq int"), "id", "seq", 2)
+    found = {r.id: (r.v, r.w) for r in read_table(spark, path).collect()}
+    assert found == {i: ("b", "new") if i == 3 else ("c", None) for i in range(20)}
