@@ -56,13 +56,14 @@ def html_elements(html: Column | str) -> Column:
     """Titles, paragraphs, list items, tables and images of an HTML text, in order.
 
     A block ends at the first closing tag of any block, as pages often leave
-    their own tags open. Scripts, styles and comments are not text. Blocks
-    without text are left out, images are kept.
+    their own tags open. Text that stands outside of such blocks, wherever it is, is
+    narrative text too, so nothing visible is lost. Scripts, styles and comments are not
+    text. Elements without text are left out, images are kept.
     """
     html = F.col(html) if isinstance(html, str) else html
-    blocks = F.regexp_extract_all(
-        F.regexp_replace(html, _HIDDEN, " "), F.lit(_BLOCK), F.lit(0)
-    )
+    shown = F.regexp_replace(html, _HIDDEN, " ")
+    blocks = F.regexp_extract_all(shown, F.lit(_BLOCK), F.lit(0))
+    between = F.split(shown, _BLOCK, -1)
 
     tagged = F.transform(
         blocks,
@@ -78,9 +79,16 @@ def html_elements(html: Column | str) -> Column:
         ).otherwise(_plain(e["block"]))
         return _element(lookup(TAG_TYPES, e["tag"]), lookup(_TAG_CATEGORIES, e["tag"]), text)
 
-    return F.filter(
-        F.transform(tagged, element), lambda e: (e["text"] != "") | (e["type"] == "Image")
+    # the stretch before each block, the block, ..., and the stretch after the last
+    in_order = F.zip_with(
+        between,
+        tagged,
+        lambda stretch, block: F.array(
+            _element(F.lit("NarrativeText"), F.lit("body"), _plain(stretch)),
+            F.when(block.isNotNull(), element(block)),
+        ),
     )
+    return F.filter(F.flatten(in_order), lambda e: (e["text"] != "") | (e["type"] == "Image"))
 
 
 def text_elements(text: Column | str) -> Column:

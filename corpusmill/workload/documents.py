@@ -12,7 +12,7 @@ from corpusmill.operators.embed import hashed_counts, hashed_sparse
 from corpusmill.operators.entities import extract_entities, gazetteer_entities, pattern_entities
 from corpusmill.operators.hybrid import hybrid_corpus
 from corpusmill.operators.partition import (
-    partition_html, partition_text, partition_with,
+    html_elements, partition_html, partition_text, partition_with,
 )
 from corpusmill.plans.flow import DocumentFlow
 from corpusmill.session import scratch_path, spread
@@ -107,18 +107,20 @@ def _sql_plain(block: str) -> str:
 _SQL_HTML_ELEMENTS = rf"""
   SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS pos,
          CASE WHEN tag IN ('title', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6') THEN 'Title'
-              WHEN tag = 'p' THEN 'NarrativeText' WHEN tag = 'li' THEN 'ListItem'
+              WHEN tag IN ('p', 'between') THEN 'NarrativeText' WHEN tag = 'li' THEN 'ListItem'
               WHEN tag = 'table' THEN 'Table' ELSE 'Image' END AS type,
          CASE WHEN tag IN ('title', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6') THEN 'heading'
-              WHEN tag = 'p' THEN 'body' WHEN tag = 'li' THEN 'list'
+              WHEN tag IN ('p', 'between') THEN 'body' WHEN tag = 'li' THEN 'list'
               WHEN tag = 'table' THEN 'table' ELSE 'image' END AS category,
          text
   FROM (SELECT doc_id, i, lower(regexp_extract(block, '^<([A-Za-z0-9]+)', 1)) AS tag,
                {_sql_plain('block')} AS text
-        FROM (SELECT page_id AS doc_id, unnest(b) AS block, generate_subscripts(b, 1) AS i
-              FROM (SELECT page_id,
-                           regexp_extract_all(regexp_replace(html, '{_HIDDEN}', ' ', 'g'),
-                                              '{_BLOCK}') AS b FROM pages)))
+        FROM (WITH shown AS (SELECT page_id, regexp_replace(html, '{_HIDDEN}', ' ', 'g') AS h FROM pages),
+                   cut AS (SELECT page_id, regexp_extract_all(h, '{_BLOCK}') AS b,
+                                  regexp_split_to_array(h, '{_BLOCK}') AS g FROM shown)
+              SELECT page_id AS doc_id, unnest(b) AS block, 2 * generate_subscripts(b, 1) AS i FROM cut
+              UNION ALL
+              SELECT page_id, '<between>' || unnest(g), 2 * generate_subscripts(g, 1) - 1 FROM cut))
   WHERE text <> '' OR tag = 'img'
 """
 
@@ -146,6 +148,32 @@ def partition_html_(spark, sf_dir):
     return partition_html(spread(load(spark, sf_dir, "pages")), "page_id").drop("metadata")
 
 
+# written without the patterns above: comments and scripts out, then every tag, then all white space
+_SQL_VISIBLE = r"""
+  SELECT page_id AS doc_id, length(t) AS n_visible, md5(t) AS visible
+  FROM (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(
+                 regexp_replace(regexp_replace(regexp_replace(html,
+                   '<!--(?s:.)*?-->', ' ', 'g'), '(?i)<(script|style)\b(?s:.)*?</(script|style)>', ' ', 'g'),
+                   '<[^>]*>', '', 'g'),
+                 '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+                 '[ \t\r\n\f]+', '', 'g') AS t FROM pages)
+"""
+
+
+@named("html_text_kept", _SQL_VISIBLE)
+def html_text_kept(spark, sf_dir):
+    """The visible characters of a page are those of its elements, in the same order."""
+    pages = spread(load(spark, sf_dir, "pages"))
+    texts = F.filter(html_elements("html"), lambda e: e["type"] != "Image")
+    joined = F.array_join(F.transform(texts, lambda e: e["text"]), "")
+    squeezed = pages.select(
+        F.col("page_id").alias("doc_id"), F.regexp_replace(joined, r"[ \t\r\n\f]+", "").alias("t")
+    )
+    return squeezed.select(
+        "doc_id", F.length("t").cast("bigint").alias("n_visible"), F.md5("t").alias("visible")
+    )
+
+
 @named("partition_text", _SQL_TEXT_ELEMENTS)
 def partition_text_(spark, sf_dir):
     return partition_text(spread(load(spark, sf_dir, "documents"))).drop("metadata")

@@ -26,6 +26,17 @@ def test_html(spark):
     ]
 
 
+def test_html_text_outside_of_blocks(spark):
+    html = """loose<div>in a div</div><blockquote>quoted <i>words</i></blockquote><p>para</p>
+      <pre>code</pre><dl><dt>term</dt></dl><footer>foot</footer>tail <p>open"""
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "doc_id int, html string")
+    assert elements(partition_html(df)) == [
+        (0, "NarrativeText", "body", "loose in a div quoted words"),
+        (1, "NarrativeText", "body", "para"),
+        (2, "NarrativeText", "body", "code term foot tail open"),
+    ]
+
+
 def test_text(spark):
     text = "# Head\r\n\n  plain  \n- item\n2) two\n| a | b |\n![pic](x)\n#no\n\n##  \n"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
