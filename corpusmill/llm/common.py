@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -68,6 +70,18 @@ def spare_collector() -> None:
     gc.set_threshold(1_000_000, 50, 50)
 
 
+def kept_by_worker(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the Python worker for the tasks after this one.
+
+    A worker serves many tasks, but the functions of each arrive anew, and their globals with them; a
+    module made here stays. For memos of pure functions only: losing one costs time, not results.
+    """
+    module = sys.modules.setdefault("corpusmill_worker_memo", types.ModuleType("corpusmill_worker_memo"))
+    if key not in module.__dict__:
+        module.__dict__[key] = make()
+    return module.__dict__[key]
+
+
 def each_block(
     df: DataFrame,
     text: str,

@@ -21,13 +21,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import blocks, remove_at_exit, spare_collector
+from corpusmill.llm.common import blocks, kept_by_worker, remove_at_exit, spare_collector
 from corpusmill.llm.ragged import Table, at_rows, distinct
 from corpusmill.session import scratch_path
 
 SEQUENCE = 2048
 BATCH = 256
-_CACHE = 400_000
+_CACHE = 600_000
 _WORDS = 20_000  # plain words given to the library as one string
 _TOGETHER = 2_000  # other stretches given to the library at once; each costs it about a kilobyte
 
@@ -199,7 +199,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, end: int, id_col: str
             for piece, texts in blocks(batch_, "text"):
                 if writer is None:
                     writer = _Writer(folder, part, f"{task.taskAttemptId()}", sequence, batch)
-                    encode = encoder(path, end)
+                    encode = kept_by_worker(("encoder", path, end), lambda: encoder(path, end))
                 ids, offsets = encode(texts)
                 n, first = len(texts), writer.n
                 writer.add(ids.tobytes())
