@@ -284,7 +284,8 @@ def _resolve(rows: list[tuple], length: int, id_type: pa.DataType) -> pa.RecordB
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """``(doc_id, h, b, e)``: byte ranges of ``docs (doc_id, h, text)`` in strings of ``length`` bytes found twice or more."""
     runs = staged(_runs(docs, length, gram), "runs")
-    shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
+    # keys are written before they are joined: a join of two shuffles can be split where a key is hot, one with an aggregate cannot
+    shared = staged(runs.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key"), "shared_keys")
     runs = staged(runs.join(shared, "key", "left_semi"), "shared_runs")
     # runs of equal content: one stands for all of them
     distinct = staged(
@@ -296,7 +297,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     copied = runs.join(distinct.filter("k > 1").select("key", "ctx"), ["key", "ctx"], "left_semi").select(
         "doc_id", "h", F.col("s").alias("b"), (F.col("s") + F.col("n") - 1 + length).alias("e")
     )
-    mixed = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    mixed = staged(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "mixed_keys")
     wanted = distinct.join(mixed, "key", "left_semi").select(
         "doc_id", "h", "s", "n", "x", "key", (F.col("k") == 1).alias("alone")
     )
