@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import staged
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# a name of 255 octets has no more labels than this (RFC 1035)
+MOST_LABELS = 127
+# parent domains that a row tests in one pass
+STEP = 5
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
@@ -47,9 +51,15 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
-def domains_of(host: Column, depth: int) -> list[Column]:
-    """The host, and its parent domains of two to ``depth`` labels; with fewer labels the host again."""
-    return [host, *(F.substring_index(host, ".", -n) for n in range(2, depth + 1))]
+def labels_of(host: Column) -> Column:
+    """Number of labels of a host, no more than a name can have."""
+    return F.least(F.size(F.split(host, r"\.")), F.lit(MOST_LABELS))
+
+
+def domains_of(host: Column) -> Column:
+    """Array of the host and its parent domains of two or more labels."""
+    spans = F.sequence(F.lit(2), F.greatest(labels_of(host), F.lit(2)))
+    return F.array_prepend(F.transform(spans, lambda n: F.call_function("substring_index", host, F.lit("."), -n)), host)
 
 
 def rule_for(rules: Iterable[Rule], host: Column, path: Column) -> tuple[Column, Column]:
@@ -136,23 +146,29 @@ def cascade(keys: DataFrame, n_listed: int, n_others: int) -> Cascade:
     return Cascade(tuple(levels))
 
 
-def listed_hosts(hosts: DataFrame, listed: Column, depth: int = 6, max_words: int = 8 << 20) -> DataFrame:
+def listed_hosts(hosts: DataFrame, listed: Column, max_words: int = 8 << 20) -> DataFrame:
     """Adds ``is_listed`` to ``hosts (host, …)``: whether the host or a parent domain is listed.
 
-    Parents of two to ``depth`` labels count. ``listed`` judges the column ``key``. The universe is every domain of the table, found in one
-    shuffle that combines equal hosts first. A cascade beyond ``max_words`` 64-bit words is
-    built in shards by the hash of the key; the rows then pass one shard after the other, so that no
-    executor holds more than one.
+    Parents of two labels and more count. ``listed`` judges the column ``key``. The universe is every
+    domain of the table, found in one shuffle that combines equal hosts first; it also tells how many
+    labels the deepest host has, and rows test that many parents, ``STEP`` in a pass. A cascade
+    beyond ``max_words`` 64-bit words is built in shards by the hash of the key; the rows then pass one
+    shard after the other, so that no executor holds more than one.
     """
     keys = (
         hosts.select("host").distinct()
-        .select(F.explode(F.array(*domains_of(F.col("host"), depth))).alias("key")).distinct()
+        .select(F.explode(domains_of(F.col("host"))).alias("key")).distinct()
         .select("key", F.coalesce(listed, F.lit(False)).alias("listed"))
     )
     keys = staged(keys, "url_keys")
-    sizes = keys.agg(F.count_if("listed").alias("l"), F.count_if(~F.col("listed")).alias("o")).first()
+    sizes = keys.agg(
+        F.count_if("listed").alias("l"), F.count_if(~F.col("listed")).alias("o"), F.max(labels_of(F.col("key"))).alias("depth")
+    ).first()
     probes, bits = _shape(max(1, sizes["l"]), sizes["o"], 0)
     shards = max(1, math.ceil(2 * bits / 64 / max_words))
+    parents = list(range(2, (sizes["depth"] or 0) + 1))
+    passes = [parents[at : at + STEP] for at in range(0, len(parents), STEP)] or [[]]
+    host = F.col("host")
     out = hosts.withColumn("is_listed", F.lit(False))
     for shard in range(shards):
         mine = (lambda k, s=shard: F.pmod(F.xxhash64(k, F.lit("shard")), F.lit(shards)) == s) if shards > 1 else (lambda k: F.lit(True))
@@ -161,17 +177,18 @@ def listed_hosts(hosts: DataFrame, listed: Column, depth: int = 6, max_words: in
         found = cascade(own, n["l"], n["o"])
         if not found.levels:
             continue
-        hit = F.lit(False)
-        for k in domains_of(F.col("host"), depth):
-            hit = hit | (mine(k) & found.lists(k))
-        out = out.withColumn("is_listed", F.col("is_listed") | hit)
-        if shards > 1:
-            out = staged(out, "url_shard")
+        for first, labels in enumerate(passes):
+            hit = F.lit(False)
+            for key in [*([] if first else [host]), *(F.substring_index(host, ".", -n) for n in labels)]:
+                hit = hit | (mine(key) & found.lists(key))
+            out = out.withColumn("is_listed", F.col("is_listed") | hit)
+            if shards * len(passes) > 1:
+                out = staged(out, "url_pass")
     return out
 
 
 def judge_urls(pages: DataFrame, rules: Iterable[Rule], listed: Column, id_col: str = "page_id", url_col: str = "url",
-               depth: int = 6, max_words: int = 8 << 20) -> DataFrame:
+               max_words: int = 8 << 20) -> DataFrame:
     """Id, host, path, rule, verdict and ``listed`` of every row.
 
     The longest rule that fits decides; else the url is blocked if its host, or a parent domain, is
@@ -180,7 +197,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[Rule], listed: Column, id_col:
     """
     url = F.col(url_col)
     parsed = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = listed_hosts(parsed, listed, depth, max_words)
+    judged = listed_hosts(parsed, listed, max_words)
     rule, verdict = rule_for(rules, F.col("host"), F.col("path"))
     own = F.when(F.col("is_listed"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "is_listed")

@@ -69,6 +69,8 @@ def test_url_filter(spark):
         "http://example.com/de/", "http://notexample.com/de/", "http://a.spam-x.com", "http://spam.com?x/y", "http://x.org/fr/#1",
         "http://é.org/fr/", "http://spam.com?x/y",
     ] + [f"http://h{i}.{'spam' if i % 5 == 0 else 'fine'}{i}.com/p" for i in range(400)]
+    # bad labels deep inside long names
+    urls += [f"http://{'.'.join(['a'] * n)}.{bad}.{'.'.join(['b'] * m)}.com/" for n in (1, 4) for m in (1, 6) for bad in ("spam", "fine")]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")
     rules = [url_filter.Rule("net", "/", "block"), url_filter.Rule("example.net", "/en/", "allow"),
              url_filter.Rule("example.com", "/de/", "block"), url_filter.Rule("org", "/fr/", "allow")]
