@@ -55,6 +55,8 @@ def main() -> None:
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "12g"),
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
+        # the test files have one row group each
+        spark__corpusmill__inputPartitions=cpus,
     )
     spark.sparkContext.setLogLevel("OFF")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -235,14 +236,16 @@ def table_stats(df: DataFrame, *, files: bool = True) -> DataFrame:
     columns = F.lit(len(df.columns)).cast("bigint").alias("n_columns")
     if not files:
         return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", columns)
-    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count("*").alias("n"), F.max("_metadata.file_size").alias("bytes")
+    # the names as the scan lists them, files without rows included; their sizes are metadata
+    paths = [unquote(f) for f in df.inputFiles()]
+    rows = df.agg(F.count("*").alias("n_rows"))
+    if not paths:
+        zero = F.lit(0).cast("bigint")
+        return rows.select("n_rows", zero.alias("n_files"), zero.alias("n_bytes"), columns)
+    listed = df.sparkSession.read.format("binaryFile").load(paths).agg(
+        F.count("*").alias("n_files"), F.sum("length").alias("n_bytes")
     )
-    return per_file.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-        F.count("*").alias("n_files"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("n_bytes"),
-    ).withColumn("n_columns", columns)
+    return rows.select("n_rows", *(listed.select(c).scalar().alias(c) for c in listed.columns), columns)
 
 
 def run_summary(stages: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -256,6 +259,24 @@ def run_summary(stages: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     summary = rows[0]
     for row in rows[1:]:
         summary = summary.unionByName(row)
+    return _with_status(summary)
+
+
+def stage_rows(totals: DataFrame, stages: Sequence[str]) -> DataFrame:
+    """The rows of :func:`run_summary` from one row with the columns ``stage`` and ``stage_filled`` of each."""
+    each = F.array(
+        *(
+            F.struct(
+                F.lit(s).alias("stage"), F.col(s).cast("long").alias("n_rows"),
+                F.col(f"{s}_filled").cast("long").alias("n_filled"),
+            )
+            for s in stages
+        )
+    )
+    return _with_status(totals.select(F.inline(each)))
+
+
+def _with_status(summary: DataFrame) -> DataFrame:
     return summary.withColumn(
         "status", F.when(F.col("n_rows") > 0, F.lit("COMPLETED")).otherwise(F.lit("EMPTY"))
     )

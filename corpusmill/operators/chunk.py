@@ -31,6 +31,7 @@ MAX_CHARS, NEW_AFTER, OVERLAP = 2048, 1500, 0
 # have: 2^13 elements per block, 2^9 blocks per span and 2^9 spans per document
 # keep every group of the block form below these sizes.
 BLOCK_ELEMENTS, SPAN_BLOCKS = 1 << 13, 1 << 9
+_RUN = 256  # pieces whose starts are gathered together
 
 
 def _check(max_chars: int, new_after: int, overlap: int) -> None:
@@ -78,11 +79,7 @@ def _starts(parts: Column, max_chars: int, new_after: int, open_chars: Column) -
     Only lengths are folded; the text is joined afterwards from slices.
     ``open_chars`` is the length of the chunk left open before the first piece.
     """
-    zero = F.struct(
-        F.array().cast("array<int>").alias("starts"),
-        open_chars.cast("int").alias("cur"),
-        F.lit(0).alias("i"),
-    )
+    no_starts = F.array().cast("array<int>")
 
     def merge(acc: Column, p: Column) -> Column:
         grown = acc["cur"] + 1 + p["len"]
@@ -95,7 +92,21 @@ def _starts(parts: Column, max_chars: int, new_after: int, open_chars: Column) -
             (acc["i"] + 1).alias("i"),
         )
 
-    return F.aggregate(parts, zero, merge, lambda acc: acc["starts"])
+    # appending copies the array, so starts are gathered by runs of pieces, and runs in turn
+    def merge_run(acc: Column, first: Column) -> Column:
+        open_run = F.struct(no_starts.alias("starts"), acc["cur"].alias("cur"), first.alias("i"))
+        return let(
+            F.aggregate(F.slice(parts, first + 1, _RUN), open_run, merge),
+            lambda run: F.struct(
+                F.array_append(acc["runs"], run["starts"]).alias("runs"), run["cur"].alias("cur")
+            ),
+        )
+
+    zero = F.struct(
+        F.array().cast("array<array<int>>").alias("runs"), open_chars.cast("int").alias("cur")
+    )
+    firsts = F.sequence(F.lit(0), F.size(parts), F.lit(_RUN))
+    return F.aggregate(firsts, zero, merge_run, lambda acc: F.flatten(acc["runs"]))
 
 
 def _join_slices(parts: Column, starts: Column) -> Column:

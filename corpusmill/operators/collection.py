@@ -124,6 +124,13 @@ def _merge_best(found: list[pd.DataFrame], k: int) -> pd.DataFrame:
     return rows.groupby("query_id", sort=False).head(k)
 
 
+def unfit_vectors(df: DataFrame, dim: int, key: str = "id", vector: str = "vector") -> DataFrame:
+    """The keys that a search leaves out: of a NULL vector, or one of another size or with a gap."""
+    v = F.col(vector)
+    gap = F.exists(v, lambda x: x.isNull() | F.isnan(x))
+    return df.where(~F.coalesce(has_vector(vector, dim) & ~gap, F.lit(False))).select(key)
+
+
 def knn(
     points: DataFrame,
     queries: DataFrame,
@@ -139,6 +146,7 @@ def knn(
 ) -> DataFrame:
     """Exact nearest points by cosine: query_id, rank, id, score.
 
+    Rows that :func:`unfit_vectors` names take no part, as points or as queries.
     Scores are matrix products inside the tasks. Of all compared pairs only
     the k best per query leave a task. Query vectors whose size has been
     checked against ``broadcast_bytes`` go to every task; a larger set is

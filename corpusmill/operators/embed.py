@@ -150,15 +150,19 @@ def embed_with(
     """Adds vectors from a model of your own.
 
     ``model`` maps a list of texts to as many sequences of ``dim`` numbers. It
-    is called once per Arrow batch, inside the tasks.
+    is called once per Arrow batch, inside the tasks, without the NULL texts, whose vectors are NULL.
     """
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            vectors = [[float(x) for x in v] for v in model(batch.tolist())]
-            if len(vectors) != len(batch) or any(len(v) != dim for v in vectors):
-                raise ValueError(f"the model must return {len(batch)} vectors of {dim}")
-            yield pd.Series(vectors, index=batch.index)
+            given = batch[batch.notna()]
+            vectors = [[float(x) for x in v] for v in model(given.tolist())] if len(given) else []
+            if len(vectors) != len(given) or any(len(v) != dim for v in vectors):
+                raise ValueError(f"the model must return {len(given)} vectors of {dim}")
+            found = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            for at, vector in zip(given.index, vectors):
+                found.at[at] = vector
+            yield found
 
     return df.withColumn(vector, run(F.col(text)))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.functions.arrays import lookup
+from corpusmill.functions.arrays import let, lookup
 from corpusmill.schemas import METADATA_TYPE, fields
 
 # fixed values: element type by tag, category by element type
@@ -34,6 +34,17 @@ _BLOCK = (
     r"(?is)<table\b[^>]*>.*?</table>|<img\b[^>]*>"
     r"|<(?:title|h[1-6]|p|li)\b[^>]*>.*?</(?:title|h[1-6]|p|li)>"
 )
+# opener, closer, and what an opener without a closer becomes: a tag that is no block, or a marker
+_OPEN_COMMENT = "<\u0001!--"
+_HIDDEN_TAGS = (
+    (r"<!--", r"-->", _OPEN_COMMENT),
+    (r"(?i)<script\b", r"</script>", "<x-script"),
+    (r"(?i)<style\b", r"</style>", "<x-style"),
+)
+_BLOCK_TAGS = (
+    (r"(?i)<table\b", r"</table>", "<x-table"),
+    (r"(?i)<(?=(?:title|h[1-6]|p|li)\b)", r"</(?:title|h[1-6]|p|li)>", "<x-"),
+)
 _ALT = r"""(?is)\balt\s*=\s*["']([^"']*)["']"""
 _SPACE = r"[ \t\r\n\f]+"
 _ENTITIES = (
@@ -61,7 +72,39 @@ def html_elements(html: Column | str) -> Column:
     text. Elements without text are left out, images are kept.
     """
     html = F.col(html) if isinstance(html, str) else html
-    shown = F.regexp_replace(html, _HIDDEN, " ")
+    shown = html
+    for opener, closer, inert in _HIDDEN_TAGS:
+        shown = _closed_only(shown, opener, closer, inert)
+    # an opened comment that never ends stays as it was written
+    shown = F.replace(F.regexp_replace(shown, _HIDDEN, " "), F.lit(_OPEN_COMMENT), F.lit("<!--"))
+    for opener, closer, inert in _BLOCK_TAGS:
+        shown = _closed_only(shown, opener, closer, inert)
+    return let(shown, _elements_of)
+
+
+def _closed_only(text: Column, opener: str, closer: str, inert: str) -> Column:
+    """The text with ``inert`` for every opener that no closer follows.
+
+    A lazy pattern would look for its end from each of these up to the end of the page. All
+    that come before the last closer find one, and are consumed with what they enclose.
+    """
+    return let(
+        text,
+        lambda t: F.when(
+            ~t.rlike(opener), t
+        ).otherwise(
+            let(
+                F.length(F.regexp_extract(t, rf"(?is)^.*{closer}", 0)),
+                lambda n: F.concat(
+                    F.substring(t, F.lit(1), n),
+                    F.regexp_replace(F.substring(t, n + 1, F.length(t)), opener, inert),
+                ),
+            )
+        ),
+    )
+
+
+def _elements_of(shown: Column) -> Column:
     blocks = F.regexp_extract_all(shown, F.lit(_BLOCK), F.lit(0))
     between = F.split(shown, _BLOCK, -1)
 
@@ -166,7 +209,9 @@ def parse_with(
 
     ``parser`` takes the content of one document and returns
     ``(type, text, page_number)`` tuples. It runs in the tasks, once per
-    document. Result: doc_id, filename, filetype, elements.
+    document. Result: doc_id, filename, filetype, elements, error. A document that the
+    parser fails on has NULL elements and the message in ``error``; one without
+    content has no elements and no error.
     """
     described = metadata(filename, filetype)
     source = df.select(
@@ -178,20 +223,37 @@ def parse_with(
     parsed = fields(type="string", text="string", page_number="integer")
     out = fields(
         doc_id=source.schema["doc_id"].dataType, filename="string", filetype="string",
-        elements=T.ArrayType(parsed),
+        elements=T.ArrayType(parsed), error="string",
     )
 
+    def parse(content):
+        if content is None:
+            return [], None
+        try:
+            return [dict(zip(("type", "text", "page_number"), e)) for e in parser(content)], None
+        except Exception as failure:
+            return None, f"{type(failure).__name__}: {failure}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                [dict(zip(("type", "text", "page_number"), e)) for e in parser(c)] if c is not None else []
-                for c in batch["content"]
-            ]
-            yield batch[["doc_id", "filename", "filetype"]].assign(elements=found)
+            found = [parse(c) for c in batch["content"]]
+            yield batch[["doc_id", "filename", "filetype"]].assign(
+                elements=[f[0] for f in found], error=[f[1] for f in found]
+            )
 
     return source.mapInPandas(run, out)
 
 
+def with_error_elements(parsed: DataFrame) -> DataFrame:
+    """The result of :func:`parse_with`, with one element of type ``Error`` for each failed document."""
+    message = F.array(
+        F.struct(
+            F.lit("Error").alias("type"), F.col("error").alias("text"), F.lit(None).cast("int").alias("page_number")
+        )
+    )
+    return parsed.withColumn("elements", F.coalesce("elements", message))
+
+
 def partition_with(
     df: DataFrame,
     parser: Callable[[bytes], list[tuple]],
@@ -200,15 +262,21 @@ def partition_with(
     filename: str | None = None,
     filetype: str | Column | None = None,
 ) -> DataFrame:
-    """Elements by a parser of your own, for formats such as PDF; see :func:`parse_with`."""
-    parsed = parse_with(df, parser, doc_id, content, filename, filetype)
+    """Elements by a parser of your own, for formats such as PDF; see :func:`parse_with`.
+
+    A document that the parser fails on gives one element of type and category ``Error`` and
+    ``error``, with the message as its text.
+    """
+    parsed = with_error_elements(parse_with(df, parser, doc_id, content, filename, filetype))
     return parsed.select(
         "doc_id", "filename", "filetype", F.posexplode("elements").alias("pos", "e")
     ).select(
         "doc_id",
         "pos",
         "e.type",
-        F.coalesce(lookup(CATEGORIES, F.col("e.type")), F.lit("body")).alias("category"),
+        F.when(F.col("e.type") == "Error", "error")
+        .otherwise(F.coalesce(lookup(CATEGORIES, F.col("e.type")), F.lit("body")))
+        .alias("category"),
         "e.text",
         F.struct("filename", "filetype", "e.page_number").cast(METADATA_TYPE).alias("metadata"),
     )

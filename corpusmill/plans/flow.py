@@ -8,12 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.arrays import let
+from corpusmill.operators.aggregates import stage_rows
 from corpusmill.operators.chunk import MAX_CHARS, NEW_AFTER, OVERLAP, explode_chunks, packed
 from corpusmill.operators.clean import strip_inline_images
 from corpusmill.operators.embed import DIM, embed_hashed, embed_with
 from corpusmill.operators.hybrid import document_items, to_points
 from corpusmill.operators.partition import (
     explode_elements, html_elements, metadata, parse_with, partition_with, text_elements,
+    with_error_elements,
 )
 from corpusmill.sinks.points import write_points
 
@@ -60,7 +63,9 @@ class DocumentFlow:
     def chunks(self, documents: DataFrame) -> DataFrame:
         cleaned = self._cleaned(documents)
         if callable(self.source):
-            cleaned = parse_with(cleaned, self.source, self.doc_id, self.content, self.filename)
+            cleaned = with_error_elements(
+                parse_with(cleaned, self.source, self.doc_id, self.content, self.filename)
+            )
             doc_id, elements = "doc_id", F.col("elements")
             page = F.get("elements", F.lit(0))["page_number"].alias("page_number")
             meta = F.struct("filename", "filetype", page)
@@ -78,7 +83,44 @@ class DocumentFlow:
             return to_points(embed_hashed(items, dim=self.dim))
         return to_points(embed_with(items, self.model, self.dim))
 
+    def summary(self, documents: DataFrame) -> DataFrame:
+        """Rows and filled rows of each stage, as :func:`run_summary` has them, from one scan.
+
+        Elements and chunks are counted in the row of their document.
+        """
+        if callable(self.source):
+            cleaned = parse_with(self._cleaned(documents), self.source, self.doc_id, self.content, self.filename)
+            elements, filled = F.col("elements"), F.col("elements").isNotNull()
+        else:
+            cleaned = self._cleaned(documents)
+            elements, filled = self._array(), F.col(self.content).isNotNull()
+
+        def sizes(found: Column) -> Column:
+            chunks = packed(found, self.max_chars, self.new_after, self.overlap)
+            return F.struct(
+                F.coalesce(F.size(found), F.lit(0)).alias("elements"),
+                F.coalesce(F.size(F.filter(found, lambda e: e["text"].isNotNull())), F.lit(0)).alias("elements_filled"),
+                F.coalesce(F.size(chunks), F.lit(0)).alias("chunks"),
+            )
+
+        counted = cleaned.select(filled.alias("filled"), let(elements, sizes).alias("n"))
+        return stage_rows(
+            counted.agg(
+                F.count("*").alias("documents"), F.count_if("filled").alias("documents_filled"),
+                F.coalesce(F.sum("n.elements"), F.lit(0)).alias("elements"),
+                F.coalesce(F.sum("n.elements_filled"), F.lit(0)).alias("elements_filled"),
+                F.coalesce(F.sum("n.chunks"), F.lit(0)).alias("chunks"),
+                F.coalesce(F.sum("n.chunks"), F.lit(0)).alias("chunks_filled"),
+            ),
+            ("documents", "elements", "chunks"),
+        )
+
     def run(self, documents: DataFrame, path: str, *, batch_size: int = 0) -> None:
-        """Writes the points of the documents to a collection."""
-        points = self.points(documents).where(F.col("vector").isNotNull())
+        """Writes the points of the documents to a collection, each chunk under its id.
+
+        A chunk without a token has nothing to hash; it gets the zero vector, so the collection
+        holds every chunk and each text is embedded once.
+        """
+        zero = F.array_repeat(F.lit(0.0).cast("float"), self.dim)
+        points = self.points(documents).withColumn("vector", F.coalesce("vector", zero))
         write_points(points, path, self.dim, batch_size=batch_size, normalize=False)

@@ -1,4 +1,4 @@
-"""Session helpers: a ready-made session, the shared scratch folder, input spreading."""
+"""Session helpers: a ready-made session and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -6,12 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Below this size per core an input is considered small enough that moving it
-# once to use every core costs less than leaving cores idle.
-_SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
-
+from pyspark.sql import SparkSession
 
 def session(app: str = "corpusmill", **conf: str) -> SparkSession:
     """A session with the settings the library is tested with.
@@ -47,26 +42,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used before; it is removed when the application ends."""
+    parent = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parent)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return f"{parent}/data"
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Removes what was staged under a path of :func:`scratch_path`."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for a small input ahead of heavy per-row work.
-
-    A file with a single row group is read by one task however many cores are
-    free. Inputs past the size bound already have enough scan splits and are
-    returned untouched, so no shuffle is added where it would cost something.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= cores * _SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores)

@@ -1,13 +1,16 @@
-"""Collections of vector points as parquet tables."""
+"""Collections of vector points as keyed tables."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusmill.functions.arrays import let
 from corpusmill.schemas import POINT_SCHEMA
-from corpusmill.sinks.tables import exists_at
+from corpusmill.sinks.tables import publish, read_table, table_state, upsert_table
 
 METRIC = "cosine"
 
@@ -18,12 +21,11 @@ def _described(vector: Column, dim: int) -> Column:
 
 def collection_dim(spark: SparkSession, path: str) -> int | None:
     """The dimension a collection was declared with, or None where there is none."""
-    if not exists_at(spark, path):
-        return None
-    return spark.read.parquet(path).schema["vector"].metadata.get("dim")
+    state = table_state(spark, path)
+    return state and StructType.fromJson(state["schema"])["vector"].metadata.get("dim")
 
 
-def ensure_collection(spark: SparkSession, path: str, dim: int = 1536) -> None:
+def ensure_collection(spark: SparkSession, path: str, dim: int = 1536, buckets: int = 64) -> None:
     """Creates an empty collection, or checks the dimension of the one that exists."""
     found = collection_dim(spark, path)
     if found is not None:
@@ -31,7 +33,11 @@ def ensure_collection(spark: SparkSession, path: str, dim: int = 1536) -> None:
             raise ValueError(f"the collection has dimension {found}, not {dim}")
         return
     empty = spark.createDataFrame([], POINT_SCHEMA)
-    empty.select("id", _described(F.col("vector"), dim), "payload").write.parquet(path)
+    schema = empty.select("id", _described(F.col("vector"), dim), "payload").schema
+    publish(
+        spark, path,
+        {"number": 0, "key": "id", "buckets": buckets, "folders": {}, "schema": json.loads(schema.json())},
+    )
 
 
 def unit_vector(vector: Column | str) -> Column:
@@ -66,27 +72,23 @@ def write_points(
     *,
     batch_size: int = 0,
     normalize: bool = True,
-    mode: str = "append",
 ) -> None:
-    """Writes points to a collection; ``batch_size`` bounds the rows of one file.
+    """Writes points to a collection by id: a point replaces the one with its id.
 
-    Vectors are scaled once here, so that a search needs only products. The
-    check and the scaling run in the writing tasks; nothing is shuffled.
+    So the same run twice leaves the same points. Of equal ids within one call, one stays, chosen by
+    content. ``batch_size`` bounds the rows of one file. Vectors are scaled once here, so that
+    a search needs only products.
     """
-    ensure_collection(points.sparkSession, path, dim)
-    fitted = checked_points(points, dim, normalize=normalize)
-    (
-        fitted.select(
-            F.col("id").cast("string").alias("id"),
-            _described(F.col("vector").cast("array<float>"), dim),
-            "payload",
-        )
-        .write.mode(mode)
-        .option("maxRecordsPerFile", batch_size)
-        .parquet(path)
+    spark = points.sparkSession
+    ensure_collection(spark, path, dim)
+    fitted = checked_points(points, dim, normalize=normalize).select(
+        F.col("id").cast("string").alias("id"),
+        _described(F.col("vector").cast("array<float>"), dim),
+        "payload",
     )
+    upsert_table(spark, path, fitted, "id", None, table_state(spark, path)["buckets"], batch_size)
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """The points of a collection, with the payload fields of all its files."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return read_table(spark, path)

@@ -2,27 +2,34 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from corpusmill.schemas import SchemaConflict
 from corpusmill.session import drop_path, scratch_path
 
 BUCKET = "_bucket"
 
 
-def last_by_key(df: DataFrame, key: str, seq: str) -> DataFrame:
-    """The row with the highest ``seq`` per key; NULL is lower than any, equal ones go by content.
+def last_by_key(df: DataFrame, key: str, seq: str | None) -> DataFrame:
+    """The row with the highest ``seq`` per key; NULL is lower than any, equal ones (all without ``seq``) go by content.
 
     A NULL key is a key like any other. Repeats are combined in the task that reads them, so a key with very many
     versions does not gather in one place.
     """
+    order = [F.col(seq).isNotNull(), F.col(seq)] if seq else []
     return (
         df.groupBy(F.col(key).alias("_key"))
         .agg(
             F.max_by(
                 F.struct(*df.columns),
-                F.struct(F.col(seq).isNotNull(), F.col(seq), F.xxhash64(*df.columns)),
+                F.struct(*order, F.xxhash64(*df.columns)),
             ).alias("_row")
         )
         .select("_row.*")
@@ -57,44 +64,139 @@ def exists_at(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the version files, oldest first."""
+    fs, place = _file_system(spark, f"{path}/versions")
+    if not fs.exists(place):
+        return []
+    names = (f.getPath().getName() for f in fs.listStatus(place))
+    return sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
+
+
+def table_state(spark: SparkSession, path: str) -> dict | None:
+    """The newest version: key, buckets, schema, and by bucket the folder with its rows; None without a table."""
+    names = _versions(spark, path)
+    if not names:
+        return None
+    return json.loads(spark.read.text(f"{path}/versions/{names[-1]}", wholetext=True).first()[0])
+
+
+def publish(spark: SparkSession, path: str, state: dict) -> None:
+    """Makes ``state`` the newest version, in one step: a file that is complete gets its name.
+
+    Readers see the version before or this one. Of two writers that began from the same version, the
+    second one fails.
+    """
+    names = _versions(spark, path)
+    number = int(names[-1].split(".")[0]) + 1 if names else 0
+    if number != state["number"]:
+        raise ValueError(f"another writer has changed the table at {path}")
+    target, draft = f"{path}/versions/{number:010d}.json", f"{path}/versions/.{uuid.uuid4().hex}"
+    fs, place = _file_system(spark, draft)
+    out = fs.create(place, False)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    if fs.exists(_file_system(spark, target)[1]) or not fs.rename(place, _file_system(spark, target)[1]):
+        raise ValueError(f"another writer has changed the table at {path}")
+
+
+def _rows(spark: SparkSession, path: str, state: dict, buckets: Iterable[int] | None = None) -> DataFrame:
+    """The rows of a version, or of some of its buckets; columns that a file lacks are NULL."""
+    schema = StructType.fromJson(state["schema"])
+    chosen = state["folders"].items() if buckets is None else [(b, state["folders"].get(str(b))) for b in buckets]
+    folders = [f"{path}/{folder}/{BUCKET}={b}" for b, folder in chosen if folder]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
 def upsert_table(
-    spark: SparkSession, path: str, new: DataFrame, key: str, seq: str, buckets: int = 64
+    spark: SparkSession,
+    path: str,
+    new: DataFrame,
+    key: str,
+    seq: str | None,
+    buckets: int = 64,
+    max_records_per_file: int = 0,
 ) -> None:
     """Upserts into a parquet table that is bucketed by a hash of the key.
 
-    Only the buckets that hold a changed key are read and rewritten. Choose
-    ``buckets`` so that one of them is a comfortable task; the number is kept
-    with the table and cannot change. The incoming rows are written to the
-    shared folder first, so they are computed once.
+    Only the buckets that hold a changed key are read and written. They go to new folders, and a new
+    version file then names them next to those of all other buckets; what was there stays as it is,
+    until :func:`drop_old_versions`. A bucket is written by as many tasks as its size
+    asks for. ``buckets`` is kept with the table and cannot change. The incoming rows are written to
+    the shared folder first, so they are computed once. Columns may be added, and keep their type.
+    Without ``seq``, versions of a key within ``new`` are decided by content.
     """
     keyed = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    tagged = F.col(key).alias(key, metadata={"buckets": buckets})
     staged = scratch_path(spark, "upsert")
-    last_by_key(new, key, seq).drop(seq).withColumn(BUCKET, keyed).write.parquet(staged)
+    latest = last_by_key(new, key, seq)
+    (latest.drop(seq) if seq else latest).withColumn(BUCKET, keyed).write.parquet(staged)
     rows = spark.read.parquet(staged)
-    if exists_at(spark, path):
-        # all files' columns: a bucket may have ones that another lacks
-        old = spark.read.option("mergeSchema", "true").parquet(path)
-        kept_buckets = spark.read.parquet(path).schema[key].metadata.get("buckets")
-        if kept_buckets != buckets:
-            raise ValueError(f"the table has {kept_buckets} buckets, not {buckets}")
-        # bucket numbers only, so that the folders of all others are left alone
-        touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        old = old.where(F.col(BUCKET).isin(touched))
-        kept = _without(old, rows, key)
-        rows = kept.unionByName(rows, allowMissingColumns=True)
-    columns = [tagged if c == key else F.col(c) for c in rows.columns]
-    (
-        rows.select(*columns)
-        .repartition(BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(path)
-    )
+    state = table_state(spark, path)
+    if state is None:
+        state = {"number": -1, "key": key, "buckets": buckets, "folders": {}, "schema": None}
+    if state["buckets"] != buckets:
+        raise ValueError(f"the table has {state['buckets']} buckets, not {buckets}")
+    # bucket numbers only, so that the folders of all others are left alone
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    merged = rows
+    if state["schema"]:
+        old = _rows(spark, path, state, touched)
+        _same_types(old, rows.drop(BUCKET))
+        kept = _without(old, rows, key).withColumn(BUCKET, keyed)
+        merged = kept.unionByName(rows, allowMissingColumns=True)
+    folder = f"data/{uuid.uuid4().hex}"
+    if touched:
+        (
+            merged.hint("rebalance", BUCKET)
+            .write.option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(BUCKET)
+            .parquet(f"{path}/{folder}")
+        )
+    state = {
+        **state,
+        "number": state["number"] + 1,
+        "schema": json.loads(merged.drop(BUCKET).schema.json()),
+        "folders": state["folders"] | {str(b): folder for b in touched},
+    }
+    publish(spark, path, state)
     drop_path(spark, staged)
 
 
+def _same_types(old: DataFrame, new: DataFrame) -> None:
+    """Refuses a column whose type has changed; structs may gain fields."""
+    before = {f.name: f.dataType for f in old.schema}
+    for f in new.schema:
+        kind = before.get(f.name, f.dataType)
+        both_structs = isinstance(kind, StructType) and isinstance(f.dataType, StructType)
+        if not both_structs and kind.simpleString() != f.dataType.simpleString():
+            raise SchemaConflict(f"{f.name}: {f.dataType.simpleString()} is not {kind.simpleString()}")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of an upserted table, with the columns of all its files."""
-    return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
+    """The rows of the newest version, with the columns of all its files."""
+    state = table_state(spark, path)
+    if state is None:
+        raise ValueError(f"there is no table at {path}")
+    return _rows(spark, path, state)
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Removes versions before the newest, and folders that it does not use.
+
+    To be run when nobody reads an older version or writes.
+    """
+    state = table_state(spark, path)
+    used = {f.rsplit("/", 1)[1] for f in state["folders"].values()}
+    for name in _versions(spark, path)[:-1]:
+        drop_path(spark, f"{path}/versions/{name}")
+    fs, place = _file_system(spark, f"{path}/data")
+    for folder in fs.listStatus(place) if fs.exists(place) else []:
+        if folder.getPath().getName() not in used:
+            drop_path(spark, folder.getPath().toString())

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.sinks.tables import exists_at
-
 
 def write_clean_text(
     df: DataFrame,
@@ -18,21 +20,48 @@ def write_clean_text(
 ) -> None:
     """Writes (filename, content) rows.
 
-    ``table`` is one parquet table, the form for many files. ``files`` is one
-    folder per file name with the text inside; a text that does not end with a
-    line end gets one there. A path that holds data is refused, so a source
-    can never be overwritten while it is being read.
+    ``table`` is one parquet table, the form for many files. ``files`` is one file per row, with
+    the row's name and exactly its text in UTF-8; a NULL text is an empty file. Names must be unique,
+    not NULL, and without slashes. A path that holds data is refused, so a source can never be overwritten
+    while it is being read.
     """
     rows = df.select(F.col(filename).alias("filename"), F.col(content).alias("content"))
+    spark = df.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        raise ValueError(f"there is data at {path} already")
     if layout == "table":
-        if exists_at(df.sparkSession, path):
-            raise ValueError(f"there is a table at {path} already")
         rows.write.mode("errorifexists").parquet(path)
     elif layout == "files":
-        # the writer ends every row with a line end of its own
-        bare = F.regexp_replace("content", r"\n\z", "")
-        rows.select("filename", bare.alias("value")).write.mode("errorifexists").partitionBy(
-            "filename"
-        ).text(path)
+        _write_files(rows, path)
     else:
         raise ValueError(f"layout must be 'table' or 'files': {layout!r}")
+
+
+def _write_files(rows: DataFrame, path: str) -> None:
+    name = F.col("filename")
+    bad = rows.groupBy("filename").count().where(
+        name.isNull() | name.rlike(r"^[._]?$|/") | name.isin("..") | (F.col("count") > 1)
+    )
+    found = bad.select("filename").first()
+    if found:
+        raise ValueError(f"a file name is NULL, repeated or no file name: {found[0]!r}")
+    # a local path in the form that the file system of the tasks reads
+    target = path.removeprefix("file:") if path.startswith("file:/") else path
+    target = "/" + target.lstrip("/") if path.startswith("file:/") else target
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow.fs import FileSystem
+
+        files, folder = FileSystem.from_uri(target)
+        files.create_dir(folder, recursive=True)
+        for batch in batches:
+            for file_name, text in zip(batch["filename"], batch["content"]):
+                # complete under a hidden name first, so that a repeated task leaves no half file
+                draft = f"{folder}/.{uuid.uuid4().hex}"
+                with files.open_output_stream(draft) as out:
+                    out.write((text or "").encode())
+                files.move(draft, f"{folder}/{file_name}")
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    rows.mapInPandas(run, "n long").agg(F.sum("n")).collect()

@@ -41,18 +41,12 @@ def scan_documents(spark: SparkSession, path: str, glob: str | None = None) -> D
 
 
 def scan_text_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per file with its whole text (UTF-8): path, filename, filetype, content."""
-    reader = spark.read
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    source = F.col("_metadata.file_path")
-    name = F.col("_metadata.file_name")
-    files = reader.text(path, wholetext=True, recursiveFileLookup=True)
-    return files.select(
-        source.alias("path"),
-        name.alias("filename"),
-        file_type(name).alias("filetype"),
-        F.col("value").alias("content"),
+    """One row per file with its whole text (UTF-8): path, filename, filetype, content.
+
+    Spark's file scans pass over files of zero bytes, so those give no row.
+    """
+    return scan_documents(spark, path, glob).select(
+        "path", "filename", "filetype", F.col("content").cast("string").alias("content")
     )
 
 

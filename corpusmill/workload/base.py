@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from corpusmill.session import spread
-
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -46,6 +44,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over ``spark.corpusmill.inputPartitions`` tasks, where the session sets that; else as scanned.
+
+    For files of a single row group, which one task reads however many cores are free.
+    """
+    n = df.sparkSession.conf.get("spark.corpusmill.inputPartitions", None)
+    return df.repartition(int(n)) if n else df
+
+
 def sql_tokens(text: str) -> str:
     return (
         rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), "
@@ -64,8 +71,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region")
     )
     joined = (
-        spread(orders)
-        .join(customer, orders.o_custkey == customer.c_custkey, "left")
+        orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .join(region, nation.n_regionkey == region.r_regionkey, "left")
     )

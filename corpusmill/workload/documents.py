@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions.predicates import tokens
-from corpusmill.operators.aggregates import run_summary
 from corpusmill.operators.chunk import chunk_by_title
 from corpusmill.operators.clean import strip_inline_images
-from corpusmill.operators.embed import hashed_counts, hashed_sparse
+from corpusmill.operators.embed import embed_hashed, embed_with, hashed_counts, hashed_sparse
 from corpusmill.operators.entities import extract_entities, gazetteer_entities, pattern_entities
 from corpusmill.operators.hybrid import hybrid_corpus
 from corpusmill.operators.partition import (
     html_elements, partition_html, partition_text, partition_with,
 )
 from corpusmill.plans.flow import DocumentFlow
-from corpusmill.session import scratch_path, spread
+from corpusmill.session import scratch_path
 from corpusmill.sinks.text import write_clean_text
+from corpusmill.sources.files import scan_documents, scan_text_files
 from corpusmill.workload.base import (
-    SQL_ORDER_RECORDS, load, named, order_records, sql_tokens,
+    SQL_ORDER_RECORDS, load, named, order_records, spread, sql_tokens,
 )
 
 # ---------------------------------------------------------------------------
@@ -84,6 +84,52 @@ def text_sink(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _written(spark, sf_dir):
+    """The documents as one text file each, in a folder of the shared place."""
+    path = scratch_path(spark, "text-files")
+    docs = load(spark, sf_dir, "documents").withColumn("name", F.concat("doc_id", F.lit(".TXT")))
+    write_clean_text(docs, path, filename="name", content="text", layout="files")
+    return path
+
+
+@named(
+    "text_files",
+    """SELECT doc_id || '.TXT' AS filename, 'txt' AS filetype, text AS content FROM documents""",
+)
+def text_files(spark, sf_dir):
+    return scan_text_files(spark, _written(spark, sf_dir), "*.TXT").drop("path")
+
+
+@named(
+    "scan_written_files",
+    """SELECT doc_id || '.TXT' AS filename, 'txt' AS filetype,
+              CAST(octet_length(encode(text)) AS BIGINT) AS length FROM documents""",
+)
+def scan_written_files(spark, sf_dir):
+    return scan_documents(spark, _written(spark, sf_dir)).select("filename", "filetype", "length")
+
+
+@named(
+    "partition_failures",
+    """SELECT doc_id, 'Error' AS type, 'error' AS category, 'ValueError: no text in ' || lang AS text
+       FROM documents WHERE lang <> 'en'
+       UNION ALL
+       SELECT doc_id, 'NarrativeText', 'body', lang FROM documents WHERE lang = 'en' AND doc_id % 3 > 0""",
+)
+def partition_failures(spark, sf_dir):
+    """A parser that fails on some documents, and documents without content."""
+
+    def parser(content: bytes) -> list[tuple]:
+        lang = bytes(content).decode()
+        if lang != "en":
+            raise ValueError(f"no text in {lang}")
+        return [("NarrativeText", lang, 1)]
+
+    content = F.when((F.col("lang") != "en") | (F.col("doc_id") % 3 > 0), F.col("lang")).cast("binary")
+    docs = load(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
+    return partition_with(docs, parser).select("doc_id", "type", "category", "text")
+
+
 # ---------------------------------------------------------------------------
 # elements
 
@@ -304,6 +350,44 @@ def embed_hashed_(spark, sf_dir):
     )
 
 
+@named(
+    "embed_dense",
+    f"""WITH w AS (SELECT doc_id, dim, CAST(n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)) AS FLOAT) AS w
+                   FROM ({_SQL_HASHED}))
+        SELECT d.doc_id, CAST(CASE WHEN count(dim) > 0 THEN 1536 END AS INTEGER) AS size,
+               count(dim) AS n_set, round(sum(w::DOUBLE * (dim + 1)), 3) AS moment
+        FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id GROUP BY 1""",
+)
+def embed_dense(spark, sf_dir):
+    """Dense vectors, by their size, the coordinates that are set, and a sum that places weigh."""
+    docs = embed_hashed(spread(load(spark, sf_dir, "documents")).select("doc_id", "text"))
+    vector = F.col("vector")
+    moment = F.aggregate(
+        F.transform(vector, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x
+    )
+    n_set = F.size(F.filter(vector, lambda x: x != 0)).cast("bigint")
+    return docs.select(
+        "doc_id", F.size(vector).alias("size"), F.coalesce(n_set, F.lit(0)).alias("n_set"),
+        F.round(moment, 3).alias("moment"),
+    )
+
+
+def text_sizes(texts: list[str]) -> list[list[float]]:
+    """A model that needs no files: characters and words."""
+    return [[float(len(t)), float(len(t.split(" ")))] for t in texts]
+
+
+@named(
+    "embed_custom",
+    """SELECT doc_id, length(text)::FLOAT::DOUBLE AS chars,
+              len(string_split(text, ' '))::FLOAT::DOUBLE AS words FROM documents""",
+)
+def embed_custom(spark, sf_dir):
+    docs = embed_with(load(spark, sf_dir, "documents").select("doc_id", "text"), text_sizes, 2)
+    at = [F.get("vector", F.lit(i)).cast("double") for i in (0, 1)]
+    return docs.select("doc_id", at[0].alias("chars"), at[1].alias("words"))
+
+
 @named("hashed_counts", f"SELECT doc_id, dim, CAST(n AS INTEGER) AS n FROM ({_SQL_HASHED})")
 def hashed_counts_(spark, sf_dir):
     docs = spread(load(spark, sf_dir, "documents"))
@@ -480,10 +564,4 @@ def extract_entities_(spark, sf_dir):
 def run_summary_(spark, sf_dir):
     pages = spread(load(spark, sf_dir, "pages"))
     flow = DocumentFlow("html", doc_id="page_id", content="html")
-    return run_summary(
-        {
-            "documents": (pages, "html"),
-            "elements": (flow.elements(pages), "text"),
-            "chunks": (flow.chunks(pages), "text"),
-        }
-    )
+    return flow.summary(pages)

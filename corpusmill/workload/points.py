@@ -6,12 +6,16 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.scalars import describe_vector
 from corpusmill.operators.collection import collection_stats, has_vector, knn
+from corpusmill.operators.embed import embed_with
+from corpusmill.operators.hybrid import hybrid_corpus, to_points
 from corpusmill.plans.flow import DocumentFlow
-from corpusmill.session import scratch_path, spread
+from corpusmill.session import scratch_path
 from corpusmill.sinks.points import read_points, unit_vector, write_points
 from corpusmill.sources.tables import scroll
-from corpusmill.workload.base import load, named
-from corpusmill.workload.documents import _SQL_HTML_ELEMENTS, _sql_chunks
+from corpusmill.workload.base import SQL_ORDER_RECORDS, load, named, order_records, spread
+from corpusmill.workload.documents import (
+    _SQL_HTML_ELEMENTS, _SQL_TEXT_ELEMENTS, _sql_chunks, text_sizes,
+)
 
 
 def _points(spark, sf_dir):
@@ -167,7 +171,7 @@ def knn_top10(spark, sf_dir):
 )
 def points_sink(spark, sf_dir):
     path = scratch_path(spark, "points")
-    write_points(_points(spark, sf_dir), path, 64, batch_size=50)
+    write_points(_points(spark, sf_dir), path, 64)
     return read_points(spark, path).select(
         F.col("id").cast("bigint").alias("id"),
         F.size("vector").alias("dim"),
@@ -175,6 +179,47 @@ def points_sink(spark, sf_dir):
     )
 
 
+@named(
+    "points_sink_rerun",
+    """SELECT vec_id AS id, CASE WHEN vec_id % 4 = 0 THEN 'second' ELSE 'first' END AS text
+       FROM embeddings""",
+)
+def points_sink_rerun(spark, sf_dir):
+    """A run that is repeated, and one over a part, leave one point for each id."""
+    path = scratch_path(spark, "points-rerun")
+    points = _points(spark, sf_dir)
+
+    def marked(text):
+        return points.withColumn("payload", F.col("payload").withField("text", F.lit(text)))
+
+    write_points(marked("first"), path, 64)
+    write_points(marked("first"), path, 64)
+    write_points(marked("second").where("id % 4 = 0"), path, 64)
+    return read_points(spark, path).select(F.col("id").cast("bigint").alias("id"), "payload.text")
+
+
+@named(
+    "hybrid_points",
+    f"""WITH texts AS (
+          SELECT 'doc-' || doc_id || '-' || chunk_no AS id, text
+          FROM ({_sql_chunks(_SQL_TEXT_ELEMENTS, 2048, 1500, 0)})
+          UNION ALL SELECT 'rec-' || id, interaction_text FROM ({SQL_ORDER_RECORDS}))
+        SELECT id, text, CAST(length(text) AS FLOAT)::DOUBLE AS x,
+               text LIKE '%$%' AS money FROM texts""",
+)
+def hybrid_points(spark, sf_dir):
+    """Documents and records as one corpus, through a model, in one collection."""
+    chunks = DocumentFlow("text", content="text").chunks(load(spark, sf_dir, "documents"))
+    corpus = hybrid_corpus(chunks, order_records(spark, sf_dir), key="id", text="interaction_text")
+    points = to_points(embed_with(corpus, text_sizes, 2))
+    path = scratch_path(spark, "hybrid")
+    write_points(points, path, 2, normalize=False)
+    return read_points(spark, path).select(
+        "id", "payload.text", F.get("vector", F.lit(0)).cast("double").alias("x"),
+        F.col("payload.text").contains("$").alias("money"),
+    )
+
+
 @named(
     "unit_vectors",
     """SELECT vec_id, CAST(embedding[3]::DOUBLE * 2 / sqrt(4 * list_inner_product(

@@ -16,12 +16,11 @@ from corpusmill.operators.aggregates import (
     table_stats, terms,
 )
 from corpusmill.plans.reports import RecordReport
-from corpusmill.session import spread
 from corpusmill.sources.files import scan_documents, url_manifest, validate_manifest
 from corpusmill.sources.records import Catalog, records_for
 from corpusmill.sources.tables import sample_rows
 from corpusmill.workload.base import (
-    SQL_LABELLED, SQL_ORDER_RECORDS, labelled, load, named, order_records, sql_tokens,
+    SQL_LABELLED, SQL_ORDER_RECORDS, labelled, load, named, order_records, spread, sql_tokens,
 )
 
 # ---------------------------------------------------------------------------

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from corpusmill.schemas import check_rows, ensure_schema, fields, load_tally, split_valid
+from corpusmill.schemas import (
+    check_rows, ensure_schema, ensure_table, fields, load_tally, split_valid,
+)
 from corpusmill.session import scratch_path
 from corpusmill.sinks.tables import read_table, upsert, upsert_table
+from corpusmill.sources.tables import scan_records
 from corpusmill.workload.base import SQL_LABELLED, labelled, load, named
 
 # Changes: every customer in debt twice, with a later version in another
@@ -69,6 +74,68 @@ def upsert_sink(spark, sf_dir):
     return read_table(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 4))
 
 
+@named(
+    "upsert_sink_evolving",
+    """SELECT s_suppkey, 'second ' || s_name AS s_name, s_nationkey, s_acctbal,
+              CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey * 2 END AS rating FROM supplier""",
+)
+def upsert_sink_evolving(spark, sf_dir):
+    """A column that some rows bring is kept when the others are written again without it."""
+    path = scratch_path(spark, "suppliers")
+    rows = load(spark, sf_dir, "supplier").withColumn("seq", F.lit(0))
+    upsert_table(spark, path, rows, "s_suppkey", "seq", buckets=8)
+    later = rows.withColumn("s_name", F.concat(F.lit("second "), "s_name"))
+    rated = later.where("s_suppkey % 3 = 0").withColumn("rating", F.col("s_suppkey") * 2)
+    upsert_table(spark, path, rated, "s_suppkey", "seq", buckets=8)
+    upsert_table(spark, path, later.where("s_suppkey % 3 <> 0"), "s_suppkey", "seq", buckets=8)
+    return read_table(spark, path)
+
+
+@named(
+    "upsert_null_seq",
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'numbered' ELSE 'alone' END AS s_name
+       FROM supplier""",
+)
+def upsert_null_seq(spark, sf_dir):
+    """A version without a number loses to one that has it, and stays where it is the only one."""
+    key = load(spark, sf_dir, "supplier").select("s_suppkey")
+    nothing = F.lit(None).cast("int").alias("seq")
+    new = (
+        key.select("s_suppkey", F.lit("alone").alias("s_name"), nothing)
+        .unionByName(key.where("s_suppkey % 2 = 0").select(
+            "s_suppkey", F.lit("numbered").alias("s_name"), F.lit(-1).alias("seq")))
+    )
+    return upsert(key.where("s_suppkey % 5 = 0").withColumn("s_name", F.lit("old")), new, "s_suppkey", "seq")
+
+
+@named(
+    "table_lifecycle",
+    """SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_rating,
+              TRUE AS existed, FALSE AS exists_after FROM supplier""",
+)
+def table_lifecycle(spark, sf_dir):
+    """A table is created, filled, given a column, filled again, read and dropped."""
+    name = f"suppliers_{uuid.uuid4().hex}"
+    supplier = load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    ensure_table(spark, name, fields(s_suppkey=supplier.schema["s_suppkey"].dataType, s_name="string"))
+    supplier.where("s_suppkey % 2 <> 0").select("s_suppkey", "s_name").write.insertInto(name)
+    ensure_table(
+        spark, name,
+        fields(s_suppkey=supplier.schema["s_suppkey"].dataType, s_name="string", s_rating="double"),
+    )
+    rated = supplier.where("s_suppkey % 2 = 0").withColumn("s_rating", F.col("s_acctbal").cast("double"))
+    rated.select("s_suppkey", "s_name", "s_rating").write.insertInto(name)
+    spark.catalog.refreshTable(name)
+    existed = spark.catalog.tableExists(name)
+    path = scratch_path(spark, "lifecycle")
+    scan_records(spark, name).write.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.parquet(path).select(
+        "s_suppkey", "s_name", "s_rating", F.lit(existed).alias("existed"),
+        F.lit(spark.catalog.tableExists(name)).alias("exists_after"),
+    )
+
+
 @named(
     "upsert_partial",
     """SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer

@@ -108,4 +108,11 @@ def test_table_stats(spark, tmp_path):
     found = table_stats(spark.read.parquet(path)).first()
     size = sum(p.stat().st_size for p in (tmp_path / "t").glob("part-*.parquet"))
     assert (found.n_rows, found.n_files, found.n_bytes, found.n_columns) == (100, 4, size, 1)
+    # a file without rows counts, whatever its folder is called
+    path = str(tmp_path / "a folder")
+    spark.range(100).repartition(2).write.parquet(path)
+    spark.range(0).write.mode("append").parquet(path)
+    found = table_stats(spark.read.parquet(path)).first()
+    size = sum(p.stat().st_size for p in (tmp_path / "a folder").glob("part-*.parquet"))
+    assert (found.n_rows, found.n_files, found.n_bytes) == (100, 3, size)
     assert table_stats(spark.range(3), files=False).first().n_rows == 3

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,3 +101,17 @@ def test_bad_sizes():
         packed("e", 100, 200, 0)
     with pytest.raises(ValueError):
         packed("e", 100, 50, 100)
+
+
+def test_many_chunks_in_one_document(spark):
+    """Twice the chunks take about twice the time; appending to one array takes four times."""
+
+    def seconds(n):
+        element = F.struct(F.lit("Title").alias("type"), F.lit("body").alias("category"), F.lit("a word").alias("text"))
+        df = spark.range(1).select("id", F.array_repeat(element, n).alias("elements"))
+        began = time.perf_counter()
+        assert df.select(F.size(packed("elements")).alias("n")).first().n == n
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(80_000) < 8

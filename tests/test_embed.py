@@ -49,6 +49,10 @@ def test_own_model(spark):
     df = spark.createDataFrame([("ab",), ("abc",)], "text string")
     out = embed_with(df, lambda texts: [[len(t), 1.5] for t in texts], 2)
     assert sorted(r.vector for r in out.collect()) == [[2.0, 1.5], [3.0, 1.5]]
+    # a NULL text never reaches the model
+    gap = spark.createDataFrame([("ab",), (None,)], "text string")
+    out = embed_with(gap, lambda texts: [[len(t), 1.5] for t in texts], 2)
+    assert {r.text: r.vector for r in out.collect()} == {"ab": [2.0, 1.5], None: None}
     wrong = embed_with(df, lambda texts: [[0.0] for _ in texts], 2)
     with pytest.raises(Exception, match="vectors of 2"):
         wrong.select(F.sum(F.size("vector"))).collect()

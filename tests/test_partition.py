@@ -1,6 +1,9 @@
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators.partition import partition_html, partition_text, partition_with
+from corpusmill.operators.partition import parse_with, partition_html, partition_text, partition_with
 
 
 def elements(df):
@@ -37,6 +40,48 @@ def test_html_text_outside_of_blocks(spark):
     ]
 
 
+def test_html_tags_without_an_end(spark):
+    html = """<!-- hidden <p>x</p> --><script>gone()</script><h1>Head</h1><table><tr><td>1</td></table>
+      <p>closed</p><table><tr><td>2 <style>a <script>b <!-- c <h2>last <p>open"""
+    df = spark.createDataFrame([(1, html)], "doc_id int, html string")
+    assert elements(partition_html(df)) == [
+        (0, "Title", "heading", "Head"),
+        (1, "Table", "table", "1"),
+        (2, "NarrativeText", "body", "closed"),
+        (3, "NarrativeText", "body", "2 a b last open"),
+    ]
+
+
+@pytest.mark.parametrize("tag", ["<table>", "<p>", "<script>"])
+def test_html_is_linear(spark, tag):
+    def seconds(n):
+        df = spark.createDataFrame([(1, (tag + "word ") * n)], "doc_id int, html string")
+        began = time.perf_counter()
+        assert partition_html(df).count() >= 1
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(16_000) < 5
+
+
+def test_parser_failures(spark):
+    def parser(content):
+        if content == b"bad":
+            raise ValueError("not a document")
+        return [("Title", content.decode(), 1)]
+
+    df = spark.createDataFrame(
+        [(1, bytearray(b"good")), (2, bytearray(b"bad")), (3, None)], "doc_id int, content binary"
+    )
+    parsed = {r.doc_id: (r.elements, r.error) for r in parse_with(df, parser).collect()}
+    assert [e.text for e in parsed[1][0]] == ["good"]
+    assert parsed[2] == (None, "ValueError: not a document") and parsed[3] == ([], None)
+    rows = partition_with(df, parser).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.type, r.category, r.text) for r in rows] == [
+        (1, "Title", "heading", "good"), (2, "Error", "error", "ValueError: not a document"),
+    ]
+
+
 def test_text(spark):
     text = "# Head\r\n\n  plain  \n- item\n2) two\n| a | b |\n![pic](x)\n#no\n\n##  \n"
     df = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")

@@ -7,7 +7,9 @@ from corpusmill.plans.flow import DocumentFlow
 from corpusmill.sinks.points import (
     collection_dim, ensure_collection, read_points, write_points,
 )
-from corpusmill.sinks.tables import read_table, upsert, upsert_table
+from corpusmill.sinks.tables import (
+    drop_old_versions, publish, read_table, table_state, upsert, upsert_table,
+)
 from corpusmill.sinks.text import write_clean_text
 from corpusmill.sources.files import scan_text_files
 
@@ -35,6 +37,7 @@ def test_bucketed_upsert_rewrites_only_what_changed(spark, tmp_path):
     first = spark.range(100).select(F.col("id"), F.lit("old").alias("v"), F.lit(0).alias("seq"))
     upsert_table(spark, path, first, "id", "seq", buckets=8)
     before = mtimes(path)
+    assert len({os.path.dirname(f) for f in before}) == 8
     change = spark.createDataFrame(
         [(5, "new", 1.5, 1), (5, "newer", 2.5, 2)], "id long, v string, w double, seq int"
     )
@@ -45,9 +48,14 @@ def test_bucketed_upsert_rewrites_only_what_changed(spark, tmp_path):
     assert rows.pop(5) == ("newer", 2.5)
     assert set(rows.values()) == {("old", None)}
     after = mtimes(path)
-    kept = [f for f in before if after.get(f) == before[f]]
-    folders = {os.path.dirname(f) for f in before} - {os.path.dirname(f) for f in kept}
-    assert len(folders) == 1
+    # what a reader of the first version uses is untouched; each change wrote one bucket
+    assert {f: after[f] for f in before} == before
+    assert len({os.path.dirname(f) for f in after} - {os.path.dirname(f) for f in before}) == 2
+    drop_old_versions(spark, path)
+    left = mtimes(path)
+    assert read_table(spark, path).count() == 100
+    # the first folder still serves seven buckets, the second is gone
+    assert len({os.path.dirname(f) for f in left} - {os.path.dirname(f) for f in before}) == 1
     with pytest.raises(ValueError, match="buckets"):
         upsert_table(spark, path, change, "id", "seq", buckets=4)
 
@@ -69,11 +77,27 @@ def test_collection(spark, tmp_path):
     assert stored.count() == 7
     assert stored.first().vector == pytest.approx([0.6, 0.8])
     assert stored.select("payload.type").distinct().collect()[0][0] == "Title"
-    assert len([f for f in os.listdir(path) if f.startswith("part")]) >= 3
+    write_points(points.withColumn("id", F.lit("same")), path, 2, batch_size=1)
+    assert read_points(spark, path).count() == 8
+    write_points(points, path, 2, batch_size=1)
+    assert read_points(spark, path).count() == 8
     bad = points.withColumn("vector", F.array(F.lit(1.0)).cast("array<float>"))
     with pytest.raises(Exception, match="dimension 2 is needed"):
         write_points(bad, path, 2)
-    assert read_points(spark, path).count() == 7
+    assert read_points(spark, path).count() == 8
+
+
+def test_writers_from_one_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.range(5).select("id", F.lit("a").alias("v"), F.lit(0).alias("seq"))
+    upsert_table(spark, path, first, "id", "seq", buckets=2)
+    state = table_state(spark, path)
+    with pytest.raises(ValueError, match="another writer"):
+        publish(spark, path, state)
+    with pytest.raises(ValueError, match="v: int is not string"):
+        upsert_table(spark, path, first.withColumn("v", F.lit(1)), "id", "seq", buckets=2)
+    assert table_state(spark, path) == state
+    assert read_table(spark, path).count() == 5
 
 
 def test_text(spark, tmp_path):
@@ -84,11 +108,20 @@ def test_text(spark, tmp_path):
     with pytest.raises(ValueError):
         write_clean_text(df, table)
     files = str(tmp_path / "files")
-    write_clean_text(df, files, layout="files")
+    named = spark.createDataFrame(
+        [("a.txt", "x\n\ny\n"), ("b é.txt", "z"), ("c.txt", None)], "filename string, content string"
+    )
+    write_clean_text(named, files, layout="files")
     read = scan_text_files(spark, files, "*.txt").collect()
-    assert sorted(r.content for r in read) == ["x\n\ny\n", "z\n"]
+    assert sorted((r.filename, r.content) for r in read) == [("a.txt", "x\n\ny\n"), ("b é.txt", "z")]
+    # written, but a scan passes over files of zero bytes
+    assert os.path.getsize(os.path.join(files, "c.txt")) == 0
+    for names in (["a", "a"], [None], ["a/b"], [".."]):
+        bad = spark.createDataFrame([(n, "x") for n in names], "filename string, content string")
+        with pytest.raises(ValueError):
+            write_clean_text(bad, str(tmp_path / "bad"), layout="files")
     with pytest.raises(ValueError):
-        write_clean_text(df, files, layout="zip")
+        write_clean_text(df, str(tmp_path / "zip"), layout="zip")
 
 
 def test_flow(spark, tmp_path):
@@ -103,7 +136,9 @@ def test_flow(spark, tmp_path):
     assert "Exchange" not in plan
     path = str(tmp_path / "p")
     flow.run(docs, path)
+    flow.run(docs.unionByName(spark.createDataFrame([(3, "<p>---</p>", "c.html")], docs.schema)), path)
     rows = read_points(spark, path).orderBy("id").collect()
+    assert (rows.pop().id, len(rows)) == ("doc-3-0", 2)
     assert [r.id for r in rows] == ["doc-1-0", "doc-1-1"]
     assert rows[0].payload.metadata.filename == "a.html" and len(rows[0].vector) == 32
 

@@ -1,8 +1,9 @@
-from corpusmill.session import scratch_path, shared_dir, spread
+from corpusmill.session import scratch_path, shared_dir
 from corpusmill.sources.files import (
     accepted, scan_documents, scan_text_files, url_manifest, validate_manifest,
 )
 from corpusmill.sources.tables import next_offset, sample_rows, scroll
+from corpusmill.workload.base import spread
 
 
 def test_scans_are_recursive(spark, tmp_path):
@@ -56,7 +57,11 @@ def test_sample(spark):
 def test_session_helpers(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
-    assert spread(spark.range(10)).rdd.getNumPartitions() == 8
+    before = spark.range(10).rdd.getNumPartitions()
+    assert spread(spark.range(10)).rdd.getNumPartitions() == before
+    spark.conf.set("spark.corpusmill.inputPartitions", "5")
+    assert spread(spark.range(10)).rdd.getNumPartitions() == 5
+    spark.conf.unset("spark.corpusmill.inputPartitions")
 
 
 def test_filters_reach_the_file(spark):
