@@ -17,15 +17,35 @@ from corpusmill.llm.common import let
 ROUNDS = 8
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-_DATE = r"(?<![\w.+-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?![\w-]|[./]\d)"
+_DATE = (
+    r"(?<![\w.+-])(?:\d{4}-\d{2}-\d{2}|\d{4}\.\d{2}\.\d{2}|(?<!/)\d{4}/\d{1,2}/\d{1,2}(?!/)"
+    r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?!T\d{2}(?!\d))[\w-]|[./]\d)"
+)
 _IP = r"(?<![\w.+-])(?:\d{1,3}\.){3}\d{1,3}(?![\w-]|\.\d)"
+# an international number ends where it has 8 to 15 digits; written out, as Java needs the bound of a look behind
+_DIGIT = r"[ .()-]{0,2}\d"
 _PHONE = (
-    r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,5}){2,5}(?!\w)"
-    r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+    r"(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,5}\))?(?:[ .-]?\d{2,5}){2,5}(?!\w)(?<=\+"
+    + _DIGIT * 8 + f"(?:{_DIGIT})?" * 7 + ")"
+    + r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
 )
 _SSN = r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])"
-_IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
-_CARD = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+# countries by the length of their IBANs
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(c for codes in _IBAN_LENGTHS.values() for c in codes.split())
+_IBAN = (
+    r"(?<!\w)(?=[A-Z]{2}\d{2})(?:"
+    + "|".join(rf"(?:{'|'.join(codes.split())})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in _IBAN_LENGTHS.items())
+    + rf"|(?!{_KNOWN})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?!\w)"
+)
+# groups of digits in a row, up to the next value of another kind; cards are looked for inside
+_OTHER = r"\d{1,4}[./]\d|\d{4}-\d{2}-\d{2}(?![\w-])|\d{1,2}-\d{1,2}-\d{4}(?![\w-])|\d{3}-\d{2,3}-\d{4}(?![\w-])"
+_CARD = rf"(?<![\w.+-])\d(?:(?: (?!{_OTHER})|-)?\d){{12,200}}(?![\w-])"
 PATTERN = "|".join((_EMAIL, _DATE, _IP, _SSN, _PHONE, _IBAN, _CARD))
 
 
@@ -114,23 +134,26 @@ def filled(template: Column, digits: Column) -> Column:
 _EPOCH, _DAYS_A, _DAYS_B = "1900-01-01", 250, 292  # dates move within spans of 250 * 292 days
 
 
+_YEAR_FIRST = "^[0-9]{4}[./-]"
+
+
 def _date_of(m: Column) -> Column:
-    iso = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date")
-    sep = F.translate(m, ".", "/")
-    european = F.try_to_timestamp(sep, F.lit("d/M/yyyy")).cast("date")
-    american = F.try_to_timestamp(sep, F.lit("M/d/yyyy")).cast("date")
-    return F.when(m.rlike("^[0-9]{4}-"), iso).otherwise(F.coalesce(european, american))
+    same = F.translate(m, ".-", "//")
+    year_first, european, american = (
+        F.try_to_timestamp(same, F.lit(f)).cast("date") for f in ("yyyy/M/d", "d/M/yyyy", "M/d/yyyy")
+    )
+    return F.when(m.rlike(_YEAR_FIRST), year_first).otherwise(F.coalesce(european, american))
 
 
 def _date_format(m: Column, new: Column) -> Column:
-    """The new date as the old one was written: ISO, or day first, or month first if only that was a date."""
-    sep = F.regexp_extract(m, "[./]", 0)
-    day_first = F.try_to_timestamp(F.translate(m, ".", "/"), F.lit("d/M/yyyy")).isNotNull()
-    padded = m.rlike("^0|[./]0")
+    """The new date as the old one was written: year first, or day first, or month first if only that was a date."""
+    sep = F.regexp_extract(m, "[./-]", 0)
+    day_first = F.try_to_timestamp(F.translate(m, ".-", "//"), F.lit("d/M/yyyy")).isNotNull()
+    padded = m.rlike("^0|[./-]0")
     d, mo = F.dayofmonth(new).cast("string"), F.month(new).cast("string")
     d, mo = (F.when(padded | (F.length(m) == 10), F.lpad(x, 2, "0")).otherwise(x) for x in (d, mo))
     y = F.lpad(F.year(new).cast("string"), 4, "0")
-    return F.when(m.rlike("^[0-9]{4}-"), F.date_format(new, "yyyy-MM-dd")).otherwise(
+    return F.when(m.rlike(_YEAR_FIRST), F.concat(y, sep, mo, sep, d)).otherwise(
         F.concat(F.when(day_first, d).otherwise(mo), sep, F.when(day_first, mo).otherwise(d), sep, y)
     )
 
@@ -172,12 +195,69 @@ def _address(octets: Column, key: str) -> Column:
     return let(moved, lambda s: F.concat_ws(".", octet(s["l"], True), octet(s["l"], False), octet(s["r"], True), octet(s["r"], False)))
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one match, or null if it is not a valid value of any kind."""
+def cards(m: Column, key: str) -> Column:
+    """``struct(text, n)``: the match with its cards replaced, and how many there are.
+
+    A card is 13 to 19 digits from the start of a group to the end of one; of those that pass the check
+    the first and longest counts. One that is not the whole match begins with 2 to 6, as payment cards do.
+    """
 
-    def card(d: Column) -> Column:
+    def card(w: Column) -> Column:
+        d = _digits(w)
         new = feistel(F.substring(d, F.lit(1), F.length(d) - 1), "card", key)
-        return let(new, lambda x: filled(m, F.concat(x, ((10 - luhn_sum(x, 0) % 10) % 10).cast("string"))))
+        return let(new, lambda x: filled(w, F.concat(x, ((10 - luhn_sum(x, 0) % 10) % 10).cast("string"))))
+
+    def window(s: Column, e: Column) -> Column:
+        return F.substring(m, s, e - s + 1)
+
+    def valid(s: Column, e: Column) -> Column:
+        w = window(s, e)
+        whole = (s == 1) & (e == F.length(m))
+        shaped = w.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$") & (whole | w.rlike("^[2-6]"))
+        return F.when(shaped, luhn_sum(_digits(w), 1) % 10 == 0).otherwise(F.lit(False))
+
+    def edges(step: int) -> Column:
+        """Places of digits with no letter or digit before (-1) or after (1) them."""
+        def edge(i: Column) -> Column:
+            beside = F.when((i + step >= 1) & (i + step <= F.length(m)), F.substring(m, i + step, F.lit(1))).otherwise(F.lit(""))
+            return F.substring(m, i, F.lit(1)).rlike("[0-9]") & ~beside.rlike("[A-Za-z0-9]")
+        return F.filter(F.sequence(F.lit(1), F.length(m)), edge)
+
+    def scan(ends: Column) -> Column:
+        def step(state: Column, s: Column) -> Column:
+            end = F.array_max(F.filter(ends, lambda e: (e - s).between(12, 36) & valid(s, e)))
+            taken = let(
+                F.when(s >= state["at"], end),
+                lambda e: F.when(e.isNull(), state).otherwise(
+                    F.struct(
+                        (e + 1).cast("int").alias("at"),
+                        F.concat(state["text"], F.substring(m, state["at"], s - state["at"]), card(window(s, e))).alias("text"),
+                        (state["n"] + 1).cast("int").alias("n"),
+                    )
+                ),
+            )
+            return taken
+
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"), F.lit(0).alias("n"))
+        return let(
+            F.aggregate(edges(-1), start, step),
+            lambda z: F.struct(F.concat(z["text"], F.substring(m, z["at"], F.length(m))).alias("text"), z["n"].alias("n")),
+        )
+
+    return let(edges(1), scan)
+
+
+def pseudonym(m: Column, key: str) -> Column:
+    """``struct(text, n)``: the match with its values replaced, and how many there are.
+
+    What is no valid value of its kind may still hold a card.
+    """
+    one = let(whole_pseudonym(m, key), lambda w: F.when(w.isNotNull(), F.struct(w.alias("text"), F.lit(1).alias("n"))))
+    return let(one, lambda w: F.when(w.isNotNull(), w).otherwise(cards(m, key)))
+
+
+def whole_pseudonym(m: Column, key: str) -> Column:
+    """The pseudonym of a match that is one value, or null if it is not a valid value of any kind but a card."""
 
     def iban(s: Column) -> Column:
         new = feistel(F.substring(s, F.lit(5), F.length(s)), "iban", key)
@@ -220,10 +300,9 @@ def pseudonym(m: Column, key: str) -> Column:
         F.when(at > 0, F.concat(feistel(F.lower(F.substring(m, F.lit(1), at - 1)), "email", key), F.substring(m, at, F.length(m))))
         .when(m.rlike("^[A-Z]"), let(spaceless, lambda s: F.when(mod97(s) == 1, iban(s))))
         .when(m.rlike(r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"), F.when(good_octets, _address(octets, key)))
-        .when(m.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{4})$"), F.when(day.isNotNull(), _date_format(m, new_day)))
+        .when(m.rlike(r"^([0-9]{4}([./-][0-9]{1,2}){2}|([0-9]{1,2}[./-]){2}[0-9]{4})$"), F.when(day.isNotNull(), _date_format(m, new_day)))
         .when(m.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), let(digits, ssn))
         .when(m.rlike(r"^[+(]|^[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}$"), let(digits, lambda d: F.when(F.length(d).between(8, 15), phone(d))))
-        .otherwise(let(digits, lambda d: F.when(luhn_sum(d, 1) % 10 == 0, card(d))))
     )
 
 
@@ -238,9 +317,9 @@ def pseudonymised(text: Column, key: str) -> Column:
             new,
             lambda w: F.struct(
                 F.array_join(
-                    F.zip_with(pieces, F.zip_with(v, w, lambda a, b: F.coalesce(b, a)), lambda p, x: F.concat(p, F.coalesce(x, F.lit("")))), ""
+                    F.zip_with(pieces, w, lambda p, x: F.concat(p, F.coalesce(x["text"], F.lit("")))), ""
                 ).alias("text"),
-                F.size(F.filter(w, lambda x: x.isNotNull())).alias("n"),
+                F.aggregate(w, F.lit(0), lambda a, x: a + x["n"]).alias("n"),
             ),
         )
 
@@ -252,8 +331,8 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     """The rows of ``docs`` with their text pseudonymised, and ``n_pii``, the number of values replaced.
 
     E-mail addresses keep their domain, phone numbers their country code, cards and IBANs stay valid, dates and
-    IPv4 addresses stay dates and addresses. Numbers that fail their check are left as they
-    are. A null text stays null. No row depends on another; an existing ``n_pii`` is replaced.
+    IPv4 addresses stay dates and addresses. Of a time only the date is moved. Numbers that fail their
+    check are left as they are; a valid one beside other numbers or words is replaced, the rest is text. A null text stays null. No row depends on another; an existing ``n_pii`` is replaced.
     """
     done = docs.withColumn("_done", pseudonymised(F.col(text_col), key))
     return done.withColumn(text_col, F.col("_done.text")).withColumn("n_pii", F.coalesce("_done.n", F.lit(0))).drop("_done")
