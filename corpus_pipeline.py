@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, near_copies, pii, pu_classifier
+from corpusmill.llm import bpe, decontaminate, pii, pu_classifier, simhash
 from corpusmill.llm.common import staged, table
 from corpusmill.llm.queries import PSEUDONYM_KEY, vocabulary
 
@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: similarity 0.8 or more of their five-word shingles."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that SimHash links, by shingles of four words and at most four differing bits."""
+    return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
