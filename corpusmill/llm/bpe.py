@@ -26,7 +26,8 @@ from corpusmill.llm.ragged import Table, at_rows, distinct
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
-_CACHE = 300_000  # words whose encoding a task remembers at once
+_CACHE = 32 << 20  # bytes that a task remembers of the words it knows, and as many of stretches
+_ENTRY = 220  # bytes that an entry takes besides its text and ids
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -205,20 +206,24 @@ class _Coder:
         self.bpe = ByteBpe(path)
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
+        self.held = [0, 0]  # bytes in both
         n = max(self.bpe.pieces) + 1
         self.numbers = Table([f"{i},".encode() for i in range(n)], "u1")
         self.pieces = Table([self.bpe.pieces.get(i, b"") for i in range(n)], "u1")
 
     def _learn(self, stretches: list[str]) -> None:
-        if len(self.words) > _CACHE:
+        if self.held[0] > _CACHE:
             self.words.clear()
+            self.held[0] = 0
         split = [self.bpe.words(x) for x in stretches]
         fresh = set().union(*split).difference(self.words)
         for w, ids in self.bpe.encode_words(fresh):
             self.words[w] = array("I", ids).tobytes()
+            self.held[0] += _ENTRY + len(w) + 4 * len(ids)
         known = self.words.__getitem__
         for x, ws in zip(stretches, split):
-            self.stretches[x] = known(ws[0]) if len(ws) == 1 else b"".join(map(known, ws))
+            self.stretches[x] = ids = known(ws[0]) if len(ws) == 1 else b"".join(map(known, ws))
+            self.held[1] += _ENTRY + len(x) + len(ids)
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of the texts in them."""
@@ -231,8 +236,9 @@ class _Coder:
         index = index.copy()
         index[offsets[whole]] = len(found) + np.arange(len(whole))
         found += [texts[i] for i in whole]
-        if len(self.stretches) > _CACHE:
+        if self.held[1] > _CACHE:
             self.stretches.clear()
+            self.held[1] = 0
         self._learn([x for x in found if x not in self.stretches])
         flat, ends = Table([self.stretches[x] for x in found], "<u4").take(index)
         return flat, at_rows(ends, offsets)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from corpusmill.session import scratch_path
 
 # how much text a task looks at together, in characters
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,9 +45,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def blocks(batch: pa.RecordBatch, text: str | int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """The batch in slices of about ``BLOCK_CHARS`` (a row at least), with their texts; null is empty."""
-    column = batch.column(batch.schema.get_field_index(text))
+    column = batch.column(text)
     lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
     start, size = 0, 0
     for i, n in enumerate(lengths):
@@ -61,8 +61,8 @@ def blocks(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, l
         yield part, texts_of(part, text)
 
 
-def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
-    return [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+def texts_of(batch: pa.RecordBatch, text: str | int) -> list[str]:
+    return [t or "" for t in batch.column(text).to_pylist()]
 
 
 def spare_collector() -> None:
@@ -110,10 +110,27 @@ def each_block(
                     [c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, out)],
                     schema=out,
                 )
+                pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, fields)
 
 
+def kept_rows(df: DataFrame, text: str, make: Callable[[], Callable[[list[str]], list[bool]]]) -> DataFrame:
+    """The rows of ``df`` whose text is judged to stay, in blocks; each row passes through Python once, as it is."""
+    at = df.columns.index(text)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = None
+        spare_collector()
+        for batch in batches:
+            for part, texts in blocks(batch, at):
+                judge = judge or make()
+                yield part.filter(pa.array(judge(texts), pa.bool_()))
+                pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow_fields(ddl: str) -> list[pa.Field]:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import blocks
+from corpusmill.llm.common import blocks, kept_rows
 
 CHARS_PER_ERROR = 14  # of an item: one edit in so many characters may differ
 LEAST_ITEM = 24  # characters; a shorter item must be found unchanged
@@ -177,18 +177,14 @@ def _scan(docs: DataFrame, block: list[tuple], chars_per_error: int, id_col: str
 def without_items(docs: DataFrame, items: DataFrame, chars_per_error: int = CHARS_PER_ERROR, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no item; rows with a null text stay.
 
-    Each row is judged where it is, one pass for each block of items, so nothing is joined.
+    Each row is judged where it is, one pass for each block of items, so nothing is joined; columns may have any names.
     """
-    from corpusmill.llm.common import each_block
-
-    columns = docs.columns
     kept = docs
     for block in item_blocks(items):
 
         def make(block=block):
             matcher = Matcher(block, chars_per_error)
-            return lambda texts: {"_clean": [not matcher.find(normal(t)) for t in texts]}
+            return lambda texts: [not matcher.find(normal(t)) for t in texts]
 
-        judged = each_block(kept.withColumn("_judged", F.col(text_col)), "_judged", make, "_clean boolean")
-        kept = judged.filter("_clean").select(*columns)
+        kept = kept_rows(kept, text_col, make)
     return kept

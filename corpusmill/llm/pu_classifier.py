@@ -1,15 +1,20 @@
 """Quality classifier by positive-unlabelled learning with the non-negative risk estimator.
 
-Trusted positives are the documents labelled good; everything without a label is unlabelled web
-text, a mixture of good and bad in proportion of the class prior. The risk of calling
-unlabelled text bad, less the part that the good ones in it must add, estimates the risk on bad
-text; that estimate may not fall below zero, or the model has begun to fit noise.
+Trusted positives are the documents labelled good outside of the held-out part; every other document is
+unlabelled web text, a mixture of good and bad in proportion of the class prior, whatever its label says.
+The risk of calling unlabelled text bad, less the part that the good ones in it must add, estimates
+the risk on bad text; that estimate may not fall below zero, or the model has begun to fit noise.
+
+The model is linear in fixed features (measures of the text and tanh units of drawn weights) and the
+loss is squared, so the risk is a function of the second moments of positives and of unlabelled rows.
+Tasks add these up over *all* rows, and what the driver minimises is the exact risk, whose
+size does not depend on the number of rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -18,14 +23,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import each_block, staged
+from corpusmill.llm.common import each_block, kept_rows, staged
 
 FEATURES = (
     "log_words", "log_chars", "word_length", "upper_words", "upper_chars", "bangs", "bars", "stars", "symbols",
     "commas", "stops", "distinct", "adjacent", "lines", "repeated_lines", "digits", "short_words", "quotes",
 )
-SAMPLE = 20_000  # rows of each kind that the model is fitted on, at most
-_BINS = 400
+UNITS = 64  # tanh units
+RIDGE = 0.9  # weight of the squared coefficients, over the root of the number of positives
+_CLIP = 4.0  # standardised measures reach so far
+_BINS = 2000
 
 
 def features_of(text: str) -> list[float]:
@@ -80,59 +87,73 @@ def held_out(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """A network of one hidden layer over standardised features."""
+    """Coefficients over the fixed features of standardised measures; ``prior`` is the share of good ones in all rows."""
 
     mean: np.ndarray
     scale: np.ndarray
-    hidden: np.ndarray
-    hidden_bias: np.ndarray
-    out: np.ndarray
-    bias: float
+    weights: np.ndarray
     prior: float = 0.5
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -6, 6)
-        return np.tanh(z @ self.hidden + self.hidden_bias) @ self.out + self.bias
-
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.logits(x), -30, 30)))
+        """The estimated probability to be good; one half where nothing was learnt."""
+        return np.clip((expanded(x, self.mean, self.scale) @ self.weights + 1) / 2, 0.0, 1.0)
+
+
+def expanded(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """One, the standardised measures, and tanh units over them whose weights are drawn once and for all."""
+    draw = np.random.default_rng(7)
+    z = np.clip((x - mean) / scale, -_CLIP, _CLIP)
+    inner = draw.normal(0, 1.5 * x.shape[1] ** -0.5, (x.shape[1], UNITS))
+    return np.concatenate([np.ones((len(z), 1)), z / 2, np.tanh(z @ inner + draw.uniform(-1.5, 1.5, UNITS))], axis=1)
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Number of rows, and the sums of their features and of the products of these."""
+
+    n: float
+    first: np.ndarray
+    second: np.ndarray
 
+    @staticmethod
+    def zero(width: int) -> Moments:
+        return Moments(0.0, np.zeros(width), np.zeros((width, width)))
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, mean: np.ndarray, scale: np.ndarray, prior: float | None,
-        steps: int = 600, width: int = 24, rate: float = 0.02, decay: float = 1e-4) -> Model:
-    """Minimises the non-negative risk with class prior ``prior`` by full gradients.
+    def __add__(self, other: Moments) -> Moments:
+        return Moments(self.n + other.n, self.first + other.first, self.second + other.second)
 
-    Without a prior it tells positives from unlabelled text, both with half the weight.
+    def risk(self, weights: np.ndarray, sign: int) -> float:
+        """Mean of the squared loss, a quarter of (1 - sign * f)^2."""
+        return float(1 - 2 * sign * (self.first @ weights) / self.n + weights @ self.second @ weights / self.n) / 4
+
+
+def fit(positive: Moments, unlabelled: Moments, prior: float, ridge: float = RIDGE, non_negative: bool = True) -> np.ndarray:
+    """The coefficients of least non-negative risk, for ``prior`` as the share of good ones among the unlabelled.
+
+    Without the bound the risk has one minimum in closed form. If the estimated risk on bad text is
+    below zero there, the minimum of the bounded risk lies where the estimate is zero: there the estimate enters
+    with some weight between 0 and 1 (a subgradient of the bound), which bisection finds.
     """
-    draw = np.random.default_rng(7)
-    standard = lambda x: np.clip((x - mean) / scale, -6, 6)
-    p, u = standard(positive), standard(unlabelled)
-    x = np.concatenate([p, u])
-    is_p = np.arange(len(x)) < len(p)
-    params = [draw.normal(0, x.shape[1] ** -0.5, (x.shape[1], width)), np.zeros(width), draw.normal(0, width**-0.5, width), np.zeros(1)]
-    first, second = [np.zeros_like(q) for q in params], [np.zeros_like(q) for q in params]
-    for step in range(1, steps + 1):
-        h = np.tanh(x @ params[0] + params[1])
-        g = 1 / (1 + np.exp(-np.clip(h @ params[2] + params[3], -30, 30)))
-        # derivatives by the logit of log-losses: g - 1 as positive, g as negative
-        slope = np.empty(len(x))
-        if prior is None:
-            slope[is_p], slope[~is_p] = 0.5 * (g[is_p] - 1) / len(p), 0.5 * g[~is_p] / len(u)
-        else:
-            loss = -np.log1p(-np.minimum(g, 1 - 1e-12))
-            negative = loss[~is_p].mean() - prior * loss[is_p].mean()
-            if negative >= 0:
-                slope[is_p] = prior * (g[is_p] - 1) / len(p) - prior * g[is_p] / len(p)
-                slope[~is_p] = g[~is_p] / len(u)
-            else:  # step back until the estimate is a risk again
-                slope[is_p], slope[~is_p] = prior * g[is_p] / len(p), -g[~is_p] / len(u)
-        back = slope[:, None] * params[2] * (1 - h * h)
-        grads = [x.T @ back + decay * params[0], back.sum(0), h.T @ slope + decay * params[2], np.array([slope.sum()])]
-        for k, grad in enumerate(grads):
-            first[k] = 0.9 * first[k] + 0.1 * grad
-            second[k] = 0.99 * second[k] + 0.01 * grad * grad
-            params[k] = params[k] - rate * (1 - 0.9 * step / steps) * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-    return Model(mean, scale, params[0], params[1], params[2], float(params[3][0]), prior or 0.5)
+    width = len(positive.first)
+    penalty = np.eye(width) * ridge / np.sqrt(positive.n)
+    penalty[0, 0] = 1e-9
+
+    def at(weight: float) -> np.ndarray:
+        second = weight * unlabelled.second / unlabelled.n + (1 - weight) * prior * positive.second / positive.n
+        first = prior * (1 + weight) * positive.first / positive.n - weight * unlabelled.first / unlabelled.n
+        return np.linalg.solve(second + penalty, first)
+
+    def bad_risk(weights: np.ndarray) -> float:
+        return unlabelled.risk(weights, -1) - prior * positive.risk(weights, -1)
+
+    best = at(1.0)
+    if non_negative and bad_risk(best) < 0:
+        low, high = 0.0, 1.0
+        for _ in range(40):
+            middle = (low + high) / 2
+            low, high = (middle, high) if bad_risk(at(middle)) >= 0 else (low, middle)
+        best = at(low)
+    return best
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
@@ -142,8 +163,7 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("features"))
-            x = column.flatten().to_numpy().reshape(len(batch), -1) if len(batch) else np.zeros((0, len(FEATURES)))
+            x = _matrix(batch)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(model.scores(x))],
                 names=[*kept, "score"],
@@ -152,95 +172,153 @@ def scored(rows: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def class_prior(rows: DataFrame, discriminator: Model) -> float:
-    """Share of good documents among the unlabelled, over all rows ``(good, features)``.
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    column = batch.column(batch.schema.get_field_index("features"))
+    return column.flatten().to_numpy().reshape(-1, len(FEATURES))
 
-    Wherever a set of scores holds a share P of the positives and U of the unlabelled, the prior is at most
-    U / P, with equality where no bad document falls. The least such bound over all sets of
-    higher scores that hold half of the positives estimates it.
+
+def moments(rows: DataFrame, mean: np.ndarray, scale: np.ndarray) -> dict[tuple[bool, int], Moments]:
+    """Moments by kind and half over all rows ``(good, half, features)``.
+
+    Each task leaves one row of fixed size for each of the four, and as many tasks as the root of their number
+    add those up, so that the driver gets few.
     """
-    bins = (
-        scored(rows.select("good", "features"), discriminator)
-        .groupBy("good", F.least(F.floor(F.col("score") * _BINS), F.lit(_BINS - 1)).alias("b"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()  # twice _BINS rows at most
-    )
-    counts = {good: np.zeros(_BINS) for good in (True, False)}
-    for r in bins:
-        counts[r["good"]][r["b"]] = r["n"]
-    above = {good: np.cumsum(c[::-1])[::-1] / max(1.0, c.sum()) for good, c in counts.items()}
-    usable = above[True] >= 0.5
-    ratio = above[False][usable] / above[True][usable]
-    return float(np.clip(ratio.min(initial=0.95), 0.05, 0.95))
+    width = 1 + len(FEATURES) + UNITS
+    schema = "good boolean, half int, n double, first array<double>, second array<double>"
+
+    def record(sums: dict[tuple[bool, int], Moments]) -> pa.RecordBatch:
+        keys = sorted(sums)
+        doubles = pa.list_(pa.float64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.bool_()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([sums[k].n for k in keys], pa.float64()), pa.array([sums[k].first for k in keys], doubles),
+             pa.array([sums[k].second.ravel() for k in keys], doubles)],
+            names=["good", "half", "n", "first", "second"],
+        )
+
+    def add_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[bool, int], Moments] = {}
+        for batch in batches:
+            x = expanded(_matrix(batch), mean, scale)
+            good, half = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for key in {(bool(g), int(h)) for g, h in set(zip(good.tolist(), half.tolist()))}:
+                part = x[(good == key[0]) & (half == key[1])]
+                sums[key] = sums.get(key, Moments.zero(width)) + Moments(len(part), part.sum(0), part.T @ part)
+        yield record(sums)
+
+    def add_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield record(_total(r for batch in batches for r in batch.to_pylist()))
+
+    parts = rows.select("good", "half", "features").mapInArrow(add_rows, schema)
+    groups = max(1, math.isqrt(rows.rdd.getNumPartitions()))
+    return _total(r.asDict() for r in parts.repartition(groups).mapInArrow(add_sums, schema).collect())
+
+
+def _total(rows: Iterable[dict]) -> dict[tuple[bool, int], Moments]:
+    """The sums of partial moments, added in an order of their own so that it does not depend on arrival."""
+    sums: dict[tuple[bool, int], Moments] = {}
+    for r in sorted(rows, key=lambda r: (r["good"], r["half"], r["n"], r["first"])):
+        first, second = np.array(r["first"]), np.array(r["second"])
+        part = Moments(r["n"], first, second.reshape(len(first), -1))
+        key = r["good"], r["half"]
+        sums[key] = sums[key] + part if key in sums else part
+    return sums
 
 
-def train(features: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def class_prior(rows: DataFrame, halves: dict[tuple[bool, int], Moments], mean: np.ndarray, scale: np.ndarray) -> float:
+    """Share of good documents among the unlabelled, over all rows ``(good, half, features)``.
+
+    Wherever a set of scores holds a share P of the positives and U of the unlabelled, the prior is at most
+    U / P, with equality where no bad document falls. Sets are all above some score of a model that tells
+    positives from unlabelled text; each half is scored by the model of the other one, as positives a
+    model has seen score too well. The set is not the one of least U / P, which in small samples is a
+    matter of luck, but the one whose U / P is least after the deviations of U and P (90 % sure) are added to U.
+    """
+    models = {}
+    for half in (0, 1):
+        if any(halves.get((good, h), Moments.zero(1)).n < 2 for good in (True, False) for h in (0, 1)):
+            return 0.5
+        models[half] = Model(mean, scale, fit(halves[True, half], halves[False, half], 0.5, non_negative=False))
+    shares = []
+    for half in (0, 1):
+        bins = (
+            scored(rows.filter(F.col("half") != half).select("good", "features"), models[half])
+            .groupBy("good", F.least(F.floor(F.col("score") * _BINS), F.lit(_BINS - 1)).alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()  # twice _BINS rows at most
+        )
+        counts = {good: np.zeros(_BINS) for good in (True, False)}
+        for r in bins:
+            counts[r["good"]][r["b"]] = r["n"]
+        above = {good: np.cumsum(c[::-1])[::-1] / c.sum() for good, c in counts.items()}
+        deviation = sum(np.sqrt(np.log(4 / 0.1) / (2 * c.sum())) for c in counts.values())
+        usable = above[True] > 0
+        u, p = above[False][usable], above[True][usable]
+        best = np.argmin((u + 1.01 * deviation) / p)
+        shares.append(u[best] / p[best])
+    return float(np.clip(np.mean(shares), 0.02, 0.98))
+
+
+def train(features: DataFrame, labels: DataFrame) -> Model:
     """The model from features of all documents and ``labels (doc_id, quality)``.
 
-    Moments and class prior take in every row; the gradients use at most ``sample`` positives and as
-    many unlabelled rows, those of the smallest hashes of their ids. Held-out labels are not read.
+    Held-out labels are not read, and neither are labels of 0: every document that is no trusted positive is
+    unlabelled. All rows enter the moments, the prior and the risk; nothing is sampled.
     """
-    known = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).select(F.col("doc_id").alias("_id"), "quality")
-    rows = features.join(known, F.col("doc_id") == F.col("_id"), "left").filter(
-        F.col("quality").isNull() | ~held_out(F.col("doc_id"))
-    )
+    trusted = labels.filter((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
     rows = staged(
-        rows.filter(F.col("quality").isNull() | (F.col("quality") == 1)).select(
-            "doc_id", "features", F.col("quality").isNotNull().alias("good")
+        features.join(trusted, F.col("doc_id") == F.col("_id"), "left").select(
+            F.col("_id").isNotNull().alias("good"), F.pmod(F.xxhash64("doc_id", "features"), F.lit(2)).cast("int").alias("half"),
+            "features",
         ),
         "pu_rows",
     )
     width = len(FEATURES)
-    moments = features.agg(
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("good").alias("p"),
         *(F.avg(F.col("features")[i]).alias(f"m{i}") for i in range(width)),
         *(F.stddev_pop(F.col("features")[i]).alias(f"s{i}") for i in range(width)),
     ).first()
-    mean = np.array([moments[f"m{i}"] or 0.0 for i in range(width)])
-    scale = np.array([moments[f"s{i}"] or 0.0 for i in range(width)])
+    mean = np.array([sums[f"m{i}"] or 0.0 for i in range(width)])
+    scale = np.array([sums[f"s{i}"] or 0.0 for i in range(width)])
     scale[scale < 1e-9] = 1.0
-    flat = Model(mean, scale, np.zeros((width, 1)), np.zeros(1), np.zeros(1), 0.0)
-    by_hash = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("features")]
-    kinds = []
-    for good in (True, False):
-        drawn = rows.filter(F.col("good") == good).orderBy(*by_hash).limit(sample).select("features").toArrow()
-        kinds.append(drawn.column(0).combine_chunks().flatten().to_numpy().reshape(-1, width))
-    if not len(kinds[0]) or not len(kinds[1]):
-        return flat
-    discriminator = fit(*kinds, mean, scale, None)
-    return fit(*kinds, mean, scale, class_prior(rows, discriminator))
-
-
-def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    if not sums["p"] or sums["p"] == sums["n"]:
+        return Model(mean, scale, np.zeros(1 + width + UNITS), 0.5 if not sums["p"] else 1.0)
+    halves = moments(rows, mean, scale)
+    prior = class_prior(rows, halves, mean, scale)
+    whole = {good: sum((m for k, m in halves.items() if k[0] == good), Moments.zero(1 + width + UNITS)) for good in (True, False)}
+    weights = fit(whole[True], whole[False], prior)
+    return Model(mean, scale, weights, float((prior * whole[False].n + whole[True].n) / sums["n"]))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row.
 
-    Null and empty texts get the score of zero features. Without positives or without unlabelled rows
+    Null and empty texts get the score of zero features. Without positives, or with nothing but positives,
     nothing can be learnt, and every score is one half. Repeated rows are scored alike.
     """
     features = staged(measured(docs, id_col, text_col), "quality_features")
-    model = train(features, labels, sample)
+    model = train(features, labels)
     return scored(features, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"),
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text scores at least ``threshold``, by the model learnt from these rows.
 
-    The score is computed beside the row, so nothing is joined.
+    The score is computed beside the row, so nothing is joined; columns may have any names.
     """
-    features = staged(measured(docs, id_col, text_col), "quality_features")
-    model = train(features, labels, sample)
-    columns = docs.columns
+    model = train(staged(measured(docs, id_col, text_col), "quality_features"), labels)
 
-    def make() -> Callable[[list[str]], dict[str, list]]:
-        def work(texts: list[str]) -> dict[str, list]:
+    def make() -> Callable[[list[str]], list[bool]]:
+        def good(texts: list[str]) -> list[bool]:
             x = np.array([features_of(t) for t in texts]).reshape(-1, len(FEATURES))
-            return {"_good": (model.scores(x) >= threshold).tolist()}
+            return (model.scores(x) >= threshold).tolist()
 
-        return work
+        return good
 
-    judged = each_block(docs.withColumn("_judged", F.col(text_col)), "_judged", make, "_good boolean")
-    return judged.filter("_good").select(*columns)
+    return kept_rows(docs, text_col, make)

@@ -44,14 +44,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and the fingerprint as a signed 64-bit integer; a null text has no words."""
+    """``doc_id``, hash ``h`` of the text and the fingerprint ``print`` as a signed 64-bit integer; a null text has no words."""
 
     def make() -> Callable[[list[str]], dict[str, pa.Array]]:
         return lambda texts: {"print": np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64).tolist()}
 
-    return each_block(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), "_text", make, "print bigint"
-    )
+    rows = docs.select(F.col(id_col).alias("doc_id"), _content(F.col(text_col)).alias("h"), F.col(text_col).alias("_text"))
+    return each_block(rows, "_text", make, "print bigint")
+
+
+def _content(text: Column) -> Column:
+    """What tells the texts of one id apart; null and empty differ."""
+    return F.xxhash64(text, text.isNull())
 
 
 class Forest:
@@ -197,6 +201,19 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _rooted(docs: DataFrame, radius: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, and ``(print, least, root)`` of the distinct ones, root naming the component."""
+    prints = staged(fingerprints(docs, id_col, text_col), "fingerprints")
+    # of the rows of a fingerprint the one of least id; rows without an id come last
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("least")
+    distinct = staged(prints.groupBy("print").agg(least), "distinct_prints")
+    roots = components(links(distinct.select("print"), radius))
+    rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
+        "print", "least", F.coalesce("root", "print").alias("root")
+    )
+    return prints, rooted
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row.
 
@@ -205,13 +222,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
     combined before anything is compared, so copies, however many, cost one fingerprint. A null id
     takes part in links; its component is null only if no member of it has an id.
     """
-    prints = staged(fingerprints(docs, id_col, text_col), "fingerprints")
-    distinct = staged(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct_prints")
-    roots = components(links(distinct.select("print"), radius))
-    rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
-        "print", "least", F.coalesce("root", "print").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    prints, rooted = _rooted(docs, radius, id_col, text_col)
+    smallest = rooted.groupBy("root").agg(F.min("least.doc_id").alias("component_id"))
     named = rooted.join(smallest, "root").select(F.col("print").alias("_print"), "component_id")
     return prints.join(named, F.col("print") == F.col("_print")).select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
@@ -219,10 +231,27 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest id, once.
+    """The rows of ``docs`` that stay: of each component one row, that of the smallest id.
 
-    Rows without an id cannot be told apart and all stay.
+    Texts without words are copies of each other. Among different texts of one id the one of least
+    hash stays; of rows that repeat id and text any one. Rows without an id come last: one of them
+    stays only where the component has no id at all. Columns may have any names.
     """
-    kept = near_duplicates(docs, radius, id_col, text_col).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept.withColumnRenamed("doc_id", "_kept"), F.col(id_col) == F.col("_kept"), "left_semi")
-    return named.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    prints, rooted = _rooted(docs, radius, id_col, text_col)
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.doc_id", "least.h")
+    times = prints.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"))
+    chosen = staged(
+        chosen.alias("c").join(times.alias("t"), F.expr("c.h = t.h AND c.doc_id <=> t.doc_id")).selectExpr("c.doc_id", "c.h", "n"),
+        "chosen",
+    )
+    names = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")).select(
+        "row", F.col("row")[id_col].alias("doc_id"), _content(F.col("row")[text_col]).alias("h")
+    )
+
+    def those(keys: DataFrame) -> DataFrame:
+        return rows.alias("r").join(keys.alias("k"), F.expr("r.h = k.h AND r.doc_id <=> k.doc_id"), "left_semi")
+
+    # only rows whose id and text are repeated have to be told apart, so no other text is sorted
+    kept = those(chosen.filter("n = 1")).unionByName(those(chosen.filter("n > 1")).dropDuplicates(["doc_id", "h"]))
+    return kept.select(*(F.col("row")[c].alias(c) for c in names))
