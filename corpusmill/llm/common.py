@@ -40,6 +40,18 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
+def semi_join(rows: DataFrame, keys: DataFrame, on: list[str], times: str, parts: int = 2000) -> DataFrame:
+    """The rows whose ``on`` is in ``keys``; ``times`` says how many rows have each key. Both are read twice.
+
+    A key that holds more than one in ``parts`` of the rows would burden a single task. There are fewer than ``parts``
+    such keys, whatever the data, so these are broadcast, and the rest meets by a shuffle.
+    """
+    most = rows.count() // parts
+    hot = F.broadcast(keys.filter(F.col(times) > most).select(*on))
+    cold = keys.filter(F.col(times) <= most).select(*on)
+    return rows.join(hot, on, "left_semi").unionByName(rows.join(hot, on, "left_anti").join(cold, on, "left_semi"))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once for each row, however often body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -70,7 +70,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_suffix_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("kept")
+    left = suffix_dedup.removed(table(spark, sf_dir, "documents"))
+    # what is left as text: a character that was cut through is replaced
+    return left.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query("op3_bpe_codec")

@@ -10,6 +10,8 @@ alone in its bucket is settled, and by that every position that points to it.
 A bucket with too many different runs for one task is split before: by stretches of window
 offsets, and inside each by the bytes that all windows of the stretch share. After three rounds a bucket is one
 window.
+
+Rows that repeat both id and text are one text here, and lie in a repeated string from end to end.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import staged
+from corpusmill.llm.common import semi_join, staged
 
 LENGTH = 400
 GRAM = 64
@@ -284,9 +286,8 @@ def _resolve(rows: list[tuple], length: int, id_type: pa.DataType) -> pa.RecordB
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """``(doc_id, h, b, e)``: byte ranges of ``docs (doc_id, h, text)`` in strings of ``length`` bytes found twice or more."""
     runs = staged(_runs(docs, length, gram), "runs")
-    # keys are written before they are joined: a join of two shuffles can be split where a key is hot, one with an aggregate cannot
-    shared = staged(runs.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key"), "shared_keys")
-    runs = staged(runs.join(shared, "key", "left_semi"), "shared_runs")
+    shared = staged(runs.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared_keys")
+    runs = staged(semi_join(runs, shared, ["key"], "k"), "shared_runs")
     # runs of equal content: one stands for all of them
     distinct = staged(
         runs.groupBy("key", "ctx").agg(
@@ -294,7 +295,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
         ),
         "distinct_runs",
     )
-    copied = runs.join(distinct.filter("k > 1").select("key", "ctx"), ["key", "ctx"], "left_semi").select(
+    copied = semi_join(runs, distinct.filter("k > 1").select("key", "ctx", "k"), ["key", "ctx"], "k").select(
         "doc_id", "h", F.col("s").alias("b"), (F.col("s") + F.col("n") - 1 + length).alias("e")
     )
     mixed = staged(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "mixed_keys")
@@ -337,8 +338,15 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
 
 def _with_spans(docs: DataFrame, length: int, gram: int, group: int, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("text"))
-    spans = repeated_spans(rows, length, gram, group)
-    per_text = spans.groupBy("doc_id", "h").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
+    times = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("k"), F.max(F.octet_length("text")).cast("bigint").alias("e"))
+    again = staged(times.filter("k > 1"), "repeated_rows")
+    same = F.expr("d.h = a.h AND d.doc_id <=> a.doc_id")
+    of_again = rows.alias("d").join(again.alias("a"), same, "left_semi")
+    once = rows.alias("d").join(again.alias("a"), same, "left_anti").unionByName(of_again.dropDuplicates(["doc_id", "h"]))
+    spans = repeated_spans(once, length, gram, group).unionByName(
+        again.filter(F.col("e") >= length).select("doc_id", "h", F.lit(0).cast("bigint").alias("b"), "e")
+    )
+    per_text = staged(spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("b", "e")).alias("spans")), "spans")
     return rows.join(
         per_text.withColumnsRenamed({"doc_id": "_d", "h": "_h"}),
         (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left",

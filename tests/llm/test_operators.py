@@ -129,6 +129,17 @@ def test_suffix_dedup_many_contexts(spark):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
 
 
+def test_suffix_dedup_repeated_rows(spark):
+    """Rows that repeat id and text are counted, not paired: 600 of 20 kB beside others that share parts of it."""
+    long = "".join(draw.choice("abcdefgh \u00e9") for _ in range(20_000))
+    rows = [(1, long)] * 600 + [(2, "x" + long[300:900]), (3, prose(200)), (None, None), (None, None), (4, "short")] + [(4, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = pairs(suffix_dedup.removed(df), "doc_id", "n_bytes", "n_removed", "n_spans")
+    n, part = len(long.encode()), len(long[300:900].encode())
+    other = brute_removed([rows[602 - 1][1]], 400)[0]
+    assert got == Counter({(1, n, n, 1): 600, (2, part + 1, part, 1): 1, (3, *other[:3]): 1, (None, 0, 0, 0): 2, (4, 5, 0, 0): 2})
+
+
 def test_bpe(spark, docs, empty):
     from tokenizers import Tokenizer
 
