@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 
@@ -41,8 +42,6 @@ class ByteBpe:
     """The vocabulary of a tokenizer file, with encoding and decoding."""
 
     def __init__(self, path: str):
-        import re
-
         import regex
 
         with open(path, encoding="utf-8") as file:
@@ -197,16 +196,17 @@ _APART = "\x00"
 class _Coder:
     """Ids of blocks of texts, and what these decode to; words met before are remembered.
 
-    No token goes beyond a space that follows a character other than a space. So Arrow cuts such
-    texts ahead of each space and finds the different stretches, and only these are split and
-    encoded. Texts with two spaces together, special tokens or NUL are taken whole.
+    No token goes beyond a space that ends white space or begins it. So Arrow cuts texts ahead of each
+    space and finds the different stretches, and only these are split and encoded. Texts with a space
+    inside of white space, special tokens or NUL are taken whole.
     """
 
-    def __init__(self, path: str):
-        self.bpe = ByteBpe(path)
+    def __init__(self, path: str, bpe: ByteBpe | None = None):
+        self.bpe = bpe or ByteBpe(path)
         self.words: dict[str, bytes] = {}
         self.stretches: dict[str, bytes] = {}
         self.held = [0, 0]  # bytes in both
+        self.inner_space = re.compile(r"[^\S ] [^\S ]").search
         n = max(self.bpe.pieces) + 1
         self.numbers = Table([f"{i},".encode() for i in range(n)], "u1")
         self.pieces = Table([self.bpe.pieces.get(i, b"") for i in range(n)], "u1")
@@ -227,7 +227,7 @@ class _Coder:
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of the texts in them."""
-        whole = [i for i, t in enumerate(texts) if "  " in t or "<|" in t or _APART in t]
+        whole = [i for i, t in enumerate(texts) if "  " in t or "<|" in t or _APART in t or self.inner_space(t)]
         column = list(texts)
         for i in whole:
             column[i] = ""

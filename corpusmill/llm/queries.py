@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import bpe, decontaminate, pii, pu_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
+from corpusmill.llm import alignment, bpe, decontaminate, merkle, pii, pu_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
 from corpusmill.llm.common import table
 from corpusmill.workload.base import Named
 
@@ -155,3 +155,67 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def _sql_manifest(levels: int = 7) -> str:
+    """The tree level by level: ``levels`` runs of 8 above the leaves of a language, and 2 above the languages.
+
+    DuckDB has no crc32, so it comes from a table of its 256 steps.
+    """
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+
+    def leaf(text: str) -> str:
+        parts = (text if f == "text" else f"{f}::VARCHAR" for f in fields)
+        return "sha256(" + " || ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    ctes = [
+        """steps AS (SELECT list(list_reduce([n] || range(8)::UBIGINT[],
+             lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END) ORDER BY n) AS step
+           FROM (SELECT unnest(range(256))::UBIGINT AS n))""",
+        f"""rows_ AS (SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(lowered)} AS changed,
+             xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::UBIGINT),
+               lambda a, b: xor(a >> 8, step[(xor(a, b) & 255)::BIGINT + 1])), 4294967295::UBIGINT) AS crc
+           FROM documents, steps)""",
+        """n0 AS (SELECT doc_id, lang, leaf, CASE WHEN crc % 3 = 0 THEN changed ELSE leaf END AS start,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS r, count(*) OVER (PARTITION BY lang) AS n FROM rows_)""",
+        "t0 AS (SELECT lang, r AS i, leaf AS node FROM n0)",
+    ]
+    for k in range(1, levels + 1):  # a tree of one node stays as it is
+        ctes += [
+            f"s{k - 1} AS (SELECT lang, i // 8 AS i, list(node ORDER BY i) AS run, any_value(c) AS c "
+            f"FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS c FROM t{k - 1}) GROUP BY lang, i // 8)",
+            f"t{k} AS (SELECT lang, i, CASE WHEN c = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS node FROM s{k - 1})",
+        ]
+    ctes += [f"u0 AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, node AS subroot, node FROM t{levels})"]
+    ctes += ["v0 AS (SELECT i // 8 AS i, list(node ORDER BY i) AS run, (SELECT count(*) FROM u0) AS c FROM u0 GROUP BY i // 8)",
+             "u1 AS (SELECT i, CASE WHEN c = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS node FROM v0)",
+             "v1 AS (SELECT i // 8 AS i, list(node ORDER BY i) AS run, (SELECT count(*) FROM u1) AS c FROM u1 GROUP BY i // 8)",
+             "u2 AS (SELECT CASE WHEN c = 1 THEN run[1] ELSE sha256(array_to_string(run, '')) END AS root FROM v1)"]
+
+    def up(name: str, before: str, run: str, place: str, on: str) -> str:
+        kept = f"list_filter(run, lambda x, k: k <> ({place}) % 8 + 1)"
+        folded = f"sha256(array_to_string(run[:({place}) % 8] || [node] || run[({place}) % 8 + 2:], ''))"
+        return (f"{name} AS (SELECT a.* EXCLUDE (proof, node), CASE WHEN c = 1 THEN proof ELSE proof || array_to_string({kept}, '') END AS proof, "
+                f"CASE WHEN c = 1 THEN node ELSE {folded} END AS node FROM {before} a JOIN {run} b ON {on})")
+
+    ctes.append("p0 AS (SELECT doc_id, lang, leaf, r, start AS node, '' AS proof FROM n0)")
+    for k in range(levels):
+        place = f"a.r // {8 ** k}"
+        ctes.append(up(f"p{k + 1}", f"p{k}", f"s{k}", place, f"a.lang IS NOT DISTINCT FROM b.lang AND a.r // {8 ** (k + 1)} = b.i"))
+    ctes.append(f"q0 AS (SELECT p.doc_id, p.leaf, u0.subroot, u0.i AS g, p.node, p.proof FROM p{levels} p JOIN u0 ON p.lang IS NOT DISTINCT FROM u0.lang)")
+    ctes += [up("q1", "q0", "v0", "a.g", "a.g // 8 = b.i"), up("q2", "q1", "v1", "a.g // 8", "a.g // 64 = b.i")]
+    return (f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, "
+            "node = root AS verified FROM q2, u2")
+
+
+@query("op11_merkle_manifest", _sql_manifest())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(merkle.build(docs, other=merkle.tampered_text()))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.score_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))

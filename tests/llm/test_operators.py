@@ -29,7 +29,7 @@ BASE = prose(300)
 TEXTS = [
     None, "", " ", "\n\n", "a", "the the the the", BASE, BASE, BASE + " tail", "head " + BASE, BASE[:700] + "X" + BASE[700:],
     prose(5000), "x" * 3000, "ab" * 900, "no  double   spaces\t\tand \x00 \x1c odd\u00a0ones ▁▁", "<|endoftext|>a<|ENDOFTEXT|> <s>",
-    "line\nline\nline\n\nother", "é" * 500, "😀 J̌ ﬁ Ω²",
+    "a \xa0 \xa0 \xa0b \n \n \nc\n \td \n\u2003 \u2003 \u2003e", "line\nline\nline\n\nother", "é" * 500, "😀 J̌ ﬁ Ω²",
 ]
 
 
