@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import alignment, bpe, decontaminate, merkle, pii, pu_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
+from corpusmill.llm import alignment, bpe, decontaminate, merkle, pii, pu_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from corpusmill.llm.common import table
 from corpusmill.workload.base import Named
 
@@ -219,3 +219,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.score_documents(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
