@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.arrays import let, lookup
+from corpusmill.functions.references import decode_references
 from corpusmill.schemas import METADATA_TYPE, fields
 
 # fixed values: element type by tag, category by element type
@@ -47,19 +48,15 @@ _BLOCK_TAGS = (
 )
 _ALT = r"""(?is)\balt\s*=\s*["']([^"']*)["']"""
 _SPACE = r"[ \t\r\n\f]+"
-_ENTITIES = (
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-)
 
 
 def _element(kind: Column, category: Column, text: Column) -> Column:
     return F.struct(kind.alias("type"), category.alias("category"), text.alias("text"))
 
 
-def _plain(markup: Column) -> Column:
-    text = F.regexp_replace(markup, r"(?s)<[^>]*>", " ")
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
+def plain(markup: Column) -> Column:
+    """The text of a piece of markup: no tags, character references decoded, single spaces."""
+    text = decode_references(F.regexp_replace(markup, r"(?s)<[^>]*>", " "))
     return F.trim(F.regexp_replace(text, _SPACE, " "))
 
 
@@ -119,7 +116,7 @@ def _elements_of(shown: Column) -> Column:
     def element(e: Column) -> Column:
         text = F.when(
             e["tag"] == "img", F.trim(F.regexp_extract(e["block"], _ALT, 1))
-        ).otherwise(_plain(e["block"]))
+        ).otherwise(plain(e["block"]))
         return _element(lookup(TAG_TYPES, e["tag"]), lookup(_TAG_CATEGORIES, e["tag"]), text)
 
     # the stretch before each block, the block, ..., and the stretch after the last
@@ -127,7 +124,7 @@ def _elements_of(shown: Column) -> Column:
         between,
         tagged,
         lambda stretch, block: F.array(
-            _element(F.lit("NarrativeText"), F.lit("body"), _plain(stretch)),
+            _element(F.lit("NarrativeText"), F.lit("body"), plain(stretch)),
             F.when(block.isNotNull(), element(block)),
         ),
     )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.functions.predicates import tokens
+from corpusmill.functions.references import decode_references
 from corpusmill.operators.chunk import chunk_by_title
 from corpusmill.operators.clean import strip_inline_images
 from corpusmill.operators.embed import embed_hashed, embed_with, hashed_counts, hashed_sparse
 from corpusmill.operators.entities import extract_entities, gazetteer_entities, pattern_entities
 from corpusmill.operators.hybrid import hybrid_corpus
+from corpusmill.operators.outline import outline_html
 from corpusmill.operators.partition import (
     html_elements, partition_html, partition_text, partition_with,
 )
@@ -144,7 +146,7 @@ def _sql_plain(block: str) -> str:
     text = rf"regexp_replace({block}, '(?s)<[^>]*>', ' ', 'g')"
     for entity, char in (
         ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
-        ("&amp;", "&"),
+        ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
     ):
         text = f"replace({text}, '{entity}', '{char}')"
     return rf"trim(regexp_replace({text}, '[ \t\r\n\f]+', ' ', 'g'))"
@@ -197,11 +199,12 @@ def partition_html_(spark, sf_dir):
 # written without the patterns above: comments and scripts out, then every tag, then all white space
 _SQL_VISIBLE = r"""
   SELECT page_id AS doc_id, length(t) AS n_visible, md5(t) AS visible
-  FROM (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(
+  FROM (SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(
                  regexp_replace(regexp_replace(regexp_replace(html,
                    '<!--(?s:.)*?-->', ' ', 'g'), '(?i)<(script|style)\b(?s:.)*?</(script|style)>', ' ', 'g'),
                    '<[^>]*>', '', 'g'),
-                 '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'),
+                 '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)),
+                 '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&'),
                  '[ \t\r\n\f]+', '', 'g') AS t FROM pages)
 """
 
@@ -220,6 +223,70 @@ def html_text_kept(spark, sf_dir):
     )
 
 
+_SQL_OUTLINE = """
+  WITH c AS (SELECT c_custkey AS k, c_name, count(o_orderkey) AS n
+             FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey, c_name),
+  o AS (SELECT o_custkey AS k, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i, * FROM orders),
+  e AS (
+    SELECT k, 0 AS pos, 'Title' AS type, 'Customer & orders' AS text, 0 AS depth, NULL AS parent_pos FROM c
+    UNION ALL SELECT k, 1, 'Title', c_name || ' – ' || chr(169), 1, 0 FROM c
+    UNION ALL SELECT k, 2, 'Title', 'Orders', 2, 1 FROM c
+    UNION ALL SELECT k, 3 + 3 * i, 'ListItem', 'Order ' || o_orderkey, 3, 2 FROM o
+    UNION ALL SELECT k, 4 + 3 * i, 'ListItem', 'status ' || o_orderstatus, 4, 3 + 3 * i FROM o
+    UNION ALL SELECT k, 5 + 3 * i, 'ListItem', 'é ' || o_orderpriority, 4, 3 + 3 * i FROM o
+    UNION ALL SELECT k, 3 + 3 * n, 'Title', 'Sums', 2, 1 FROM c
+    UNION ALL SELECT k, 4 + 3 * n, 'Table', 'orders ' || n, 3, 3 + 3 * n FROM c
+    UNION ALL SELECT k, 5 + 3 * n, 'NarrativeText', 'end of ' || k, 2, 1 FROM c)
+  SELECT k AS doc_id, CAST(pos AS INTEGER) AS pos, type,
+         CASE type WHEN 'Title' THEN 'heading' WHEN 'ListItem' THEN 'list' WHEN 'Table' THEN 'table' ELSE 'body' END AS category,
+         text, CAST(depth AS INTEGER) AS depth, CAST(parent_pos AS INTEGER) AS parent_pos
+  FROM e
+"""
+
+
+@named("html_outline", _SQL_OUTLINE)
+def html_outline_(spark, sf_dir):
+    """Pages made of customers and their orders: nested lists with tags left open, a table in a section, references."""
+    item = F.concat(
+        F.lit("<li>Order <b>"), F.col("o_orderkey").cast("string"), F.lit("</b><UL class='x'><li>status "), F.col("o_orderstatus"),
+        F.lit("<li>&eacute;&#32;"), F.col("o_orderpriority"), F.lit("</ul>"),
+    )
+    orders = load(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.sort_array(F.collect_list(F.struct("o_orderkey", item.alias("item")))).alias("items")
+    )
+    customers = load(spark, sf_dir, "customer")
+    items = F.coalesce(F.col("items.item"), F.array().cast("array<string>"))
+    html = F.concat(
+        F.lit("<html><title>Customer &amp; orders</title><!-- <h1>no</h1> --><h1>"), F.col("c_name"),
+        F.lit(" &ndash; &#xA9;</h1><section><h2>Orders</h2><ul>"), F.array_join(items, ""),
+        F.lit("</ul></section><section><h2>Sums<table><tr><th>orders<td><p>"), F.size(items).cast("string"),
+        F.lit("</table></section><script>p = '<p>'</script><p>end of "), F.col("c_custkey").cast("string"),
+    )
+    pages = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left").select(F.col("c_custkey").alias("doc_id"), html.alias("html"))
+    return outline_html(pages).drop("metadata")
+
+
+# references and their characters, the i-th for the documents whose id leaves i
+_REFERENCES = (
+    ("&amp;lt;", "&lt;"), ("&eacute;", "é"), ("&#8217;", "’"), ("&#x2014;", "—"), ("&mdash;", "—"), ("&hellip;", "…"), ("&Ouml;", "Ö"),
+    ("&#128512;", "😀"), ("&#150;", "–"), ("&nosuchname;", "&nosuchname;"), ("&#xD800;", "�"), ("&frac12;", "½"), ("& &;", "& &;"),
+)
+
+
+@named(
+    "html_references",
+    "SELECT doc_id, length(t) AS n_chars, md5(t) AS decoded FROM (SELECT doc_id, replace(text, ' ', ' ' || CASE doc_id % "
+    + f"{len(_REFERENCES)} " + " ".join(f"WHEN {i} THEN '{c}'" for i, (_, c) in enumerate(_REFERENCES)) + " END) AS t FROM documents)",
+)
+def html_references(spark, sf_dir):
+    """The documents with a character reference put after every space."""
+    docs = load(spark, sf_dir, "documents")
+    reference = F.get(F.array(*(F.lit(r) for r, _ in _REFERENCES)), F.pmod("doc_id", F.lit(len(_REFERENCES))).cast("int"))
+    escaped = F.replace("text", F.lit(" "), F.concat(F.lit(" "), reference))
+    rows = docs.select("doc_id", decode_references(escaped).alias("t"))
+    return rows.select("doc_id", F.length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("decoded"))
+
+
 @named("partition_text", _SQL_TEXT_ELEMENTS)
 def partition_text_(spark, sf_dir):
     return partition_text(spread(load(spark, sf_dir, "documents"))).drop("metadata")
