@@ -1,15 +1,16 @@
-"""Named entities in text: a gazetteer join and patterns."""
+"""Named entities in text: names of a gazetteer and patterns."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.predicates import tokens
 
-# A gazetteer up to this size is sent to every executor.
+# A gazetteer up to this size is sent to every executor, as a trie of tokens.
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Up to this many names, their digests are sent instead, to sort out token runs
 # that are no name before any of them is shuffled.
@@ -66,11 +67,10 @@ def gazetteer_entities(
     """Names of a gazetteer (name, entity_type) found in text.
 
     Result: doc_id, entity_type, entity, pos (token number, from 0). A match
-    inside a longer one is dropped. Token runs are built only for the lengths
-    the gazetteer has. They are joined with it where they arise when its
-    measured size allows sending it along. Otherwise they are shuffled and
-    salted, after the digests of the names, if those are few enough to be sent,
-    have left hardly more than true matches.
+    inside a longer one is dropped. A gazetteer whose measured size allows sending it
+    along is walked as a trie inside each row. Otherwise token runs of the lengths that it
+    has are shuffled and salted, after the digests of the names, if those are few enough to
+    be sent, have left hardly more than true matches.
     """
     return extract_entities(df, gazetteer, doc_id, text, {}, broadcast_bytes, digest_rows)
 
@@ -87,7 +87,7 @@ def extract_entities(
     """Entities by pattern and, when a gazetteer is given, by name.
 
     Columns as in :func:`pattern_entities` and :func:`gazetteer_entities`. With
-    a gazetteer that can be sent along, the text is read once for both.
+    a gazetteer that can be sent along, the text is read once for both and stays in its row.
     """
     if gazetteer is None:
         return pattern_entities(df, doc_id, text, patterns)
@@ -110,12 +110,9 @@ def extract_entities(
     lengths, names = measured["lengths"] or [1], names.drop("n")
 
     if measured["bytes"] <= broadcast_bytes:
-        candidates = _candidates(df, doc_id, text, lengths, patterns)
-        # a pattern match has no phrase and stays without a name
-        joined = candidates.join(F.broadcast(names), "phrase", "left" if patterns else "inner")
-        return _resolved(joined, lengths)
+        return _in_row(df, names, doc_id, text, patterns)
 
-    candidates = _candidates(df, doc_id, text, lengths, {})
+    candidates = _candidates(df, doc_id, text, lengths)
     if measured["rows"] <= digest_rows:
         digests = names.select(F.xxhash64("phrase").alias("_digest")).distinct()
         candidates = (
@@ -133,69 +130,99 @@ def extract_entities(
     return found.unionByName(pattern_entities(df, doc_id, text, patterns))
 
 
-def _candidates(
-    df: DataFrame, doc_id: str, text: str, lengths: list[int], patterns: Mapping[str, str]
-) -> DataFrame:
-    """Token runs and pattern matches: doc_id, pos, n, phrase, entity_type, entity.
+_FOUND = "array<struct<entity_type:string,entity:string,pos:int>>"
+
+
+def _in_row(df: DataFrame, names: DataFrame, doc_id: str, text: str, patterns: Mapping[str, str]) -> DataFrame:
+    """Names and pattern matches of each text, found in its row; the text is read once and nothing is shuffled."""
+    rows = [tuple(r) for r in names.select("phrase", "name_type", "name").orderBy("phrase", "name_type").collect()]  # of checked size
+    found = [_trie_finder(df.sparkSession.sparkContext.broadcast(rows))(F.col(text))] if rows else []
+    for kind, p in patterns.items():
+        matched = F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0))
+        numbered = F.transform(matched, lambda m, i: F.struct(F.lit(kind).alias("entity_type"), m.alias("entity"), i.alias("pos")))
+        found.append(F.coalesce(numbered.cast(_FOUND), F.array().cast(_FOUND)))
+    if not found:
+        found = [F.array().cast(_FOUND)]
+    return df.select(F.col(doc_id).alias("doc_id"), F.inline(F.concat(*found)))
+
+
+def _trie_finder(rows):
+    """A column function over texts, from a broadcast list of ``(phrase, entity_type, name)``."""
+
+    def find(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import regex
+
+        split = regex.compile(r"[^\p{L}\p{N}]+").split
+        names = rows.value
+        trie: dict = {}
+        for k, (phrase, _, _) in enumerate(names):
+            node = trie
+            for token in phrase.split(" "):
+                node = node.setdefault(token, {})
+            node.setdefault("", []).append(k)  # no token is empty
+        kinds, words = (pa.array([r[i] for r in names], pa.string()) for i in (1, 2))
+        for batch in texts:
+            offsets, which, places = [0], [], []
+            for text in batch:
+                at = [t for t in split((text.as_py() or "").lower()) if t]
+                reach = 0
+                for i, token in enumerate(at):
+                    node = trie.get(token)
+                    if node is None:
+                        continue
+                    best, end, j = None, 0, i + 1
+                    while node is not None:
+                        if "" in node:
+                            best, end = node[""], j
+                        node = node.get(at[j]) if j < len(at) else None
+                        j += 1
+                    # what ends no further than a match before lies inside of it
+                    if best is not None and end > reach:
+                        reach = end
+                        which += best
+                        places += [i] * len(best)
+                offsets.append(len(which))
+            index = pa.array(which, pa.int64())
+            values = pa.StructArray.from_arrays(
+                [kinds.take(index), words.take(index), pa.array(places, pa.int32())], names=["entity_type", "entity", "pos"]
+            )
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+    return F.arrow_udf(find, _FOUND)
+
 
-    One row per token first, with the tokens that follow it and with the
-    pattern match of the same number. The shifted arrays share the token
-    strings; the runs are put together in generated code.
+def _candidates(df: DataFrame, doc_id: str, text: str, lengths: list[int]) -> DataFrame:
+    """Token runs, for gazetteers that cannot be sent along: doc_id, pos, n, phrase.
+
+    One row per token first, with the tokens that follow it. The shifted arrays share the
+    token strings; the runs are put together in generated code.
     """
-    matched = [
-        F.regexp_extract_all(F.col(text), F.lit(p), F.lit(0)).alias(f"m{i}")
-        for i, p in enumerate(patterns.values())
-    ]
     # exploded from an array of one, so that the tokens are computed once per text
-    tokenized = df.select(
-        F.col(doc_id).alias("doc_id"), *matched, F.explode(F.array(tokens(text))).alias("t")
-    )
+    tokenized = df.select(F.col(doc_id).alias("doc_id"), F.explode(F.array(tokens(text))).alias("t"))
     shifted = [
         F.slice("t", F.lit(k + 1), F.greatest(F.size("t") - k, F.lit(0))).alias(f"t{k}")
         for k in range(max(lengths))
     ]
-    numbered = tokenized.select(
-        "doc_id",
-        F.posexplode(
-            F.arrays_zip(*shifted, *(F.col(f"m{i}") for i in range(len(patterns))))
-        ).alias("pos", "z"),
-    )
-
-    def row(n: int, phrase: Column, kind: Column, entity: Column) -> Column:
-        return F.struct(
-            F.lit(n).alias("n"), phrase.alias("phrase"), kind.alias("entity_type"),
-            entity.alias("entity"),
-        )
-
-    none = F.lit(None).cast("string")
+    numbered = tokenized.select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
     rows = [
-        row(
-            n,
+        F.struct(
+            F.lit(n).alias("n"),
             F.when(
                 F.col(f"z.t{n - 1}").isNotNull(),
                 F.concat_ws(" ", *(F.col(f"z.t{k}") for k in range(n))),
-            ),
-            none,
-            none,
+            ).alias("phrase"),
         )
         for n in lengths
-    ] + [row(1, none, F.lit(kind), F.col(f"z.m{i}")) for i, kind in enumerate(patterns)]
-    return numbered.select("doc_id", "pos", F.inline(F.array(*rows))).where(
-        F.col("phrase").isNotNull() | F.col("entity").isNotNull()
-    )
+    ]
+    return numbered.select("doc_id", "pos", F.inline(F.array(*rows))).where(F.col("phrase").isNotNull())
 
 
 def _resolved(joined: DataFrame, lengths: list[int]) -> DataFrame:
-    """Named or matched candidates, without names inside longer names."""
-    found = joined.where(F.col("name").isNotNull() | F.col("entity").isNotNull()).select(
-        "doc_id",
-        F.coalesce("entity_type", "name_type").alias("entity_type"),
-        F.coalesce("entity", "name").alias("entity"),
-        "pos",
-        (F.col("pos") + F.col("n")).alias("_end"),
-        F.col("name").isNotNull().alias("_named"),
+    """Named candidates, without names inside longer names."""
+    found = joined.select(
+        "doc_id", F.col("name_type").alias("entity_type"), F.col("name").alias("entity"), "pos", (F.col("pos") + F.col("n")).alias("_end")
     )
-    return (found if len(lengths) == 1 else _longest(found)).drop("_end", "_named")
+    return (found if len(lengths) == 1 else _longest(found)).drop("_end")
 
 
 def _longest(matches: DataFrame) -> DataFrame:
@@ -214,8 +241,7 @@ def _longest(matches: DataFrame) -> DataFrame:
             )
         ),
     )
-    # pattern matches keep to themselves, each of their extents is different
-    group = Window.partitionBy("doc_id", "_named", "_bucket")
+    group = Window.partitionBy("doc_id", "_bucket")
     order = group.orderBy(F.col("pos").asc(), F.col("_end").desc())
     ranked = bucketed.withColumn("_extent", F.dense_rank().over(order))
     before = group.orderBy("_extent").rangeBetween(Window.unboundedPreceding, -1)
