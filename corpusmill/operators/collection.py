@@ -35,14 +35,12 @@ def collection_stats(
     text: str = "payload.text",
     vector: str = "vector",
     key: str = "id",
-    sample_limit: int | None = None,
 ) -> DataFrame:
     """Points by type and by category, and totals: section, key, n.
 
     The totals (section ``points``) are ``total``, ``with_text`` and, when the
     dimension is given, ``with_vector``; without it the vectors, by far the
     largest column, are not read. All come from one scan and one shuffle.
-    ``sample_limit`` restricts the report to the first points by key.
     """
     narrow = points.select(
         F.col(key).alias("id"),
@@ -51,9 +49,6 @@ def collection_stats(
         has_text(text).alias("with_text"),
         *([has_vector(vector, dim).alias("with_vector")] if dim is not None else []),
     )
-    if sample_limit is not None:
-        narrow = narrow.orderBy("id").limit(sample_limit)
-
     def entry(section: str, k: Column, n: Column) -> Column:
         return F.struct(F.lit(section).alias("section"), k.alias("key"), n.alias("n"))
 

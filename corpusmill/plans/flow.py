@@ -19,6 +19,7 @@ from corpusmill.operators.partition import (
     with_error_elements,
 )
 from corpusmill.sinks.points import write_points
+from corpusmill.sinks.tables import Load
 
 
 @dataclass(frozen=True)
@@ -115,12 +116,12 @@ class DocumentFlow:
             ("documents", "elements", "chunks"),
         )
 
-    def run(self, documents: DataFrame, path: str, *, batch_size: int = 0) -> None:
-        """Writes the points of the documents to a collection, each chunk under its id.
+    def run(self, documents: DataFrame, name: str, *, batch_size: int = 0) -> Load:
+        """Writes the points of the documents to a collection, a table of that name, each chunk under its id.
 
         A chunk without a token has nothing to hash; it gets the zero vector, so the collection
         holds every chunk and each text is embedded once.
         """
         zero = F.array_repeat(F.lit(0.0).cast("float"), self.dim)
         points = self.points(documents).withColumn("vector", F.coalesce("vector", zero))
-        write_points(points, path, self.dim, batch_size=batch_size, normalize=False)
+        return write_points(points, name, self.dim, batch_size=batch_size, normalize=False)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from corpusmill.functions.arrays import let
 from corpusmill.schemas import POINT_SCHEMA
-from corpusmill.sinks.tables import publish, read_table, table_state, upsert_table
+from corpusmill.sinks.tables import Load, create_table, read_table, upsert_table
 
 METRIC = "cosine"
 
@@ -19,25 +16,22 @@ def _described(vector: Column, dim: int) -> Column:
     return vector.alias("vector", metadata={"dim": dim, "metric": METRIC})
 
 
-def collection_dim(spark: SparkSession, path: str) -> int | None:
+def collection_dim(spark: SparkSession, name: str) -> int | None:
     """The dimension a collection was declared with, or None where there is none."""
-    state = table_state(spark, path)
-    return state and StructType.fromJson(state["schema"])["vector"].metadata.get("dim")
+    if not spark.catalog.tableExists(name):
+        return None
+    return spark.table(name).schema["vector"].metadata.get("dim")
 
 
-def ensure_collection(spark: SparkSession, path: str, dim: int = 1536, buckets: int = 64) -> None:
+def ensure_collection(spark: SparkSession, name: str, dim: int = 1536, parts: int = 16, buckets: int = 16) -> None:
     """Creates an empty collection, or checks the dimension of the one that exists."""
-    found = collection_dim(spark, path)
+    found = collection_dim(spark, name)
     if found is not None:
         if found != dim:
             raise ValueError(f"the collection has dimension {found}, not {dim}")
         return
     empty = spark.createDataFrame([], POINT_SCHEMA)
-    schema = empty.select("id", _described(F.col("vector"), dim), "payload").schema
-    publish(
-        spark, path,
-        {"number": 0, "key": "id", "buckets": buckets, "folders": {}, "schema": json.loads(schema.json())},
-    )
+    create_table(spark, name, empty.select("id", _described(F.col("vector"), dim), "payload").schema, "id", parts, buckets)
 
 
 def unit_vector(vector: Column | str) -> Column:
@@ -67,28 +61,30 @@ def checked_points(points: DataFrame, dim: int, *, normalize: bool = True) -> Da
 
 def write_points(
     points: DataFrame,
-    path: str,
+    name: str,
     dim: int = 1536,
     *,
     batch_size: int = 0,
     normalize: bool = True,
-) -> None:
+    parts: int = 16,
+    buckets: int = 16,
+) -> Load:
     """Writes points to a collection by id: a point replaces the one with its id.
 
     So the same run twice leaves the same points. Of equal ids within one call, one stays, chosen by
     content. ``batch_size`` bounds the rows of one file. Vectors are scaled once here, so that
-    a search needs only products.
+    a search needs only products. The result says how many points were new and how many replaced one.
     """
     spark = points.sparkSession
-    ensure_collection(spark, path, dim)
+    ensure_collection(spark, name, dim, parts, buckets)
     fitted = checked_points(points, dim, normalize=normalize).select(
         F.col("id").cast("string").alias("id"),
         _described(F.col("vector").cast("array<float>"), dim),
         "payload",
     )
-    upsert_table(spark, path, fitted, "id", None, table_state(spark, path)["buckets"], batch_size)
+    return upsert_table(spark, name, fitted, "id", None, parts=parts, buckets=buckets, max_records_per_file=batch_size)
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """The points of a collection, with the payload fields of all its files."""
-    return read_table(spark, path)
+def read_points(spark: SparkSession, name: str) -> DataFrame:
+    """The points of a collection, with the payload fields of all writes."""
+    return read_table(spark, name)

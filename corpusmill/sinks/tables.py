@@ -1,20 +1,20 @@
-"""Keyed tables: last-write-wins upserts that rewrite only the buckets they touch."""
+"""Keyed tables: last-write-wins upserts into tables that Spark buckets by key."""
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
-from corpusmill.schemas import SchemaConflict
+from corpusmill.schemas import SchemaConflict, check_rows, fields
 from corpusmill.session import drop_path, scratch_path
 
-BUCKET = "_bucket"
+PART = "_part"
+_KEY, _PARTS, _BUCKETS = "corpusmill.key", "corpusmill.parts", "corpusmill.buckets"
 
 
 def last_by_key(df: DataFrame, key: str, seq: str | None) -> DataFrame:
@@ -36,12 +36,6 @@ def last_by_key(df: DataFrame, key: str, seq: str | None) -> DataFrame:
     )
 
 
-def _without(old: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The rows of ``old`` whose key is not in ``rows``; NULL equals NULL."""
-    keys = rows.select(F.col(key).alias("_new_key"))
-    return old.join(keys, F.col(key).eqNullSafe(F.col("_new_key")), "left_anti")
-
-
 def upsert(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
     """``old`` with the rows of ``new`` put in place of those with the same key.
 
@@ -51,152 +45,173 @@ def upsert(old: DataFrame, new: DataFrame, key: str, seq: str) -> DataFrame:
     side lacks become NULL.
     """
     rows = last_by_key(new, key, seq).drop(seq)
-    kept = _without(old, rows, key)
+    keys = rows.select(F.col(key).alias("_new_key"))
+    kept = old.join(keys, F.col(key).eqNullSafe(F.col("_new_key")), "left_anti")
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
-def exists_at(spark: SparkSession, path: str) -> bool:
-    """A readable parquet table is at the path."""
-    try:
-        spark.read.parquet(path).schema
-    except AnalysisException:
-        return False
-    return True
+@dataclass(frozen=True)
+class Load:
+    """What a load did: rows that came, keys that were written, how many of these replaced a row, and rows refused.
 
+    ``failures`` holds the refused rows as they came, each with the reason in ``error``.
+    """
+
+    received: int
+    written: int
+    replaced: int
+    refused: int
+    failures: DataFrame
 
-def _file_system(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+    @property
+    def added(self) -> int:
+        return self.written - self.replaced
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Names of the version files, oldest first."""
-    fs, place = _file_system(spark, f"{path}/versions")
-    if not fs.exists(place):
-        return []
-    names = (f.getPath().getName() for f in fs.listStatus(place))
-    return sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
 
 
-def table_state(spark: SparkSession, path: str) -> dict | None:
-    """The newest version: key, buckets, schema, and by bucket the folder with its rows; None without a table."""
-    names = _versions(spark, path)
-    if not names:
-        return None
-    return json.loads(spark.read.text(f"{path}/versions/{names[-1]}", wholetext=True).first()[0])
+def create_table(spark: SparkSession, name: str, schema: T.StructType, key: str, parts: int = 16, buckets: int = 16) -> None:
+    """An empty table, in folders by hash of the key (the parts), and by Spark's buckets of the key inside of them."""
+    stored = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType())])
+    (
+        spark.createDataFrame([], stored).write.partitionBy(PART).bucketBy(buckets, key)
+        .option("partitionOverwriteMode", "dynamic").saveAsTable(name)
+    )
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_KEY}' = '{key}', '{_PARTS}' = '{parts}', '{_BUCKETS}' = '{buckets}')")
+
+
+def _widened(old: T.DataType, new: T.DataType, at: str) -> T.DataType:
+    """The type that holds values of both: structs take the fields of either; any other change is refused."""
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        found = {f.name: f for f in old.fields}
+        for f in new.fields:
+            kind = _widened(found[f.name].dataType, f.dataType, f"{at}.{f.name}") if f.name in found else f.dataType
+            found[f.name] = T.StructField(f.name, kind, True, found[f.name].metadata if f.name in found else f.metadata)
+        return T.StructType(list(found.values()))
+    if old.simpleString() != new.simpleString():
+        raise SchemaConflict(f"{at}: {new.simpleString()} is not {old.simpleString()}")
+    return old
+
+
+def _fitted(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A value in a type that has more struct fields, these NULL."""
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType) and have != want:
+        names = set(have.names)
+        inner = [
+            (_fitted(value[f.name], have[f.name].dataType, f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*inner))
+    return value.cast(want)
+
+
+def _in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema``, those that ``df`` lacks NULL."""
+    return df.select(
+        *(
+            (_fitted(F.col(f.name), df.schema[f.name].dataType, f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+            .alias(f.name, metadata=f.metadata)
+            for f in schema.fields
+        )
+    )
 
 
-def publish(spark: SparkSession, path: str, state: dict) -> None:
-    """Makes ``state`` the newest version, in one step: a file that is complete gets its name.
+def _evolved(spark: SparkSession, name: str, incoming: T.StructType) -> T.StructType:
+    """Adds columns that come new to the table and returns its columns, without the part.
 
-    Readers see the version before or this one. Of two writers that began from the same version, the
-    second one fails.
+    New fields of structs cannot be added in place, so these rewrite the table under a new name, which then takes its place.
     """
-    names = _versions(spark, path)
-    number = int(names[-1].split(".")[0]) + 1 if names else 0
-    if number != state["number"]:
-        raise ValueError(f"another writer has changed the table at {path}")
-    target, draft = f"{path}/versions/{number:010d}.json", f"{path}/versions/.{uuid.uuid4().hex}"
-    fs, place = _file_system(spark, draft)
-    out = fs.create(place, False)
-    out.write(bytearray(json.dumps(state).encode()))
-    out.close()
-    if fs.exists(_file_system(spark, target)[1]) or not fs.rename(place, _file_system(spark, target)[1]):
-        raise ValueError(f"another writer has changed the table at {path}")
-
-
-def _rows(spark: SparkSession, path: str, state: dict, buckets: Iterable[int] | None = None) -> DataFrame:
-    """The rows of a version, or of some of its buckets; columns that a file lacks are NULL."""
-    schema = StructType.fromJson(state["schema"])
-    chosen = state["folders"].items() if buckets is None else [(b, state["folders"].get(str(b))) for b in buckets]
-    folders = [f"{path}/{folder}/{BUCKET}={b}" for b, folder in chosen if folder]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*folders)
+    table = spark.table(name)
+    present = T.StructType([f for f in table.schema.fields if f.name != PART])
+    wanted = _widened(present, incoming, name)
+    if all(a.dataType == b.dataType for a, b in zip(present.fields, wanted.fields)):
+        missing = wanted.fields[len(present.fields):]
+        if missing:
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in missing)
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+        return wanted
+    found, other = _properties(spark, name), f"{name}_{uuid.uuid4().hex}"
+    create_table(spark, other, wanted, found[_KEY], int(found[_PARTS]), int(found[_BUCKETS]))
+    rewritten = _in_schema(table, wanted).withColumn(PART, _part(found[_KEY], int(found[_PARTS])))
+    rewritten.repartition(int(found[_BUCKETS]), found[_KEY]).write.insertInto(other, overwrite=True)
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"ALTER TABLE {other} RENAME TO {name}")
+    return wanted
+
+
+def _part(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
 def upsert_table(
     spark: SparkSession,
-    path: str,
+    name: str,
     new: DataFrame,
     key: str,
     seq: str | None,
-    buckets: int = 64,
+    *,
+    parts: int = 16,
+    buckets: int = 16,
+    declared: T.StructType | None = None,
+    required: Sequence[str] = (),
     max_records_per_file: int = 0,
-) -> None:
-    """Upserts into a parquet table that is bucketed by a hash of the key.
-
-    Only the buckets that hold a changed key are read and written. They go to new folders, and a new
-    version file then names them next to those of all other buckets; what was there stays as it is,
-    until :func:`drop_old_versions`. A bucket is written by as many tasks as its size
-    asks for. ``buckets`` is kept with the table and cannot change. The incoming rows are written to
-    the shared folder first, so they are computed once. Columns may be added, and keep their type.
-    Without ``seq``, versions of a key within ``new`` are decided by content.
+) -> Load:
+    """Upserts into a table of the catalog, which is created where there is none, and reports what happened.
+
+    Rows that lack a ``required`` value, or hold one that is not of its ``declared`` type, are refused and the
+    others loaded. The incoming rows are written to the shared folder once, and counted as they are. Only parts that
+    hold a changed key are read and written: their old rows come out of Spark's buckets, so they meet the new keys without
+    a shuffle, and go back by Spark's dynamic partition overwrite. A part that a job was writing when it failed keeps its
+    old rows or has its new ones; the load can be repeated. One writer at a time. Columns and struct fields
+    may be added, and keep their type. Without ``seq``, versions of a key within ``new`` are decided by content.
     """
-    keyed = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    if spark.catalog.tableExists(name):
+        found = _properties(spark, name)
+        if (found[_KEY], int(found[_PARTS]), int(found[_BUCKETS])) != (key, parts, buckets):
+            raise ValueError(f"the table has key {found[_KEY]}, {found[_PARTS]} parts and {found[_BUCKETS]} buckets")
+    checked = check_rows(new, declared or fields(), list(required))
+    coming, latest = Observation(), Observation()
+    refused = F.col("error").isNotNull()
+    seen = checked.observe(coming, F.count(F.lit(1)).alias("received"), F.count_if(refused).alias("refused"))
+    kinds = {f.name: f.dataType for f in declared.fields} if declared else {}
+    good = seen.where(~refused).select(*(F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in new.columns))
+    rows = last_by_key(good, key, seq)
+    rows = (rows.drop(seq) if seq else rows).withColumn(PART, _part(key, parts))
     staged = scratch_path(spark, "upsert")
-    latest = last_by_key(new, key, seq)
-    (latest.drop(seq) if seq else latest).withColumn(BUCKET, keyed).write.parquet(staged)
-    rows = spark.read.parquet(staged)
-    state = table_state(spark, path)
-    if state is None:
-        state = {"number": -1, "key": key, "buckets": buckets, "folders": {}, "schema": None}
-    if state["buckets"] != buckets:
-        raise ValueError(f"the table has {state['buckets']} buckets, not {buckets}")
-    # bucket numbers only, so that the folders of all others are left alone
-    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-    merged = rows
-    if state["schema"]:
-        old = _rows(spark, path, state, touched)
-        _same_types(old, rows.drop(BUCKET))
-        kept = _without(old, rows, key).withColumn(BUCKET, keyed)
-        merged = kept.unionByName(rows, allowMissingColumns=True)
-    folder = f"data/{uuid.uuid4().hex}"
+    rows.observe(latest, F.count(F.lit(1)).alias("written"), F.count_if(F.col(key).isNull()).alias("no_key")).write.parquet(staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    incoming = T.StructType([f for f in rows.schema.fields if f.name != PART])
+    if not spark.catalog.tableExists(name):
+        create_table(spark, name, incoming, key, parts, buckets)
+    schema = _evolved(spark, name, incoming)
+    replaced = 0
+    # numbers of parts only, as many as there are at most
+    touched = [r[0] for r in rows.select(PART).distinct().collect()]
     if touched:
-        (
-            merged.hint("rebalance", BUCKET)
-            .write.option("maxRecordsPerFile", max_records_per_file)
-            .partitionBy(BUCKET)
-            .parquet(f"{path}/{folder}")
-        )
-    state = {
-        **state,
-        "number": state["number"] + 1,
-        "schema": json.loads(merged.drop(BUCKET).schema.json()),
-        "folders": state["folders"] | {str(b): folder for b in touched},
-    }
-    publish(spark, path, state)
+        old = spark.table(name).where(F.col(PART).isin(touched))
+        before, after = old.count(), Observation()  # counted by the footers
+        merged = kept_rows(old, rows, key, bool(latest.get["no_key"])).observe(after, F.count(F.lit(1)).alias("kept"))
+        fitted = _in_schema(rows, schema).withColumn(PART, _part(key, parts)).repartition(buckets, key)
+        merged.select(*schema.names, PART).unionByName(fitted).write.option(
+            "maxRecordsPerFile", max_records_per_file
+        ).insertInto(name, overwrite=True)
+        replaced = before - after.get["kept"]
     drop_path(spark, staged)
+    return Load(coming.get["received"], latest.get["written"], replaced, coming.get["refused"], checked.where(refused))
 
 
-def _same_types(old: DataFrame, new: DataFrame) -> None:
-    """Refuses a column whose type has changed; structs may gain fields."""
-    before = {f.name: f.dataType for f in old.schema}
-    for f in new.schema:
-        kind = before.get(f.name, f.dataType)
-        both_structs = isinstance(kind, StructType) and isinstance(f.dataType, StructType)
-        if not both_structs and kind.simpleString() != f.dataType.simpleString():
-            raise SchemaConflict(f"{f.name}: {f.dataType.simpleString()} is not {kind.simpleString()}")
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the newest version, with the columns of all its files."""
-    state = table_state(spark, path)
-    if state is None:
-        raise ValueError(f"there is no table at {path}")
-    return _rows(spark, path, state)
+def kept_rows(old: DataFrame, rows: DataFrame, key: str, no_key: bool) -> DataFrame:
+    """The rows of ``old`` whose key is not in ``rows``; those without a key go if ``no_key``.
 
+    A merge join, so that what comes out lies in the buckets it came from and is written back to these.
+    """
+    keys = rows.select(F.col(key).alias("_new_key")).hint("merge")
+    kept = old.join(keys, F.col(key) == F.col("_new_key"), "left_anti")
+    return kept.where(F.col(key).isNotNull()) if no_key else kept
 
-def drop_old_versions(spark: SparkSession, path: str) -> None:
-    """Removes versions before the newest, and folders that it does not use.
 
-    To be run when nobody reads an older version or writes.
-    """
-    state = table_state(spark, path)
-    used = {f.rsplit("/", 1)[1] for f in state["folders"].values()}
-    for name in _versions(spark, path)[:-1]:
-        drop_path(spark, f"{path}/versions/{name}")
-    fs, place = _file_system(spark, f"{path}/data")
-    for folder in fs.listStatus(place) if fs.exists(place) else []:
-        if folder.getPath().getName() not in used:
-            drop_path(spark, folder.getPath().toString())
+def read_table(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a table, with all its columns."""
+    return spark.table(name).drop(PART)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusmill.session import scratch_path
+from corpusmill.sinks.tables import read_table
+
 Run = Callable[[SparkSession, str], DataFrame]
 
 
@@ -53,6 +57,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(n)) if n else df
 
 
+def from_table(spark: SparkSession, label: str, fill: Callable[[str], object]) -> DataFrame:
+    """The rows of a catalog table that ``fill`` has written, given its name, in the shared folder; the table is dropped."""
+    name, path = f"{label}_{uuid.uuid4().hex}", scratch_path(spark, label)
+    try:
+        fill(name)
+        read_table(spark, name).write.parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.read.parquet(path)
+
+
 def sql_tokens(text: str) -> str:
     return (
         rf"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), "

@@ -9,10 +9,9 @@ from corpusmill.operators.collection import collection_stats, has_vector, knn
 from corpusmill.operators.embed import embed_with
 from corpusmill.operators.hybrid import hybrid_corpus, to_points
 from corpusmill.plans.flow import DocumentFlow
-from corpusmill.session import scratch_path
-from corpusmill.sinks.points import read_points, unit_vector, write_points
+from corpusmill.sinks.points import unit_vector, write_points
 from corpusmill.sources.tables import scroll
-from corpusmill.workload.base import SQL_ORDER_RECORDS, load, named, order_records, spread
+from corpusmill.workload.base import SQL_ORDER_RECORDS, from_table, load, named, order_records, spread
 from corpusmill.workload.documents import (
     _SQL_HTML_ELEMENTS, _SQL_TEXT_ELEMENTS, _sql_chunks, text_sizes,
 )
@@ -59,14 +58,6 @@ def collection_stats_(spark, sf_dir):
     return collection_stats(_points(spark, sf_dir), 64)
 
 
-@named(
-    "collection_stats_sampled",
-    _sql_collection(f"SELECT * FROM ({_SQL_POINTS}) ORDER BY id LIMIT 100", 64),
-)
-def collection_stats_sampled(spark, sf_dir):
-    return collection_stats(_points(spark, sf_dir), 64, sample_limit=100)
-
-
 @named(
     "vector_check",
     """SELECT count(*) AS total, count(*) FILTER (WHERE len(embedding) = 64) AS complete
@@ -170,9 +161,8 @@ def knn_top10(spark, sf_dir):
        FROM embeddings""",
 )
 def points_sink(spark, sf_dir):
-    path = scratch_path(spark, "points")
-    write_points(_points(spark, sf_dir), path, 64)
-    return read_points(spark, path).select(
+    stored = from_table(spark, "points", lambda name: write_points(_points(spark, sf_dir), name, 64, parts=4, buckets=4))
+    return stored.select(
         F.col("id").cast("bigint").alias("id"),
         F.size("vector").alias("dim"),
         F.get("vector", F.lit(0)).cast("double").alias("x"),
@@ -186,16 +176,16 @@ def points_sink(spark, sf_dir):
 )
 def points_sink_rerun(spark, sf_dir):
     """A run that is repeated, and one over a part, leave one point for each id."""
-    path = scratch_path(spark, "points-rerun")
     points = _points(spark, sf_dir)
 
     def marked(text):
         return points.withColumn("payload", F.col("payload").withField("text", F.lit(text)))
 
-    write_points(marked("first"), path, 64)
-    write_points(marked("first"), path, 64)
-    write_points(marked("second").where("id % 4 = 0"), path, 64)
-    return read_points(spark, path).select(F.col("id").cast("bigint").alias("id"), "payload.text")
+    def fill(name):
+        for new in (marked("first"), marked("first"), marked("second").where("id % 4 = 0")):
+            write_points(new, name, 64, parts=4, buckets=2)
+
+    return from_table(spark, "points_rerun", fill).select(F.col("id").cast("bigint").alias("id"), "payload.text")
 
 
 @named(
@@ -212,9 +202,8 @@ def hybrid_points(spark, sf_dir):
     chunks = DocumentFlow("text", content="text").chunks(load(spark, sf_dir, "documents"))
     corpus = hybrid_corpus(chunks, order_records(spark, sf_dir), key="id", text="interaction_text")
     points = to_points(embed_with(corpus, text_sizes, 2))
-    path = scratch_path(spark, "hybrid")
-    write_points(points, path, 2, normalize=False)
-    return read_points(spark, path).select(
+    stored = from_table(spark, "hybrid", lambda name: write_points(points, name, 2, normalize=False, parts=4, buckets=4))
+    return stored.select(
         "id", "payload.text", F.get("vector", F.lit(0)).cast("double").alias("x"),
         F.col("payload.text").contains("$").alias("money"),
     )

@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusmill.schemas import (
-    check_rows, ensure_schema, ensure_table, fields, load_tally, split_valid,
+    ensure_schema, ensure_table, fields, first_failures, load_tally, split_valid,
 )
 from corpusmill.session import scratch_path
-from corpusmill.sinks.tables import read_table, upsert, upsert_table
+from corpusmill.sinks.tables import upsert, upsert_table
 from corpusmill.sources.tables import scan_records
-from corpusmill.workload.base import SQL_LABELLED, labelled, load, named
+from corpusmill.workload.base import SQL_LABELLED, from_table, labelled, load, named
 
 # Changes: every customer in debt twice, with a later version in another
 # segment, and every supplier as a new customer.
@@ -67,11 +67,57 @@ def upsert_last_wins(spark, sf_dir):
 
 @named("upsert_sink", _SQL_UPSERTED)
 def upsert_sink(spark, sf_dir):
-    path = scratch_path(spark, "customers")
-    first = load(spark, sf_dir, "customer").withColumn("seq", F.lit(0))
-    upsert_table(spark, path, first, "c_custkey", "seq", buckets=8)
-    upsert_table(spark, path, _changes(spark, sf_dir), "c_custkey", "seq", buckets=8)
-    return read_table(spark, path).withColumn("c_acctbal", F.round("c_acctbal", 4))
+    def fill(name):
+        first = load(spark, sf_dir, "customer").withColumn("seq", F.lit(0))
+        upsert_table(spark, name, first, "c_custkey", "seq", parts=4, buckets=4)
+        upsert_table(spark, name, _changes(spark, sf_dir), "c_custkey", "seq", parts=4, buckets=4)
+
+    return from_table(spark, "customers", fill).withColumn("c_acctbal", F.round("c_acctbal", 4))
+
+
+# of the changes some come without a name, some with a balance that is no number
+_SQL_DOUBTFUL = f"""
+  SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_name END AS c_name, c_nationkey,
+         CASE WHEN c_custkey % 3 = 0 THEN 'n/a' ELSE c_acctbal::VARCHAR END AS c_acctbal, c_mktsegment, seq
+  FROM ({_SQL_CHANGES})
+"""
+
+
+@named(
+    "upsert_outcome",
+    f"""WITH d AS ({_SQL_DOUBTFUL}), good AS (SELECT * FROM d WHERE c_name IS NOT NULL AND c_acctbal <> 'n/a')
+        SELECT 'received' AS outcome, count(*) AS n FROM d
+        UNION ALL SELECT 'written', count(DISTINCT c_custkey) FROM good
+        UNION ALL SELECT 'replaced', count(DISTINCT c_custkey) FROM good WHERE c_custkey IN (SELECT c_custkey FROM customer)
+        UNION ALL SELECT 'added', count(DISTINCT c_custkey) FROM good WHERE c_custkey NOT IN (SELECT c_custkey FROM customer)
+        UNION ALL SELECT 'refused', count(*) FROM d WHERE c_name IS NULL OR c_acctbal = 'n/a'
+        UNION ALL SELECT CASE WHEN c_name IS NULL THEN 'missing: c_name' ELSE 'type: c_acctbal' END, count(*)
+                  FROM d WHERE c_name IS NULL OR c_acctbal = 'n/a' GROUP BY 1
+        UNION ALL SELECT 'rows in the table', (SELECT count(*) FROM customer) + (SELECT count(DISTINCT c_custkey) FROM good
+                  WHERE c_custkey NOT IN (SELECT c_custkey FROM customer))""",
+)
+def upsert_outcome(spark, sf_dir):
+    """What a load reports: rows received, written, replaced and refused, the latter with reasons."""
+    reports = []
+    customer = load(spark, sf_dir, "customer")
+    doubtful = _changes(spark, sf_dir).withColumns({
+        "c_name": F.when(F.col("c_custkey") % 5 != 0, F.col("c_name")),
+        "c_acctbal": F.when(F.col("c_custkey") % 3 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string")),
+    })
+
+    def fill(name):
+        upsert_table(spark, name, customer.withColumn("seq", F.lit(0)), "c_custkey", "seq", parts=4, buckets=4)
+        reports.append(upsert_table(
+            spark, name, doubtful, "c_custkey", "seq", parts=4, buckets=4, declared=customer.schema, required=["c_name"]
+        ))
+
+    stored = from_table(spark, "outcomes", fill)
+    report = reports[0]
+    counted = [("received", report.received), ("written", report.written), ("replaced", report.replaced), ("added", report.added),
+               ("refused", report.refused)]
+    reasons = report.failures.groupBy(F.col("error").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    rows = stored.agg(F.lit("rows in the table").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    return spark.createDataFrame(counted, "outcome string, n bigint").unionByName(reasons).unionByName(rows)
 
 
 @named(
@@ -81,14 +127,15 @@ def upsert_sink(spark, sf_dir):
 )
 def upsert_sink_evolving(spark, sf_dir):
     """A column that some rows bring is kept when the others are written again without it."""
-    path = scratch_path(spark, "suppliers")
     rows = load(spark, sf_dir, "supplier").withColumn("seq", F.lit(0))
-    upsert_table(spark, path, rows, "s_suppkey", "seq", buckets=8)
     later = rows.withColumn("s_name", F.concat(F.lit("second "), "s_name"))
     rated = later.where("s_suppkey % 3 = 0").withColumn("rating", F.col("s_suppkey") * 2)
-    upsert_table(spark, path, rated, "s_suppkey", "seq", buckets=8)
-    upsert_table(spark, path, later.where("s_suppkey % 3 <> 0"), "s_suppkey", "seq", buckets=8)
-    return read_table(spark, path)
+
+    def fill(name):
+        for new in (rows, rated, later.where("s_suppkey % 3 <> 0")):
+            upsert_table(spark, name, new, "s_suppkey", "seq", parts=4, buckets=2)
+
+    return from_table(spark, "suppliers", fill)
 
 
 @named(
@@ -221,10 +268,5 @@ def load_tally_(spark, sf_dir):
     f"SELECT doc_id, error FROM ({_SQL_CHECKED}) WHERE error IS NOT NULL ORDER BY doc_id LIMIT 3",
 )
 def first_failures_(spark, sf_dir):
-    checked = check_rows(_incoming(spark, sf_dir), _LABEL_FIELDS, ["quality", "toxic"])
-    return (
-        checked.where(F.col("error").isNotNull())
-        .select("doc_id", "error")
-        .orderBy("doc_id")
-        .limit(3)
-    )
+    refused = split_valid(_incoming(spark, sf_dir), _LABEL_FIELDS, ["quality", "toxic"])[1]
+    return first_failures(refused, "doc_id", 3)

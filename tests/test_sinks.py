@@ -1,4 +1,5 @@
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,9 +8,8 @@ from corpusmill.plans.flow import DocumentFlow
 from corpusmill.sinks.points import (
     collection_dim, ensure_collection, read_points, write_points,
 )
-from corpusmill.sinks.tables import (
-    drop_old_versions, publish, read_table, table_state, upsert, upsert_table,
-)
+from corpusmill.schemas import SchemaConflict, fields
+from corpusmill.sinks.tables import PART, kept_rows, read_table, upsert, upsert_table
 from corpusmill.sinks.text import write_clean_text
 from corpusmill.sources.files import scan_text_files
 
@@ -25,43 +25,67 @@ def test_upsert(spark):
     assert sorted(map(tuple, upsert(once, new, "id", "seq").collect())) == expected
 
 
-def mtimes(path):
-    return {
-        os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
-        for d, _, files in os.walk(path) for f in files if f.endswith(".parquet")
-    }
+@pytest.fixture
+def name(spark):
+    """The name of a table, which is dropped after the test."""
+    chosen = f"t_{uuid.uuid4().hex}"
+    yield chosen
+    spark.sql(f"DROP TABLE IF EXISTS {chosen}")
+
+
+def mtimes(spark, name):
+    return {f: os.stat(f.removeprefix("file:")).st_mtime_ns for f in spark.table(name).inputFiles()}
 
 
-def test_bucketed_upsert_rewrites_only_what_changed(spark, tmp_path):
-    path = str(tmp_path / "t")
-    first = spark.range(100).select(F.col("id"), F.lit("old").alias("v"), F.lit(0).alias("seq"))
-    upsert_table(spark, path, first, "id", "seq", buckets=8)
-    before = mtimes(path)
-    assert len({os.path.dirname(f) for f in before}) == 8
+def test_upsert_rewrites_only_the_parts_it_touches(spark, name):
+    first = spark.range(1000).select(F.col("id"), F.lit("old").alias("v"), F.lit(0).alias("seq"))
+    load = upsert_table(spark, name, first, "id", "seq", parts=8, buckets=4)
+    assert (load.received, load.written, load.replaced, load.added, load.refused) == (1000, 1000, 0, 1000, 0)
+    before = mtimes(spark, name)
     change = spark.createDataFrame(
         [(5, "new", 1.5, 1), (5, "newer", 2.5, 2)], "id long, v string, w double, seq int"
     )
     for _ in range(2):
-        upsert_table(spark, path, change, "id", "seq", buckets=8)
-    rows = {r.id: (r.v, r.w) for r in read_table(spark, path).collect()}
-    assert len(rows) == 100
+        load = upsert_table(spark, name, change, "id", "seq", parts=8, buckets=4)
+        assert (load.received, load.written, load.replaced, load.added) == (2, 1, 1, 0)
+    rows = {r.id: (r.v, r.w) for r in read_table(spark, name).collect()}
+    assert len(rows) == 1000
     assert rows.pop(5) == ("newer", 2.5)
     assert set(rows.values()) == {("old", None)}
-    after = mtimes(path)
-    # what a reader of the first version uses is untouched; each change wrote one bucket
-    assert {f: after[f] for f in before} == before
-    assert len({os.path.dirname(f) for f in after} - {os.path.dirname(f) for f in before}) == 2
-    drop_old_versions(spark, path)
-    left = mtimes(path)
-    assert read_table(spark, path).count() == 100
-    # the first folder still serves seven buckets, the second is gone
-    assert len({os.path.dirname(f) for f in left} - {os.path.dirname(f) for f in before}) == 1
+    after = mtimes(spark, name)
+    # seven of eight parts are as they were; the other has a file for each bucket, and one for the new row
+    assert sum(f in before and before[f] == t for f, t in after.items()) == 7 * 4
+    assert len(after) <= 7 * 4 + 4 + 1
     with pytest.raises(ValueError, match="buckets"):
-        upsert_table(spark, path, change, "id", "seq", buckets=4)
+        upsert_table(spark, name, change, "id", "seq", parts=8, buckets=2)
 
 
-def test_collection(spark, tmp_path):
-    path = str(tmp_path / "c")
+def test_old_rows_are_not_shuffled(spark, name):
+    first = spark.range(1000).select(F.col("id"), F.lit("old").alias("v"))
+    upsert_table(spark, name, first, "id", None, parts=4, buckets=4)
+    old = spark.table(name).where(F.col(PART).isin(1, 2))
+    plan = kept_rows(old, spark.range(50), "id", False)._jdf.queryExecution().executedPlan().toString()
+    left, right = plan.split("Exchange")[0], plan.split("Exchange")[1:]
+    assert "Bucketed: true" in left and "_part" in left and len(right) == 1
+
+
+def test_refused_rows(spark, name):
+    declared = fields(id="long", price="double", v="string")
+    new = spark.createDataFrame(
+        [("1", "2.5", "a", 1), ("2", "dear", "b", 1), ("x", "1", "c", 1), ("3", "1", "", 1), ("4", None, "d", 1), ("1", "3", "e", 0)],
+        "id string, price string, v string, seq int",
+    )
+    load = upsert_table(spark, name, new, "id", "seq", parts=2, buckets=2, declared=declared, required=["v"])
+    assert (load.received, load.written, load.replaced, load.refused) == (6, 2, 0, 3)
+    assert sorted(map(tuple, read_table(spark, name).collect())) == [(1, 2.5, "a"), (4, None, "d")]
+    failures = {(r.id, r.error) for r in load.failures.collect()}
+    assert failures == {("2", "type: price"), ("x", "type: id"), ("3", "missing: v")}
+    again = upsert_table(spark, name, new.limit(0), "id", "seq", parts=2, buckets=2, declared=declared, required=["v"])
+    assert (again.received, again.written, again.replaced) == (0, 0, 0)
+
+
+def test_collection(spark, name):
+    path = name
     assert collection_dim(spark, path) is None
     ensure_collection(spark, path, 2)
     ensure_collection(spark, path, 2)
@@ -87,17 +111,18 @@ def test_collection(spark, tmp_path):
     assert read_points(spark, path).count() == 8
 
 
-def test_writers_from_one_version(spark, tmp_path):
-    path = str(tmp_path / "t")
-    first = spark.range(5).select("id", F.lit("a").alias("v"), F.lit(0).alias("seq"))
-    upsert_table(spark, path, first, "id", "seq", buckets=2)
-    state = table_state(spark, path)
-    with pytest.raises(ValueError, match="another writer"):
-        publish(spark, path, state)
-    with pytest.raises(ValueError, match="v: int is not string"):
-        upsert_table(spark, path, first.withColumn("v", F.lit(1)), "id", "seq", buckets=2)
-    assert table_state(spark, path) == state
-    assert read_table(spark, path).count() == 5
+def test_types_stay(spark, name):
+    first = spark.range(5).select("id", F.lit("a").alias("v"), F.struct(F.lit("x").alias("x")).alias("s"))
+    upsert_table(spark, name, first, "id", None, parts=2, buckets=2)
+    with pytest.raises(SchemaConflict, match="v: int is not string"):
+        upsert_table(spark, name, first.withColumn("v", F.lit(1)), "id", None, parts=2, buckets=2)
+    assert read_table(spark, name).count() == 5
+    # structs may gain fields, and rows that lack these may come later
+    wider = first.where("id = 1").withColumn("s", F.struct(F.lit("z").alias("x"), F.lit(7).alias("y")))
+    upsert_table(spark, name, wider, "id", None, parts=2, buckets=2)
+    upsert_table(spark, name, first.where("id = 2"), "id", None, parts=2, buckets=2)
+    found = {r.id: (r.s.x, r.s.y) for r in read_table(spark, name).collect()}
+    assert found == {0: ("x", None), 1: ("z", 7), 2: ("x", None), 3: ("x", None), 4: ("x", None)}
 
 
 def test_text(spark, tmp_path):
@@ -124,7 +149,7 @@ def test_text(spark, tmp_path):
         write_clean_text(df, str(tmp_path / "zip"), layout="zip")
 
 
-def test_flow(spark, tmp_path):
+def test_flow(spark, name):
     html = "<h1>T</h1><p>one two</p><h2>U</h2><p>three ![i](data:image/png;base64,QQ==)</p>"
     docs = spark.createDataFrame(
         [(1, html, "a.html"), (2, "<p></p>", "b.html")], "doc_id int, content string, name string"
@@ -134,9 +159,10 @@ def test_flow(spark, tmp_path):
     assert [r.text for r in flow.chunks(docs).orderBy("chunk_no").collect()] == ["T\none two", "U\nthree"]
     plan = flow.points(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    path = str(tmp_path / "p")
-    flow.run(docs, path)
-    flow.run(docs.unionByName(spark.createDataFrame([(3, "<p>---</p>", "c.html")], docs.schema)), path)
+    path = name
+    assert flow.run(docs, path).added == 2
+    load = flow.run(docs.unionByName(spark.createDataFrame([(3, "<p>---</p>", "c.html")], docs.schema)), path)
+    assert (load.written, load.replaced) == (3, 2)
     rows = read_points(spark, path).orderBy("id").collect()
     assert (rows.pop().id, len(rows)) == ("doc-3-0", 2)
     assert [r.id for r in rows] == ["doc-1-0", "doc-1-1"]
@@ -166,10 +192,20 @@ def test_null_and_equal_versions(spark, tmp_path):
     assert len(picked) == 1
 
 
-def test_column_of_one_bucket_stays(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_table(spark, path, spark.createDataFrame([(i, "a", 1) for i in range(20)], "id int, v string, seq int"), "id", "seq", 2)
-    upsert_table(spark, path, spark.createDataFrame([(3, "b", "new", 2)], "id int, v string, w string, seq int"), "id", "seq", 2)
-    upsert_table(spark, path, spark.createDataFrame([(i, "c", 3) for i in range(20) if i != 3], "id int, v string, seq int"), "id", "seq", 2)
-    found = {r.id: (r.v, r.w) for r in read_table(spark, path).collect()}
+def test_null_keys_in_a_table(spark, name):
+    first = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b")], "id int, v string")
+    upsert_table(spark, name, first, "id", None, parts=2, buckets=2)
+    assert sorted(map(str, read_table(spark, name).collect())) == ["Row(id=1, v='a')", "Row(id=None, v='b')"]
+    load = upsert_table(spark, name, spark.createDataFrame([(None, "c"), (2, "d")], first.schema), "id", None, parts=2, buckets=2)
+    assert (load.written, load.replaced) == (2, 1)
+    assert {(r.id, r.v) for r in read_table(spark, name).collect()} == {(1, "a"), (None, "c"), (2, "d")}
+
+
+def test_column_of_one_part_stays(spark, name):
+    rows = [(i, "a", 1) for i in range(20)]
+    upsert_table(spark, name, spark.createDataFrame(rows, "id int, v string, seq int"), "id", "seq", parts=2, buckets=2)
+    upsert_table(spark, name, spark.createDataFrame([(3, "b", "new", 2)], "id int, v string, w string, seq int"), "id", "seq", parts=2, buckets=2)
+    rows = [(i, "c", 3) for i in range(20) if i != 3]
+    upsert_table(spark, name, spark.createDataFrame(rows, "id int, v string, seq int"), "id", "seq", parts=2, buckets=2)
+    found = {r.id: (r.v, r.w) for r in read_table(spark, name).collect()}
     assert found == {i: ("b", "new") if i == 3 else ("c", None) for i in range(20)}
