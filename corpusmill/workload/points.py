@@ -8,6 +8,7 @@ from corpusmill.functions.scalars import describe_vector
 from corpusmill.operators.collection import collection_stats, has_vector, knn
 from corpusmill.operators.embed import embed_with
 from corpusmill.operators.hybrid import hybrid_corpus, to_points
+from corpusmill.operators.inverted import build_lists, probes_for, recall, search_lists
 from corpusmill.plans.flow import DocumentFlow
 from corpusmill.sinks.points import unit_vector, write_points
 from corpusmill.sources.tables import scroll
@@ -149,6 +150,43 @@ def knn_top10(spark, sf_dir):
     ).withColumn("score", F.round("score", 6))
 
 
+_SQL_TWENTIETH = "SELECT vec_id AS query_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 20 = 0"
+
+
+def _list_search(spark, sf_dir):
+    """The points of the embeddings in lists, and a search for those whose id 20 divides."""
+    embeddings = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    queries = embeddings.where("id % 20 = 0").select(F.col("id").alias("query_id"), "vector")
+    index = build_lists(embeddings, 64)
+    probes = probes_for(index, queries, 10, dim=64)
+    return embeddings, queries, search_lists(index, queries, 10, probes=probes, dim=64)
+
+
+@named(
+    "knn_lists",
+    f"""WITH q AS ({_SQL_TWENTIETH}), r AS ({_SQL_RANKED})
+        SELECT query_id, id, score, (SELECT least(10, count(*)) FROM embeddings) AS n FROM r WHERE rank = 1""",
+)
+def knn_lists(spark, sf_dir):
+    """The nearest point by the list search, and how many points it found for each query."""
+    found = _list_search(spark, sf_dir)[2]
+    counted = found.groupBy("query_id").agg(
+        F.min_by(F.struct("id", "score"), "rank").alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    return counted.select("query_id", "first.id", F.round("first.score", 6).alias("score"), "n")
+
+
+@named(
+    "knn_lists_recall",
+    "SELECT count(*) AS queries, true AS nine_of_ten FROM embeddings WHERE vec_id % 20 = 0",
+)
+def knn_lists_recall(spark, sf_dir):
+    """Whether the list search finds nine tenths of the ten nearest points by brute force."""
+    embeddings, queries, found = _list_search(spark, sf_dir)
+    exact = knn(embeddings, queries, 10, dim=64)
+    return recall(found, exact).select("queries", (F.col("recall") >= 0.9).alias("nine_of_ten"))
+
+
 # ---------------------------------------------------------------------------
 # sinks and the document flow
 
