@@ -32,15 +32,15 @@ URL_RULES = (
     url_filter.Rule("example.com", "/de/", "block"),
     url_filter.Rule("org", "/fr/", "allow"),
 )
-# words whose presence in the first label of a domain puts the domain on the block list
-BAD_WORDS = "spam|pills|casino|viagra|porn|malware|phish|warez"
+# a page of fewer characters is thin; a domain of which more than a third of the pages are thin is on the block list
+THIN = 1800
 
 _SQL_PARSED = """
   SELECT page_id, CASE WHEN cut = 0 THEN '' ELSE translate(part[1], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
            'abcdefghijklmnopqrstuvwxyz') END AS host,
-         CASE WHEN cut = 0 THEN '' ELSE split_part(split_part(substr(rest, strlen_host + 1), '?', 1), '#', 1) END AS path
+         CASE WHEN cut = 0 THEN '' ELSE split_part(split_part(substr(rest, strlen_host + 1), '?', 1), '#', 1) END AS path, thin
   FROM (SELECT *, [regexp_extract(rest, '^[^/?#]*')] AS part, length(regexp_extract(rest, '^[^/?#]*')) AS strlen_host
-        FROM (SELECT page_id, coalesce(instr(url, '://'), 0) AS cut,
+        FROM (SELECT page_id, coalesce(length(html), 0) < 1800 AS thin, coalesce(instr(url, '://'), 0) AS cut,
                      substr(url, instr(url, '://') + 3) AS rest FROM pages))
 """
 
@@ -56,16 +56,19 @@ _SQL_PARSED = """
            max_by(r_verdict, length(r_host || r_path)) AS ruled
     FROM parsed LEFT JOIN rules ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
     GROUP BY page_id, host, path),
-  judged AS (SELECT *, len(list_filter(string_split(host, '.')[:-2] || CASE WHEN contains(host, '.') THEN [] ELSE [host] END,
-      lambda x: regexp_matches(x, '{BAD_WORDS}'))) > 0 AS is_listed FROM fitted)
+  hosts AS (SELECT host, count(*) AS n, count(*) FILTER (thin) AS t FROM parsed GROUP BY host),
+  domains AS (SELECT host, n, t, unnest(list_distinct([host] || list_transform(range(2, len(string_split(host, '.')) + 1),
+      lambda x: array_to_string(string_split(host, '.')[-x:], '.')))) AS key FROM hosts),
+  listed AS (SELECT key FROM domains WHERE key <> '' GROUP BY key HAVING 3 * sum(t) > sum(n)),
+  judged AS (SELECT *, host IN (SELECT host FROM domains WHERE key IN (SELECT key FROM listed)) AS is_listed FROM fitted)
   SELECT page_id, host, path, rule,
          coalesce(ruled, CASE WHEN is_listed THEN 'block' ELSE 'allow' END) AS verdict, is_listed
   FROM judged
 """,
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = F.split("key", r"\.")[0].rlike(BAD_WORDS)
-    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, listed)
+    thin = F.coalesce(F.length("html"), F.lit(0)) < THIN
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES, 3 * F.col("failing") > F.col("rows"), failing=thin)
 
 
 @query("op2_suffix_dedup")

@@ -146,21 +146,32 @@ def cascade(keys: DataFrame, n_listed: int, n_others: int) -> Cascade:
     return Cascade(tuple(levels))
 
 
-def listed_hosts(hosts: DataFrame, listed: Column, max_words: int = 8 << 20) -> DataFrame:
+def domain_keys(hosts: DataFrame, listed: Column, failing: Column | None = None) -> DataFrame:
+    """``(key, listed)`` for every domain of ``hosts (host, …)``: each host, and its parents of two labels and more.
+
+    ``listed`` judges ``key``, the number of its ``rows`` (subdomains included) and how many of these are ``failing``.
+    Rows are counted by host before they are counted by domain. The empty host is never listed.
+    """
+    counted = hosts.groupBy("host").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(F.lit(False) if failing is None else failing, F.lit(False))).alias("failing")
+    )
+    return (
+        counted.select(F.explode(F.array_distinct(domains_of(F.col("host")))).alias("key"), "rows", "failing")
+        .groupBy("key").agg(F.sum("rows").alias("rows"), F.sum("failing").alias("failing"))
+        .select("key", F.coalesce(listed & (F.col("key") != ""), F.lit(False)).alias("listed"))
+    )
+
+
+def listed_hosts(hosts: DataFrame, listed: Column, max_words: int = 8 << 20, failing: Column | None = None) -> DataFrame:
     """Adds ``is_listed`` to ``hosts (host, …)``: whether the host or a parent domain is listed.
 
-    Parents of two labels and more count. ``listed`` judges the column ``key``. The universe is every
+    :func:`domain_keys` says what is listed. The universe is every
     domain of the table, found in one shuffle that combines equal hosts first; it also tells how many
     labels the deepest host has, and rows test that many parents, ``STEP`` in a pass. A cascade
     beyond ``max_words`` 64-bit words is built in shards by the hash of the key; the rows then pass one
     shard after the other, so that no executor holds more than one.
     """
-    keys = (
-        hosts.select("host").distinct()
-        .select(F.explode(domains_of(F.col("host"))).alias("key")).distinct()
-        .select("key", F.coalesce(listed, F.lit(False)).alias("listed"))
-    )
-    keys = staged(keys, "url_keys")
+    keys = staged(domain_keys(hosts, listed, failing), "url_keys")
     sizes = keys.agg(
         F.count_if("listed").alias("l"), F.count_if(~F.col("listed")).alias("o"), F.max(labels_of(F.col("key"))).alias("depth")
     ).first()
@@ -188,16 +199,18 @@ def listed_hosts(hosts: DataFrame, listed: Column, max_words: int = 8 << 20) ->
 
 
 def judge_urls(pages: DataFrame, rules: Iterable[Rule], listed: Column, id_col: str = "page_id", url_col: str = "url",
-               max_words: int = 8 << 20) -> DataFrame:
-    """Id, host, path, rule, verdict and ``listed`` of every row.
+               max_words: int = 8 << 20, failing: Column | None = None) -> DataFrame:
+    """Id, host, path, rule, verdict and ``is_listed`` of every row.
 
     The longest rule that fits decides; else the url is blocked if its host, or a parent domain, is
-    listed. A null url, or one without ``://``, has an empty host and path, fits no rule and is
+    listed, as ``listed`` says of a domain and of its pages for which ``failing`` holds (:func:`domain_keys`). A null
+    url, or one without ``://``, has an empty host and path, fits no rule and is
     allowed. Repeated rows are judged each on its own; other columns are left out, so none can clash.
     """
     url = F.col(url_col)
-    parsed = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    judged = listed_hosts(parsed, listed, max_words)
+    fails = F.lit(False) if failing is None else failing
+    parsed = pages.select(F.col(id_col), host_of(url).alias("host"), path_of(url).alias("path"), fails.alias("_failing"))
+    judged = listed_hosts(parsed, listed, max_words, F.col("_failing"))
     rule, verdict = rule_for(rules, F.col("host"), F.col("path"))
     own = F.when(F.col("is_listed"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select(id_col, "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "is_listed")

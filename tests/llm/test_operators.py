@@ -94,6 +94,29 @@ def test_url_filter(spark):
     assert url_filter.judge_urls(pages.limit(0), rules, listed).count() == 0
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_listed_domains_come_from_the_pages(spark, sf):
+    """Domains of which over a third of the pages are thin, subdomains included; the cascade has levels at every size."""
+    from corpusmill.llm.queries import THIN
+
+    pages = table(spark, f"/root/testdata/{sf}", "pages")
+    total, thin = Counter(), Counter()
+    for r in pages.select("url", "html").collect():
+        host = re.match(r"[^/?#]*", r["url"].split("://", 1)[1]).group().lower()
+        labels = host.split(".")
+        for key in {host, *(".".join(labels[-n:]) for n in range(2, len(labels) + 1))}:
+            total[key] += 1
+            thin[key] += len(r["html"]) < THIN
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host"), (F.length("html") < THIN).alias("thin"))
+    rule = 3 * F.col("failing") > F.col("rows")
+    keys = url_filter.domain_keys(hosts, rule, F.col("thin"))
+    want = {k: 3 * thin[k] > n for k, n in total.items()}
+    assert {r["key"]: r["listed"] for r in keys.collect()} == want and any(want.values())
+    found = url_filter.cascade(keys, sum(want.values()), len(want) - sum(want.values()))
+    assert len(found.levels) >= 2
+    assert {r["key"]: r["l"] for r in keys.select("key", found.lists(F.col("key")).alias("l")).collect()} == want
+
+
 def brute_removed(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(t[i : i + length] for t in data for i in range(len(t) - length + 1))
