@@ -14,6 +14,8 @@ buckets, so a pair occurs once in a block and no task meets more than one bucket
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bpe import ByteBpe, _Coder
+from corpusmill.llm.bpe import byte_alphabet
 from corpusmill.llm.common import blocks, spare_collector, staged
 from corpusmill.llm.ragged import Table, at_rows, distinct
 
@@ -35,46 +37,38 @@ _CUT = "\x00"
 _SPACE = "▁"
 _CACHE = 32 << 20  # bytes of known stretches that a task remembers
 _ENTRY = 220
+_TOGETHER = 20_000  # stretches given to the library as one text
 
 
-class PlainBpe(ByteBpe):
-    """A byte-level vocabulary for which the strings of special tokens are plain text."""
+class Stretches:
+    """Ids of blocks of texts by way of their different stretches.
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.special, self._marks = {}, None
-
-
-class PieceIds:
-    """Ids of blocks of texts by a sentence-piece model, which puts a space before each.
-
-    Where no piece reaches from another character to a space, texts are cut ahead of their spaces, and only the
-    different stretches are encoded; those with two spaces together or a literal space symbol are taken whole.
+    Texts are cut where no token can cross, and only stretches not met before are encoded. Some texts are taken whole.
     """
 
-    def __init__(self, path: str):
-        import sentencepiece
-
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.model.get_piece_size()
-        pieces = [self.model.id_to_piece(i) for i in range(n)]
-        self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
-        raw = [
-            b"" if self.model.is_control(i) else bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(_SPACE, " ").encode()
-            for i, p in enumerate(pieces)
-        ]
-        self.pieces = Table(raw, "u1")
+    def __init__(self, pieces: Table):
+        self.pieces = pieces  # bytes of each id
         self.known: dict[str, bytes] = {}
         self.held = 0
 
+    def is_whole(self, text: str) -> bool:
+        raise NotImplementedError
+
+    def marked(self, texts: pa.Array) -> pa.Array:
+        """The texts with a mark at each cut."""
+        raise NotImplementedError
+
+    def encode(self, stretches: list[str]) -> Iterator[bytes]:
+        """The ids of each, as 32-bit integers end to end."""
+        raise NotImplementedError
+
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the offsets of the texts in them."""
-        whole = [i for i, t in enumerate(texts) if not self.cuts or "  " in t or t[:1] == " " or t[-1:] == " " or _CUT in t or _SPACE in t]
+        whole = [i for i, t in enumerate(texts) if _CUT in t or self.is_whole(t)]
         column = list(texts)
         for i in whole:
             column[i] = ""
-        cut = pc.split_pattern(pc.replace_substring(pa.array(column, pa.string()), " ", _CUT), _CUT)
-        found, index, offsets = distinct(cut)
+        found, index, offsets = distinct(pc.split_pattern(self.marked(pa.array(column, pa.string())), _CUT))
         index = index.copy()
         index[offsets[whole]] = len(found) + np.arange(len(whole))
         found += [texts[i] for i in whole]
@@ -82,13 +76,86 @@ class PieceIds:
             self.known.clear()
             self.held = 0
         fresh = [x for x in dict.fromkeys(found) if x not in self.known]
-        for x, ids in zip(fresh, self.model.encode(fresh, num_threads=1)):
-            self.known[x] = data = np.array(ids, "<u4").tobytes()
+        for x, data in zip(fresh, self.encode(fresh)):
+            self.known[x] = data
             self.held += _ENTRY + len(x) + len(data)
         flat, ends = Table([self.known[x] for x in found], "<u4").take(index)
         return flat, at_rows(ends, offsets)
 
 
+class ByteIds(Stretches):
+    """By a byte-level vocabulary, for which the strings of special tokens are plain text.
+
+    Texts are cut ahead of spaces, but not those with a space inside of white space.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_padding()
+        self.library.no_truncation()
+        self.library.encode_special_tokens = True
+        alphabet = byte_alphabet()
+        names = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
+        super().__init__(Table([bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in names], "u1"))
+        self.is_whole = re.compile(r"  |[^\S ] [^\S ]").search
+
+    def marked(self, texts: pa.Array) -> pa.Array:
+        return pc.replace_substring(texts, " ", _CUT + " ")
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def encode(self, stretches: list[str]) -> Iterator[bytes]:
+        """What begins with a space and a character, and ends in one, stands next to others as alone, so many are one text."""
+        for at in range(0, len(stretches), _TOGETHER):
+            some = stretches[at : at + _TOGETHER]
+            plain = [x[:1] == " " and not x[1:2].isspace() and not x[-1].isspace() for x in some]
+            joined = [x for x, p in zip(some, plain) if p]
+            ids = self._encoded("".join(joined))
+            # no token crosses from one to the next, so bytes tell where each ends
+            ends = np.cumsum([len(x.encode()) for x in joined])
+            cuts = iter((4 * np.searchsorted(np.cumsum(self.pieces.sizes[ids]), ends, "right")).tolist())
+            data, begin = ids.tobytes(), 0
+            for x, p in zip(some, plain):
+                if p:
+                    end = next(cuts)
+                    yield data[begin:end]
+                    begin = end
+                else:
+                    yield self._encoded(x).tobytes()
+
+
+class PieceIds(Stretches):
+    """By a sentence-piece model, which puts a space before each text.
+
+    Where no piece reaches from another character to a space, texts are cut at their spaces; not those with two
+    spaces together or at an end, or a literal space symbol.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in names)
+        super().__init__(Table([
+            b"" if self.model.is_control(i) else bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(_SPACE, " ").encode()
+            for i, p in enumerate(names)
+        ], "u1"))
+
+    def is_whole(self, text: str) -> bool:
+        return not self.cuts or "  " in text or text[:1] == " " or text[-1:] == " " or _SPACE in text
+
+    def marked(self, texts: pa.Array) -> pa.Array:
+        return pc.replace_substring(texts, " ", _CUT)
+
+    def encode(self, stretches: list[str]) -> Iterator[bytes]:
+        for ids in self.model.encode(stretches, num_threads=1):
+            yield array("I", ids).tobytes()
+
+
 @dataclass
 class Aligned:
     """Tokens and links of a block of texts, end to end; offsets say where each text begins and ends in them."""
@@ -109,18 +176,17 @@ class Aligner:
     """Encodes blocks of texts with both vocabularies and links their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.coder = _Coder(path_a, PlainBpe(path_a))
-        self.models = PieceIds(path_b)
-        self.base = len(self.models.pieces.sizes)
-        self.numbers = Table([f"{i},".encode() for i in range(max(self.base, len(self.coder.pieces.sizes)))], "u1")
+        self.first, self.second = ByteIds(path_a), PieceIds(path_b)
+        self.base = len(self.second.pieces.sizes)
+        self.numbers = Table([f"{i},".encode() for i in range(max(self.base, len(self.first.pieces.sizes)))], "u1")
 
     def align(self, texts: list[str]) -> Aligned:
         spaced = [" " + t if t else "" for t in texts]
-        a, a_at = self.coder.ids(spaced)
-        b, b_at = self.models.ids(texts)
+        a, a_at = self.first.ids(spaced)
+        b, b_at = self.second.ids(texts)
         b, b_at = _without(b, b_at, np.array([not t for t in texts], bool))
         sides = []
-        for ids, at, table in ((a, a_at, self.coder.pieces), (b, b_at, self.models.pieces)):
+        for ids, at, table in ((a, a_at, self.first.pieces), (b, b_at, self.second.pieces)):
             data, ends = table.take(ids)
             sides.append((data.tobytes(), at_rows(ends, at).tolist()))
         want = [t.encode("utf-8", "replace") for t in spaced]
@@ -129,7 +195,7 @@ class Aligner:
         ], bool)
         a, a_at = _without(a, a_at, differs)
         b, b_at = _without(b, b_at, differs)
-        a_ends, b_ends = np.cumsum(self.coder.pieces.sizes[a]), np.cumsum(self.models.pieces.sizes[b])
+        a_ends, b_ends = np.cumsum(self.first.pieces.sizes[a]), np.cumsum(self.second.pieces.sizes[b])
         n_bytes = int(a_ends[-1]) if len(a_ends) else 0
         ends = np.zeros(n_bytes + 1, np.int8)
         ends[a_ends] = 1

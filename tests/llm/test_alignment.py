@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 
 from corpusmill.llm import alignment
+from corpusmill.llm.bpe import byte_alphabet
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 draw = random.Random(9)
@@ -20,7 +21,7 @@ def prose(n):
 
 
 TEXTS = [None, "", " ", "  a", "a ", "a  b", "\n\n", "a", "the the the the", "▁", "a▁b", "nul \x00 x", "😀 J̌ ﬁ", "é" * 300, "x" * 900, prose(2000),
-         "<|endoftext|>", " <s>", "tab\tend\t", "\r\n", *[prose(draw.randint(1, 60)) for _ in range(40)]]
+         "<|endoftext|>", " <s>", "tab\tend\t", "\r\n", "a \xa0 \xa0b \n \nc\n \td\n", "x \n", "\x1c y \x85 z\u3000 w", *[prose(draw.randint(1, 60)) for _ in range(40)]]
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -36,7 +37,7 @@ def libraries():
 
     a, b = Tokenizer.from_file(A), SentencePieceProcessor(model_file=B)
     a.encode_special_tokens = True
-    stand_ins = {c: n for c, n in alignment.ByteBpe.__init__.__globals__["byte_alphabet"]().items()}
+    stand_ins = byte_alphabet()
 
     def tokens(text):
         """(id, begin, end) of both sides; none where the bytes differ."""
