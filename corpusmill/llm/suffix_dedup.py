@@ -29,8 +29,8 @@ from corpusmill.llm.common import semi_join, staged
 LENGTH = 400
 GRAM = 64
 GROUP = 2048  # different runs of one bucket that a task takes at once
-_BLOCK = 1 << 22  # bytes hashed together; places in a block take 22 bits
-_BATCH = 1 << 21  # bytes refined together
+_BLOCK = 1 << 20  # bytes hashed together; places in a block take 20 bits
+_BATCH = 1 << 20  # bytes refined together
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MIX = 0xD6E8FEB86659FD93
 
@@ -174,6 +174,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
                      pa.array(np.array(ctx, np.uint64).view(np.int64))],
                     names=["doc_id", "h", "s", "n", "x", "key", "ctx"],
                 )
+            pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "h", "text").mapInArrow(
         run, f"doc_id {kind}, h bigint, s bigint, n int, x int, key bigint, ctx bigint"
@@ -257,6 +258,7 @@ def _refined(contexts: DataFrame, length: int) -> DataFrame:
                 if size >= _BATCH and row[5:7] != last:
                     yield _resolve(held, length, id_type)
                     held, size = [], 0
+                    pa.default_memory_pool().release_unused()
                 held.append(row)
                 size += len(row[8])
                 last = row[5:7]
