@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.predicates import all_of, any_of, contains_any, exists_in
 
@@ -59,42 +61,94 @@ def _step(interval: str) -> str:
     return "INTERVAL 3 MONTH" if interval == "quarter" else f"INTERVAL 1 {interval.upper()}"
 
 
-def fill_gaps(buckets: DataFrame, interval: str, carry: Sequence[str] = ()) -> DataFrame:
+def _with_next(buckets: DataFrame) -> DataFrame:
+    """Adds ``_next``, the key of the following bucket; NULL for the last; and ``_year``.
+
+    Buckets are compared inside their year, so a task gets 527,040 of them at most. Then only the first and the last of
+    each year meet: as many rows as the calendar has years, twice.
+    """
+    inside = Window.partitionBy("_year").orderBy("key")
+    dated = buckets.withColumn("_year", F.year("key")).withColumns(
+        {"_within": F.lead("key").over(inside), "_before": F.lag("key").over(inside)}
+    )
+    ends = F.when(F.col("_within").isNull() | F.col("_before").isNull(), F.lit(0)).otherwise(F.col("_year"))
+    across = F.lead("key").over(Window.partitionBy(ends).orderBy("key"))
+    return dated.withColumn("_next", F.coalesce("_within", across)).drop("_within", "_before")
+
+
+def _first_in_year(year: Column, interval: str) -> Column:
+    """The first bucket that begins in a year."""
+    new_year = F.make_date(year, F.lit(1), F.lit(1))
+    if interval != "week":
+        return new_year.cast("timestamp_ntz")
+    monday = F.trunc(new_year, "week")
+    return F.when(monday < new_year, F.date_add(monday, 7)).otherwise(monday).cast("timestamp_ntz")
+
+
+# average lengths, to tell how many buckets a gap has before it is filled
+_SECONDS = {"year": 31_556_952, "quarter": 7_889_238, "month": 2_629_746, "week": 604_800, "day": 86_400, "hour": 3600, "minute": 60}
+
+
+def _gap(interval: str) -> Column:
+    """About how many empty buckets lie between a bucket and the next."""
+    apart = F.unix_seconds(F.col("_next").cast("timestamp")) - F.unix_seconds(F.col("key").cast("timestamp"))
+    return F.greatest(F.round(F.coalesce(apart, F.lit(0)) / _SECONDS[interval]).cast("bigint") - 1, F.lit(0))
+
+
+def fill_gaps(buckets: DataFrame, interval: str, carry: Sequence[str] = (), max_gap: int | None = None) -> DataFrame:
     """Adds the empty buckets between the first and the last (columns key, doc_count).
 
     Every bucket yields the empty ones up to its successor, which also take its
-    ``carry`` columns. This runs on the aggregated buckets, whose number the
-    calendar bounds, so the data itself is scanned once and joined with nothing.
+    ``carry`` columns. This runs on the aggregated buckets, so the data itself is scanned once. A gap is
+    filled year by year, in rows of their own, so no array is longer than a year of buckets. A gap of more than
+    ``max_gap`` empty buckets, as one stray time makes it, fails the job and names the times around it.
     """
-    following = F.lead("key").over(Window.partitionBy(F.lit(0)).orderBy("key"))
     step = F.expr(_step(interval))
-    return (
-        buckets.withColumn("_until", F.coalesce(following - step, F.col("key")))
-        .select(
-            *carry,
-            "doc_count",
-            F.col("key").alias("_first"),
-            F.explode(F.sequence("key", "_until", step)).alias("key"),
-        )
-        .select(
-            *carry,
-            "key",
-            F.when(F.col("key") == F.col("_first"), F.col("doc_count"))
-            .otherwise(F.lit(0))
-            .cast("bigint")
-            .alias("doc_count"),
+    chained = _with_next(buckets)
+    if max_gap is not None:
+        text = F.concat(
+            F.lit(f"more than {max_gap} empty buckets between "), F.col("key").cast("string"), F.lit(" and "), F.col("_next").cast("string")
         )
+        chained = chained.withColumn("_next", F.when(_gap(interval) > max_gap, F.raise_error(text).cast("timestamp_ntz")).otherwise(F.col("_next")))
+    last = F.coalesce(F.col("_next") - step, F.col("key"))
+    spans = chained.withColumn("_last", last).select(
+        *carry, "doc_count", F.col("key").alias("_first"), "_last", "_year",
+        F.explode(F.sequence(F.col("_year"), F.greatest(F.year("_last"), F.col("_year")))).alias("_in"),
+    )
+    begin = F.when(F.col("_in") == F.col("_year"), F.col("_first")).otherwise(_first_in_year(F.col("_in"), interval))
+    end = F.least(F.col("_last"), _first_in_year(F.col("_in") + 1, interval) - step)
+    # a year may end between two buckets of a week
+    return spans.withColumn("_begin", begin).withColumn("_end", F.greatest(end, F.when(F.col("_in") == F.col("_year"), F.col("_first")))).where(
+        F.col("_begin") <= F.col("_end")
+    ).select(
+        *carry, "doc_count", "_first", F.explode(F.sequence("_begin", "_end", step)).alias("key")
+    ).select(
+        *carry,
+        "key",
+        F.when(F.col("key") == F.col("_first"), F.col("doc_count")).otherwise(F.lit(0)).cast("bigint").alias("doc_count"),
     )
 
 
-def date_histogram(df: DataFrame, ts: str, interval: str = "year") -> DataFrame:
-    """Rows per calendar bucket from the first to the last, empty ones included."""
-    counted = (
+def _buckets(df: DataFrame, ts: str, interval: str) -> DataFrame:
+    return (
         df.where(F.col(ts).isNotNull())
         .groupBy(bucket_start(ts, interval).alias("key"))
         .agg(F.count("*").alias("doc_count"))
     )
-    return fill_gaps(counted, interval).orderBy("key")
+
+
+def date_histogram(df: DataFrame, ts: str, interval: str = "year", max_gap: int | None = None) -> DataFrame:
+    """Rows per calendar bucket from the first to the last, empty ones included; see :func:`fill_gaps` for ``max_gap``."""
+    return fill_gaps(_buckets(df, ts, interval), interval, max_gap=max_gap).orderBy("key")
+
+
+def wide_gaps(df: DataFrame, ts: str, interval: str, least: int) -> DataFrame:
+    """Gaps of more than ``least`` empty buckets: the buckets around each, their rows and about how many are empty.
+
+    To be looked at before a histogram of stray times is filled.
+    """
+    chained = _with_next(_buckets(df, ts, interval)).withColumn("empty", _gap(interval)).where(F.col("empty") > least)
+    return chained.select("key", F.col("_next").alias("next"), "doc_count", "empty").orderBy("key")
 
 
 def profile(
@@ -160,7 +214,7 @@ def profile(
         )
     if histogram:
         buckets = grouped.where(F.col("kind") == histogram_kind).withColumn(
-            "key", F.col("key").cast("timestamp_ntz")
+            "key", F.col("key").try_cast("timestamp_ntz")
         )
         parts.append(
             fill_gaps(buckets, histogram[1], ["agg", "min", "max", "avg", "sum"])
@@ -248,6 +302,59 @@ def table_stats(df: DataFrame, *, files: bool = True) -> DataFrame:
     return rows.select("n_rows", *(listed.select(c).scalar().alias(c) for c in listed.columns), columns)
 
 
+def table_segments(df: DataFrame) -> DataFrame:
+    """One row per row group of a parquet source: path, row_group, n_rows, n_bytes, raw_bytes, n_columns, codec, created_by.
+
+    Footers are read in tasks, files dealt over them; no page of data is. Works for folders that pyarrow can open
+    by their address.
+    """
+
+    def footers(batches):
+        for batch in batches:
+            yield pd.concat([_row_groups(path) for path in batch["path"]], ignore_index=True)
+
+    return _files(df).mapInPandas(
+        footers, "path string, row_group int, n_rows bigint, n_bytes bigint, raw_bytes bigint, n_columns int, codec string, created_by string"
+    )
+
+
+def _files(df: DataFrame) -> DataFrame:
+    """The addresses of the files of a frame, as the scan writes them, some to a task."""
+    spark, paths = df.sparkSession, sorted(df.inputFiles())
+    rows = spark.createDataFrame([(p,) for p in paths], "path string")
+    return rows.repartition(max(1, min(len(paths), spark.sparkContext.defaultParallelism * 4)), "path")
+
+
+def _row_groups(path: str):
+    import pyarrow.fs
+    import pyarrow.parquet
+
+    fs, name = pyarrow.fs.FileSystem.from_uri(path)
+    with fs.open_input_file(name) as file:
+        footer = pyarrow.parquet.ParquetFile(file).metadata
+    rows = []
+    for g in range(footer.num_row_groups):
+        group = footer.row_group(g)
+        columns = [group.column(i) for i in range(group.num_columns)]
+        rows.append((
+            unquote(path), g, group.num_rows, sum(c.total_compressed_size for c in columns), sum(c.total_uncompressed_size for c in columns),
+            group.num_columns, ",".join(sorted({c.compression for c in columns})), footer.created_by,
+        ))
+    return pd.DataFrame(rows, columns=["path", "row_group", "n_rows", "n_bytes", "raw_bytes", "n_columns", "codec", "created_by"])
+
+
+def table_mapping(df: DataFrame) -> DataFrame:
+    """One row per column, nested fields included: column (with dots), type, nullable."""
+
+    def walk(kind, prefix: str):
+        for f in kind.fields:
+            yield f"{prefix}{f.name}", f.dataType.simpleString(), f.nullable
+            if isinstance(f.dataType, T.StructType):
+                yield from walk(f.dataType, f"{prefix}{f.name}.")
+
+    return df.sparkSession.createDataFrame(list(walk(df.schema, "")), "column string, type string, nullable boolean")
+
+
 def run_summary(stages: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row per stage: rows, and how many of them carry a value in the named column."""
     rows = [

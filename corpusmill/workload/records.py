@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.predicates import (
@@ -13,7 +16,7 @@ from corpusmill.functions.scalars import (
 )
 from corpusmill.operators.aggregates import (
     count_queries, date_histogram, entity_readiness, estimate_entities, latest, profile, stats,
-    table_stats, terms,
+    table_mapping, table_segments, table_stats, terms, wide_gaps,
 )
 from corpusmill.plans.reports import RecordReport
 from corpusmill.sources.files import scan_documents, url_manifest, validate_manifest
@@ -441,6 +444,56 @@ def table_stats_(spark, sf_dir):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+# types of Spark by those of the SQL engine
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>"}
+
+
+@named(
+    "table_mapping",
+    "SELECT table_name AS name, column_name AS \"column\", CASE data_type "
+    + " ".join(f"WHEN '{sql}' THEN '{own}'" for sql, own in _TYPES.items())
+    + """ END AS type FROM information_schema.columns
+         WHERE table_name IN ('documents', 'events', 'orders', 'embeddings', 'customer')""",
+)
+def table_mapping_(spark, sf_dir):
+    found = [
+        table_mapping(load(spark, sf_dir, t)).select(F.lit(t).alias("name"), "column", "type")
+        for t in ("documents", "events", "orders", "embeddings", "customer")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@named(
+    "table_segments",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS name, count(*)::BIGINT AS n_rows, {n}::BIGINT AS n_columns, true AS filled FROM {t}"
+        for t, n in (("documents", 5), ("lineitem", 11), ("orders", 6), ("embeddings", 3))
+    ),
+)
+def table_segments_(spark, sf_dir):
+    """The row groups of some tables by their footers: they hold all rows, none is empty, each has every column and bytes."""
+    found = []
+    for t in ("documents", "lineitem", "orders", "embeddings"):
+        df = load(spark, sf_dir, t)
+        found.append(table_segments(df).agg(
+            F.lit(t).alias("name"), F.sum("n_rows").alias("n_rows"), F.max("n_columns").cast("bigint").alias("n_columns"),
+            F.every((F.col("n_rows") > 0) & (F.col("n_bytes") > 0) & (F.col("n_columns") == len(df.columns))).alias("filled"),
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
+@named(
+    "wide_gaps",
+    """WITH b AS (SELECT date_trunc('month', o_orderdate) AS key, count(*) AS doc_count FROM orders WHERE o_totalprice > 499000 GROUP BY 1),
+       n AS (SELECT key, lead(key) OVER (ORDER BY key) AS next, doc_count FROM b)
+       SELECT key::TIMESTAMP AS key, next::TIMESTAMP AS next, doc_count, (date_diff('month', key, next) - 1)::BIGINT AS empty
+       FROM n WHERE date_diff('month', key, next) - 1 > 1""",
+)
+def wide_gaps_(spark, sf_dir):
+    dear = load(spark, sf_dir, "orders").where(F.col("o_totalprice") > 499000)
+    return wide_gaps(dear, "o_orderdate", "month", 1)
+
+
 @named("table_bytes")
 def table_bytes(spark, sf_dir):
     return table_stats(load(spark, sf_dir, "lineitem")).withColumn("mb", megabytes("n_bytes"))

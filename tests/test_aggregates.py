@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators.aggregates import (
     bucket_start, count_queries, date_histogram, estimate_entities, latest, profile, stats,
-    table_stats, terms,
+    table_mapping, table_segments, table_stats, terms, wide_gaps,
 )
 
 
@@ -116,3 +116,42 @@ def test_table_stats(spark, tmp_path):
     size = sum(p.stat().st_size for p in (tmp_path / "a folder").glob("part-*.parquet"))
     assert (found.n_rows, found.n_files, found.n_bytes) == (100, 3, size)
     assert table_stats(spark.range(3), files=False).first().n_rows == 3
+
+
+@pytest.mark.parametrize("interval", ["year", "quarter", "month", "week", "day", "hour"])
+def test_gaps_over_years(spark, interval):
+    """Gaps that cross several years, against all buckets counted one by one."""
+    times = ["1999-12-31 23:10:00", "2000-01-01 00:00:00", "2000-01-02 11:00:00", "2003-02-28 05:00:00", "2003-03-01 00:00:00", "2005-01-02 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp_ntz").alias("ts"))
+    found = [(r.key, r.doc_count) for r in date_histogram(df, "ts", interval).collect()]
+    starts = [r[0] for r in df.select(bucket_start("ts", interval)).collect()]
+    step = {"year": "1 YEAR", "quarter": "3 MONTH", "month": "1 MONTH", "week": "7 DAY", "day": "1 DAY", "hour": "1 HOUR"}[interval]
+    every = [r[0] for r in spark.sql(
+        f"SELECT explode(sequence(timestamp_ntz'{min(starts)}', timestamp_ntz'{max(starts)}', INTERVAL {step}))").collect()]
+    assert found == [(k, starts.count(k)) for k in every]
+
+
+def test_stray_times(spark):
+    """One wrong year makes a gap of billions of minutes: it is reported, and refused where a bound is set."""
+    df = spark.sql(
+        "SELECT timestamp_ntz'0001-01-01 00:00:00' AS ts UNION ALL SELECT timestamp_ntz'2020-05-05 10:00:30' "
+        "UNION ALL SELECT timestamp_ntz'2020-05-05 10:02:00' UNION ALL SELECT timestamp_ntz'9999-12-31 23:59:59'")
+    gaps = wide_gaps(df, "ts", "minute", 1000).collect()
+    assert [(r.key.year, r.next.year) for r in gaps] == [(1, 2020), (2020, 9999)] and all(r.empty > 10**9 for r in gaps)
+    with pytest.raises(Exception, match="more than 100000 empty buckets between"):
+        date_histogram(df, "ts", "minute", max_gap=100_000).count()
+    assert date_histogram(df.where("year(ts) = 2020"), "ts", "minute", max_gap=1).count() == 3
+    # without a bound nothing is built that is longer than a year of buckets
+    assert date_histogram(df, "ts", "day").count() == (dt.date(9999, 12, 31) - dt.date(1, 1, 1)).days + 1
+
+
+def test_segments_and_mapping(spark, tmp_path):
+    df = spark.range(5000).select("id", F.struct(F.lit("x").alias("a"), F.lit(1.5).alias("b")).alias("s"))
+    path = str(tmp_path / "a b")
+    df.repartition(3).write.option("parquet.block.size", 4096).option("compression", "zstd").parquet(path)
+    stored = spark.read.parquet(path)
+    rows = table_segments(stored).collect()
+    assert len({r.path for r in rows}) == 3 and sum(r.n_rows for r in rows) == 5000
+    assert {(r.n_columns, r.codec) for r in rows} == {(3, "ZSTD")} and all(0 < r.n_bytes for r in rows)
+    assert [tuple(r) for r in table_mapping(stored).collect()] == [
+        ("id", "bigint", True), ("s", "struct<a:string,b:double>", True), ("s.a", "string", True), ("s.b", "double", True)]
