@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def fields(**types: str | T.DataType) -> T.StructType:
     """A struct type from field names and types; needs no running session."""
     struct = T.StructType()
@@ -16,6 +15,7 @@ def fields(**types: str | T.DataType) -> T.StructType:
     return struct
 
 
+# fixed values: field names and types of a record
 RECORD_SCHEMA = fields(
     id="string", timestamp="timestamp_ntz", customer_name="string",
     sales_representative="string", product_line="string", product_model="string",
@@ -27,7 +27,7 @@ RECORD_SCHEMA = fields(
     follow_up_required="boolean", notes="string",
 )
 
-# what a hand-written single record carries; the other fields stay NULL
+# fixed values: what a hand-written single record carries; the other fields stay NULL
 PARTIAL_RECORD_FIELDS = (
     "id", "timestamp", "customer_name", "sales_representative", "product_line",
     "product_model", "price", "retailer", "location_city", "region", "interaction_type",
@@ -70,6 +70,58 @@ def ensure_schema(df: DataFrame, declared: T.StructType, *, extras: bool = True)
     return df.select(*columns)
 
 
+def _own_type(kind: T.DataType) -> T.DataType:
+    """The column type for a type found in JSON: fractions are doubles, what is only ever null is a string."""
+    if isinstance(kind, T.DecimalType):
+        return T.DoubleType() if kind.scale else T.LongType()
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_own_type(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _own_type(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def found_fields(df: DataFrame, text: str) -> T.StructType:
+    """The fields of the JSON objects in a column, over all rows, with the type that holds all their values.
+
+    Values of kinds that no type holds make a field ``VARIANT``. Text that is no JSON object is passed over. The types are
+    merged in the tasks and then together, so only one type reaches the driver.
+    """
+    value = F.try_parse_json(F.col(text))
+    objects = F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
+    found = df.agg(F.schema_of_variant_agg(objects)).first()[0]
+    if not found or not found.startswith("OBJECT"):
+        return T.StructType([])
+    kind = T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))
+    return T.StructType([T.StructField(f.name, _own_type(f.dataType)) for f in kind.fields])
+
+
+def new_fields(found: T.StructType, declared: T.StructType) -> T.StructType:
+    """The found fields that the declaration lacks; refuses one that it has with a type that cannot hold the values."""
+    known = {f.name: f.dataType for f in declared.fields}
+    widens = {("bigint", "double"), ("bigint", "string"), ("double", "string"), ("boolean", "string"), ("int", "bigint")}
+    clashes = []
+    for f in found.fields:
+        have, want = f.dataType.simpleString(), known[f.name].simpleString() if f.name in known else None
+        if want is None or have == want or (have, want) in widens or (have, want) == ("bigint", "int"):
+            continue
+        clashes.append(f"{f.name}: {have} is not {want}")
+    if clashes:
+        raise SchemaConflict("; ".join(clashes))
+    return T.StructType([f for f in found.fields if f.name not in known])
+
+
+def typed_json(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
+    """The column replaced by the fields of the schema, read out of its JSON; a missing field, or a value that does not fit, is NULL."""
+    value = F.try_parse_json(F.col(text)).alias("_value")
+    columns = [
+        F.try_variant_get("_value", F.lit(f"$['{f.name}']"), f.dataType.simpleString()).alias(f.name) for f in schema.fields
+    ]
+    return df.select("*", value).select(*(c for c in df.columns if c != text), *columns)
+
+
 def ensure_table(spark: SparkSession, name: str, declared: T.StructType) -> None:
     """Creates the table, or adds the columns it lacks; refuses a change of type."""
     if not spark.catalog.tableExists(name):

@@ -15,12 +15,13 @@ from corpusmill.operators.outline import outline_html
 from corpusmill.operators.partition import (
     html_elements, partition_html, partition_text, partition_with,
 )
+from corpusmill.plans.arrivals import load_arrivals
 from corpusmill.plans.flow import DocumentFlow
 from corpusmill.session import scratch_path
 from corpusmill.sinks.text import write_clean_text
 from corpusmill.sources.files import scan_documents, scan_text_files
 from corpusmill.workload.base import (
-    SQL_ORDER_RECORDS, load, named, order_records, spread, sql_tokens,
+    SQL_ORDER_RECORDS, from_table, load, named, order_records, spread, sql_tokens,
 )
 
 # ---------------------------------------------------------------------------
@@ -50,6 +51,7 @@ def _imaged(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
 
 
+# fixed value: the pattern of an inline image, as the SQL engine takes it
 _PATTERN = r"!\[[^\n]*?\]\(data:image/[^;]+;base64,[A-Za-z0-9+/=]+\)"
 _SQL_STRIPPED = rf"""
   SELECT doc_id, n_images, CASE WHEN n_images = 0 THEN content ELSE
@@ -512,6 +514,7 @@ def hybrid_corpus_(spark, sf_dir):
 _MONTHS = (
     "January|February|March|April|May|June|July|August|September|October|November|December"
 )
+# fixed values: the patterns of the library, as the SQL engine takes them
 _SQL_PATTERNS = {
     "MONEY": r"\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?",
     "DATE": r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b|\bQ[1-4] [0-9]{4}\b"
@@ -632,3 +635,29 @@ def run_summary_(spark, sf_dir):
     pages = spread(load(spark, sf_dir, "pages"))
     flow = DocumentFlow("html", doc_id="page_id", content="html")
     return flow.summary(pages)
+
+
+@named(
+    "arrivals",
+    f"""SELECT 'doc-' || doc_id || '-' || chunk_no AS id, text, true AS as_one_batch
+        FROM ({_sql_chunks(_SQL_TEXT_ELEMENTS, 2048, 1500, 0)})""",
+)
+def arrivals(spark, sf_dir):
+    """Documents whose files arrive in two lots, loaded after each, as one batch over all would have loaded them."""
+    path, checkpoint = scratch_path(spark, "arriving"), scratch_path(spark, "seen")
+    docs = load(spark, sf_dir, "documents").withColumn("name", F.concat("doc_id", F.lit(".txt")))
+    flow = DocumentFlow("text", doc_id="path", filename="filename", dim=8)
+    totals = []
+
+    def fill(name):
+        for lot in (0, 1):
+            write_clean_text(docs.where(F.col("doc_id") % 2 == lot), f"{path}/{lot}", filename="name", content="text", layout="files")
+            totals.append(load_arrivals(spark, path, flow, name, checkpoint, "*.txt"))
+
+    stored = from_table(spark, "arrivals", fill)
+    added = sum(t["added"] for t in totals)
+    number = F.regexp_extract("id", r"/([0-9]+)\.txt-([0-9]+)$", 1)
+    part = F.regexp_extract("id", r"/([0-9]+)\.txt-([0-9]+)$", 2)
+    return stored.select(
+        F.concat(F.lit("doc-"), number, F.lit("-"), part).alias("id"), "payload.text", F.lit(added == stored.count()).alias("as_one_batch")
+    )

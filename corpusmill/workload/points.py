@@ -11,7 +11,8 @@ from corpusmill.operators.hybrid import hybrid_corpus, to_points
 from corpusmill.operators.inverted import build_lists, probes_for, recall, search_lists
 from corpusmill.plans.flow import DocumentFlow
 from corpusmill.sinks.points import unit_vector, write_points
-from corpusmill.sources.tables import scroll
+from corpusmill.session import scratch_path
+from corpusmill.sources.tables import read_page, scroll, write_clustered
 from corpusmill.workload.base import SQL_ORDER_RECORDS, from_table, load, named, order_records, spread
 from corpusmill.workload.documents import (
     _SQL_HTML_ELEMENTS, _SQL_TEXT_ELEMENTS, _sql_chunks, text_sizes,
@@ -101,6 +102,18 @@ def scroll_vectors(spark, sf_dir):
     return page.select("id", F.round(F.get("vector", F.lit(0)).cast("double"), 6).alias("x"))
 
 
+@named(
+    "scroll_clustered",
+    f"""SELECT id, type, category, text, true AS few_files FROM ({_SQL_POINTS}) WHERE id > 100 ORDER BY id LIMIT 50""",
+)
+def scroll_clustered(spark, sf_dir):
+    """A page of points that lie in sixteen files by key, of which it reads a few."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(_points(spark, sf_dir), path, "id", 16)
+    page = read_page(spark, path, 50, 100)
+    return page.select("id", "payload.*", F.lit(len(page.inputFiles()) <= 4).alias("few_files"))
+
+
 # ---------------------------------------------------------------------------
 # search
 

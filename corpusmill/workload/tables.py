@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusmill.schemas import (
-    ensure_schema, ensure_table, fields, first_failures, load_tally, split_valid,
+    ensure_schema, ensure_table, fields, first_failures, found_fields, load_tally, new_fields, split_valid, typed_json,
 )
 from corpusmill.session import scratch_path
 from corpusmill.sinks.tables import upsert, upsert_table
@@ -270,3 +270,39 @@ def load_tally_(spark, sf_dir):
 def first_failures_(spark, sf_dir):
     refused = split_valid(_incoming(spark, sf_dir), _LABEL_FIELDS, ["quality", "toxic"])[1]
     return first_failures(refused, "doc_id", 3)
+
+
+def _json_events(spark, sf_dir):
+    """Events as an id and a JSON text, whose fields come and go."""
+    body = F.to_json(F.struct(
+        F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("kind"),
+        F.when(F.col("event_id") % 3 == 0, F.col("user_id")).alias("user"),
+        F.when(F.col("event_id") % 5 == 0, F.struct(F.col("event_id").alias("of"), F.col("event_type").alias("what"))).alias("inner"),
+    ))
+    return load(spark, sf_dir, "events").select("event_id", body.alias("body"))
+
+
+@named(
+    "json_fields",
+    """SELECT * FROM (VALUES ('inner', 'struct<of:bigint,what:string>', true), ('kind', 'string', false), ('user', 'bigint', true))
+       AS t(field, type, is_new) WHERE (SELECT count(*) FROM events) > 0""",
+)
+def json_fields(spark, sf_dir):
+    """The fields that the data has, with the types that hold all their values, and which of them a mapping lacks."""
+    found = found_fields(_json_events(spark, sf_dir), "body")
+    added = new_fields(found, fields(kind="string")).names
+    rows = [(f.name, f.dataType.simpleString(), f.name in added) for f in found.fields]
+    return spark.createDataFrame(rows, "field string, type string, is_new boolean")
+
+
+@named(
+    "json_mapped",
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN event_type END AS kind, CASE WHEN event_id % 3 = 0 THEN user_id END AS user,
+              CASE WHEN event_id % 5 = 0 THEN event_id END AS inner_of, CASE WHEN event_id % 5 = 0 THEN event_type END AS inner_what
+       FROM events""",
+)
+def json_mapped(spark, sf_dir):
+    """A mapping found in the data, and the rows read by it."""
+    events = _json_events(spark, sf_dir)
+    typed = typed_json(events, "body", found_fields(events, "body"))
+    return typed.select("event_id", "kind", "user", F.col("inner.of").alias("inner_of"), F.col("inner.what").alias("inner_what"))

@@ -2,7 +2,7 @@ from corpusmill.session import scratch_path, shared_dir
 from corpusmill.sources.files import (
     accepted, scan_documents, scan_text_files, url_manifest, validate_manifest,
 )
-from corpusmill.sources.tables import next_offset, sample_rows, scroll
+from corpusmill.sources.tables import next_offset, read_page, sample_rows, scroll, write_clustered
 from corpusmill.workload.base import spread
 
 
@@ -81,3 +81,27 @@ def test_filters_reach_the_file(spark):
         "GreaterThanOrEqual(o_totalprice", "GreaterThanOrEqual(o_orderdate", "EqualTo(o_orderstatus",
     ):
         assert part in pushed
+
+
+def test_pages_of_clustered_files(spark, tmp_path):
+    path = str(tmp_path / "c d")
+    df = spark.range(5000).selectExpr("id * 3 AS id", "'p' AS payload", "array(1) AS vector").repartition(7)
+    write_clustered(df, path, "id", 20)
+    n_files = len(spark.read.parquet(f"{path}/rows").inputFiles())
+    assert n_files == 20
+    seen, after, read = [], None, []
+    while True:
+        page = read_page(spark, path, 100, after)
+        read.append(len(page.inputFiles()))
+        found = [r.id for r in page.collect()]
+        if not found:
+            break
+        assert "vector" not in page.columns and page.columns == ["id", "payload"]
+        seen += found
+        after = next_offset(page, 100)
+        if after is None:
+            break
+    assert seen == [3 * i for i in range(5000)] and max(read) <= 2
+    assert read_page(spark, path, 10, 10**9).count() == 0
+    everything = read_page(spark, path, 10_000, with_vectors=True)
+    assert everything.count() == 5000 and "vector" in everything.columns
