@@ -327,12 +327,19 @@ def pseudonymised(text: Column, key: str) -> Column:
     return F.when(text.rlike("[0-9@]"), let(values, lambda v: F.when(F.size(v) > 0, rebuilt(v)).otherwise(untouched))).otherwise(untouched)
 
 
-def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with their text pseudonymised, and ``n_pii``, the number of values replaced.
+def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count: str | None = "n_pii") -> DataFrame:
+    """The rows of ``docs`` with their text pseudonymised, and the number of values replaced as ``count`` (None: without it).
 
     E-mail addresses keep their domain, phone numbers their country code, cards and IBANs stay valid, dates and
     IPv4 addresses stay dates and addresses. Of a time only the date is moved. Numbers that fail their
-    check are left as they are; a valid one beside other numbers or words is replaced, the rest is text. A null text stays null. No row depends on another; an existing ``n_pii`` is replaced.
+    check are left as they are; a valid one beside other numbers or words is replaced, the rest is text. A null text
+    stays null. No row depends on another; an existing column ``count`` is replaced, all others stay, whatever their names.
     """
-    done = docs.withColumn("_done", pseudonymised(F.col(text_col), key))
-    return done.withColumn(text_col, F.col("_done.text")).withColumn("n_pii", F.coalesce("_done.n", F.lit(0))).drop("_done")
+    names = docs.columns
+    done = "_done"
+    while done in names:
+        done += "_"
+    rows = docs.withColumn(done, pseudonymised(F.col(text_col), key))
+    columns = [F.col(done)["text"].alias(c) if c == text_col else F.col(f"`{c}`") for c in names if c != count]
+    counted = [] if count is None else [F.coalesce(F.col(done)["n"], F.lit(0)).alias(count)]
+    return rows.select(*columns, *counted)

@@ -442,19 +442,3 @@ def test_token_counts(spark, docs, empty):
     for _ in range(1500):
         text = "".join(draw.choice(alphabet) for _ in range(draw.randint(0, 30)))
         assert counter.count(text) == len(library.encode(text))
-
-
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    sf_dir = "/root/testdata/sf0.001"
-    docs = before = table(spark, sf_dir, "documents")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, docs, sf_dir)
-        assert after.columns == before.columns and after.dtypes == before.dtypes
-        n, m = docs.count(), after.count()
-        assert 0 < m <= n, name
-        docs = after
-    got = corpus_pipeline.run(spark, sf_dir)
-    assert got.count() == docs.count()
-    assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
