@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal values; their length follows the new text."""
-    done = pii.pseudonymise(docs, PSEUDONYM_KEY).drop("n_pii").select(*docs.columns)
+    done = pii.pseudonymise(docs, PSEUDONYM_KEY, count=None)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         done = done.withColumn("n_chars", F.length("text").cast(kind))
