@@ -35,7 +35,7 @@ BLOCK_DOCS = 1 << 16  # documents in a block at most, so that 16 bits number the
 TOGETHER = 32  # blocks whose bitmaps of one bucket a task scores
 _CUT = "\x00"
 _SPACE = "▁"
-_CACHE = 32 << 20  # bytes of known stretches that a task remembers
+_CACHE = 64 << 20  # bytes of known stretches that a task remembers
 _ENTRY = 220
 _TOGETHER = 20_000  # stretches given to the library as one text
 

@@ -27,7 +27,7 @@ from corpusmill.llm.ragged import Table, at_rows, distinct
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT_ASCII = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
-_CACHE = 32 << 20  # bytes that a task remembers of the words it knows, and as many of stretches
+_CACHE = 80 << 20  # bytes that a task remembers of the words it knows, and as many of stretches
 _ENTRY = 220  # bytes that an entry takes besides its text and ids
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from corpusmill.session import scratch_path
 
 # how much text a task looks at together, in characters
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 3_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
