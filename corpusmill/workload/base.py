@@ -48,15 +48,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows over ``spark.corpusmill.inputPartitions`` tasks, where the session sets that; else as scanned.
-
-    For files of a single row group, which one task reads however many cores are free.
-    """
-    n = df.sparkSession.conf.get("spark.corpusmill.inputPartitions", None)
-    return df.repartition(int(n)) if n else df
-
-
 def from_table(spark: SparkSession, label: str, fill: Callable[[str], object]) -> DataFrame:
     """The rows of a catalog table that ``fill`` has written, given its name, in the shared folder; the table is dropped."""
     name, path = f"{label}_{uuid.uuid4().hex}", scratch_path(spark, label)

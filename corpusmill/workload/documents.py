@@ -21,7 +21,7 @@ from corpusmill.session import scratch_path
 from corpusmill.sinks.text import write_clean_text
 from corpusmill.sources.files import scan_documents, scan_text_files
 from corpusmill.workload.base import (
-    SQL_ORDER_RECORDS, from_table, load, named, order_records, spread, sql_tokens,
+    SQL_ORDER_RECORDS, from_table, load, named, order_records, sql_tokens,
 )
 
 # ---------------------------------------------------------------------------
@@ -64,7 +64,7 @@ _SQL_STRIPPED = rf"""
 
 @named("strip_images", _SQL_STRIPPED)
 def strip_images(spark, sf_dir):
-    return strip_inline_images(spread(_imaged(spark, sf_dir)))
+    return strip_inline_images(_imaged(spark, sf_dir))
 
 
 @named(
@@ -195,7 +195,7 @@ _SQL_TEXT_ELEMENTS = r"""
 
 @named("partition_html", _SQL_HTML_ELEMENTS)
 def partition_html_(spark, sf_dir):
-    return partition_html(spread(load(spark, sf_dir, "pages")), "page_id").drop("metadata")
+    return partition_html(load(spark, sf_dir, "pages"), "page_id").drop("metadata")
 
 
 # written without the patterns above: comments and scripts out, then every tag, then all white space
@@ -214,7 +214,7 @@ _SQL_VISIBLE = r"""
 @named("html_text_kept", _SQL_VISIBLE)
 def html_text_kept(spark, sf_dir):
     """The visible characters of a page are those of its elements, in the same order."""
-    pages = spread(load(spark, sf_dir, "pages"))
+    pages = load(spark, sf_dir, "pages")
     texts = F.filter(html_elements("html"), lambda e: e["type"] != "Image")
     joined = F.array_join(F.transform(texts, lambda e: e["text"]), "")
     squeezed = pages.select(
@@ -291,7 +291,7 @@ def html_references(spark, sf_dir):
 
 @named("partition_text", _SQL_TEXT_ELEMENTS)
 def partition_text_(spark, sf_dir):
-    return partition_text(spread(load(spark, sf_dir, "documents"))).drop("metadata")
+    return partition_text(load(spark, sf_dir, "documents")).drop("metadata")
 
 
 def _dialogue_parser(content: bytes) -> list[tuple]:
@@ -361,7 +361,7 @@ def _sql_chunks(elements: str, max_chars: int, new_after: int, overlap: int) ->
 def chunk_text(spark, sf_dir):
     return (
         DocumentFlow("text", content="text")
-        .chunks(spread(load(spark, sf_dir, "documents")))
+        .chunks(load(spark, sf_dir, "documents"))
         .drop("metadata")
     )
 
@@ -371,13 +371,13 @@ def chunk_html(spark, sf_dir):
     flow = DocumentFlow(
         "html", doc_id="page_id", content="html", max_chars=300, new_after=200, overlap=20
     )
-    return flow.chunks(spread(load(spark, sf_dir, "pages"))).drop("metadata")
+    return flow.chunks(load(spark, sf_dir, "pages")).drop("metadata")
 
 
 @named("chunk_element_rows", _sql_chunks(_SQL_HTML_ELEMENTS, 300, 200, 20))
 def chunk_rows(spark, sf_dir):
     path = scratch_path(spark, "elements")
-    partition_html(spread(load(spark, sf_dir, "pages")), "page_id").write.parquet(path)
+    partition_html(load(spark, sf_dir, "pages"), "page_id").write.parquet(path)
     return chunk_by_title(spark.read.parquet(path), 300, 200, 20).drop("metadata")
 
 
@@ -413,7 +413,7 @@ _SQL_HASHED = f"""
         FROM ({_SQL_HASHED})""",
 )
 def embed_hashed_(spark, sf_dir):
-    docs = spread(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents")
     return docs.select("doc_id", F.inline(hashed_sparse("text"))).withColumn(
         "w", F.round("w", 6)
     )
@@ -429,7 +429,7 @@ def embed_hashed_(spark, sf_dir):
 )
 def embed_dense(spark, sf_dir):
     """Dense vectors, by their size, the coordinates that are set, and a sum that places weigh."""
-    docs = embed_hashed(spread(load(spark, sf_dir, "documents")).select("doc_id", "text"))
+    docs = embed_hashed(load(spark, sf_dir, "documents").select("doc_id", "text"))
     vector = F.col("vector")
     moment = F.aggregate(
         F.transform(vector, lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0), lambda a, x: a + x
@@ -459,7 +459,7 @@ def embed_custom(spark, sf_dir):
 
 @named("hashed_counts", f"SELECT doc_id, dim, CAST(n AS INTEGER) AS n FROM ({_SQL_HASHED})")
 def hashed_counts_(spark, sf_dir):
-    docs = spread(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents")
     return docs.select("doc_id", F.inline(hashed_counts("text")))
 
 
@@ -470,7 +470,7 @@ def hashed_counts_(spark, sf_dir):
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""",
 )
 def token_terms(spark, sf_dir):
-    docs = spread(load(spark, sf_dir, "documents"))
+    docs = load(spark, sf_dir, "documents")
     return (
         docs.select(F.explode(tokens("text")).alias("key"))
         .groupBy("key")
@@ -496,7 +496,7 @@ _SQL_CORPUS = f"""
 
 def _corpus(spark, sf_dir):
     chunks = DocumentFlow("text", content="text").chunks(
-        spread(load(spark, sf_dir, "documents"))
+        load(spark, sf_dir, "documents")
     )
     records = order_records(spark, sf_dir).select(
         "id", "interaction_text", "region", "customer_name", "price"
@@ -632,7 +632,7 @@ def extract_entities_(spark, sf_dir):
         SELECT *, CASE WHEN n_rows > 0 THEN 'COMPLETED' ELSE 'EMPTY' END AS status FROM s""",
 )
 def run_summary_(spark, sf_dir):
-    pages = spread(load(spark, sf_dir, "pages"))
+    pages = load(spark, sf_dir, "pages")
     flow = DocumentFlow("html", doc_id="page_id", content="html")
     return flow.summary(pages)
 

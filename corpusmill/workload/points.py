@@ -13,7 +13,7 @@ from corpusmill.plans.flow import DocumentFlow
 from corpusmill.sinks.points import unit_vector, write_points
 from corpusmill.session import scratch_path
 from corpusmill.sources.tables import read_page, scroll, write_clustered
-from corpusmill.workload.base import SQL_ORDER_RECORDS, from_table, load, named, order_records, spread
+from corpusmill.workload.base import SQL_ORDER_RECORDS, from_table, load, named, order_records
 from corpusmill.workload.documents import (
     _SQL_HTML_ELEMENTS, _SQL_TEXT_ELEMENTS, _sql_chunks, text_sizes,
 )
@@ -288,5 +288,5 @@ def _flow(sf_dir):
     ),
 )
 def flow_collection_stats(spark, sf_dir):
-    points = _flow(sf_dir).points(spread(load(spark, sf_dir, "pages")))
+    points = _flow(sf_dir).points(load(spark, sf_dir, "pages"))
     return collection_stats(points, 1536)
