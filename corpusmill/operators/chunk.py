@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,10 +27,12 @@ from corpusmill.schemas import fields
 
 MAX_CHARS, NEW_AFTER, OVERLAP = 2048, 1500, 0
 
-# An element position is an INT, so 2^31 elements are the most one document can
-# have: 2^13 elements per block, 2^9 blocks per span and 2^9 spans per document
-# keep every group of the block form below these sizes.
+# A block has at most 2^13 pieces, each within ``max_chars``, so 16 million characters by default, however long the
+# elements are. Positions are INTs: 2^18 stretches of 2^13 of them, so 2^9 blocks per span keep the
+# groups of spans near 2^9 as well; long elements add a block for every 16 million characters.
 BLOCK_ELEMENTS, SPAN_BLOCKS = 1 << 13, 1 << 9
+# Documents beyond so many characters are not brought together in one row.
+BLOCK_CHARS = 1 << 24
 _RUN = 256  # pieces whose starts are gathered together
 
 
@@ -168,23 +170,23 @@ def chunk_by_title(
     overlap: int = OVERLAP,
     block_elements: int = BLOCK_ELEMENTS,
     span_blocks: int = SPAN_BLOCKS,
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """Chunks from a stored table of element rows (doc_id, pos, type, text, metadata).
 
-    Documents up to one block of elements are packed in one group each, after
-    one shuffle. Whether any document is larger is asked beforehand: the test
-    reads only ``pos``, and a stored table answers it from the statistics of
-    its row groups; elements that are not stored would be computed once more
+    Documents up to ``block_elements`` elements and ``block_chars`` characters are packed in one group each, after
+    one shuffle. Whether any document is larger is asked beforehand, by the lengths of its texts summed up in the tasks;
+    elements that are not stored would be computed once more
     for it, so write them first, or use :func:`packed`. Larger documents go through :func:`_chunk_large`.
     """
     _check(max_chars, new_after, overlap)
     source = elements.where(F.col("text") != "").select(
         "doc_id", "pos", F.struct("type", "text").alias("e"), "metadata"
     )
-    beyond = elements.where(F.col("pos") >= block_elements).select("doc_id")
-    if beyond.isEmpty():
+    sizes = elements.groupBy("doc_id").agg(F.max("pos").alias("last"), F.sum(F.length("text")).alias("chars"))
+    large = sizes.where((F.col("last") >= block_elements) | (F.col("chars") > block_chars)).select("doc_id")
+    if large.isEmpty():
         return _chunk_small(source, max_chars, new_after, overlap)
-    large = beyond.distinct()
     return _chunk_small(
         source.join(large, "doc_id", "left_anti"), max_chars, new_after, overlap
     ).unionByName(
@@ -222,6 +224,31 @@ def _block_map(
     return states[where].astype("int32")
 
 
+def _in_blocks(source: DataFrame, max_chars: int, overlap: int, size: int) -> DataFrame:
+    """Pieces (doc_id, pos, piece, metadata, p) with their block, in order and without gaps.
+
+    Blocks are cut by running sums of the numbers of pieces, so one has at most ``size``. The sums run over numbers
+    alone: inside stretches of ``size`` positions, and then over the stretches of a document.
+    """
+    step = max_chars - overlap
+    stretch = F.floor(F.col("pos") / size).cast("int").alias("stretch")
+    long = F.length("e.text") > max_chars
+    n = F.when(long, F.floor((F.length("e.text") - overlap - 1) / step).cast("bigint") + 1).otherwise(F.lit(1).cast("bigint"))
+    inside = Window.partitionBy("doc_id", "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = source.select("doc_id", "pos", stretch, n.alias("n")).withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    along = Window.partitionBy("doc_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        numbered.groupBy("doc_id", "stretch").agg(F.ceil(F.max(F.col("first") + F.col("n")) / size).alias("blocks"))
+        .withColumn("start", F.coalesce(F.sum("blocks").over(along), F.lit(0)))
+    )
+    placed = numbered.join(starts, ["doc_id", "stretch"]).select("doc_id", "pos", "first", "start")
+    cut = source.join(placed, ["doc_id", "pos"]).select(
+        "doc_id", "pos", "metadata", "first", "start", F.posexplode(_all_pieces(F.array("e"), max_chars, overlap)).alias("piece", "p")
+    )
+    block = (F.col("start") + F.floor((F.col("first") + F.col("piece")) / size)).cast("int")
+    return cut.select("doc_id", "pos", "metadata", "piece", "p", block.alias("block"))
+
+
 def _chunk_large(
     source: DataFrame,
     max_chars: int,
@@ -240,12 +267,7 @@ def _chunk_large(
     independently. Chunks that cross a block border are joined at the end.
     """
     id_type = source.schema["doc_id"].dataType
-    parts = source.select(
-        "doc_id",
-        "pos",
-        "metadata",
-        F.posexplode(_all_pieces(F.array("e"), max_chars, overlap)).alias("piece", "p"),
-    ).withColumn("block", F.floor(F.col("pos") / block_elements).cast("int"))
+    parts = _in_blocks(source, max_chars, overlap, block_elements)
 
     def ids(**types: str) -> T.StructType:
         return fields(doc_id=id_type, **types)

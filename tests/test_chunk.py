@@ -82,6 +82,26 @@ def test_both_forms_follow_the_rule(spark, sizes):
     assert rows(in_rows) == expected
 
 
+def test_groups_are_bounded_by_length(spark, monkeypatch):
+    """Few but long elements go into blocks of bounded length too, and give the same chunks."""
+    from corpusmill.operators import chunk
+
+    rng = random.Random(7)
+    docs = {1: [("Title" if rng.random() < 0.2 else "NarrativeText", "x" * rng.choice([1, 40, 3000, 9000])) for _ in range(40)],
+            2: [("NarrativeText", "ab" * 10)] * 5, 3: [("NarrativeText", "c" * 50_000)]}
+    data = [(d, p, k, t, None) for d, els in docs.items() for p, (k, t) in enumerate(els)]
+    elements = spark.createDataFrame(data, SCHEMA)
+    expected = {d: by_python(els, 50, 40, 0) for d, els in docs.items()}
+    assert rows(chunk_by_title(elements, 50, 40, 0, block_elements=64, span_blocks=3, block_chars=1000)) == expected
+    source = elements.select("doc_id", "pos", F.struct("type", "text").alias("e"), "metadata")
+    blocks = chunk._in_blocks(source, 50, 0, 64).groupBy("doc_id", "block").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
+    found = {}
+    for r in blocks.orderBy("doc_id", "block").collect():
+        assert r.n <= 64
+        found.setdefault(r.doc_id, []).append(r.block)
+    assert all(b == list(range(len(b))) for b in found.values()) and len(found[3]) == 16 and len(found[1]) > 20
+
+
 def test_limits_and_completeness(spark):
     docs = documents(3)
     data = [
