@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.session import stored
+
 # fixed values: accepted content types and the key prefix of stored files
 PDF_CONTENT = ("pdf", "application/octet-stream")
 OBJECT_PREFIX = "workflow-docs/pdf/"
+# Bytes and files that one task of a scan reads, unless one file is larger
+TASK_BYTES = 64 * 1024 * 1024
+TASK_FILES = 2000
 
 
 def file_name(path: Column | str) -> Column:
@@ -21,16 +26,25 @@ def file_type(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"\.([^./]+)$", 1))
 
 
+def scan_tasks(spark: SparkSession, n_bytes: int, n_files: int) -> int:
+    """Into how many tasks a scan of whole files goes.
+
+    Spark counts each file as several megabytes, so that a task of many small files would be over
+    before it is well begun. They are dealt by their true size and by their number instead.
+    """
+    return max(1, -(-n_bytes // TASK_BYTES), -(-n_files // TASK_FILES), min(spark.sparkContext.defaultParallelism, n_files))
+
+
 def scan_documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """Every file under a folder: path, name, type, length, time, bytes.
 
-    A plan that does not use ``content`` never opens the files.
+    A plan that does not use ``content`` never opens the files. Small files share a task.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     name = file_name("path")
-    return reader.load(path).select(
+    return reader.load(path).coalesce(scan_tasks(spark, *stored(spark, path))).select(
         "path",
         name.alias("filename"),
         file_type(name).alias("filetype"),

@@ -1,6 +1,6 @@
 from corpusmill.session import scratch_path, shared_dir
 from corpusmill.sources.files import (
-    accepted, scan_documents, scan_text_files, url_manifest, validate_manifest,
+    TASK_BYTES, accepted, scan_documents, scan_tasks, scan_text_files, url_manifest, validate_manifest,
 )
 from corpusmill.sources.tables import next_offset, read_page, sample_rows, scroll, write_clustered
 
@@ -99,3 +99,15 @@ def test_pages_of_clustered_files(spark, tmp_path):
     assert read_page(spark, path, 10, 10**9).count() == 0
     everything = read_page(spark, path, 10_000, with_vectors=True)
     assert everything.count() == 5000 and "vector" in everything.columns
+
+
+def test_small_files_share_a_task(spark, tmp_path):
+    for i in range(1000):
+        (tmp_path / f"{i}.txt").write_text(f"text {i}")
+    scan = scan_text_files(spark, str(tmp_path), "*.txt")
+    assert scan.rdd.getNumPartitions() <= 8
+    assert {r.content for r in scan.collect()} == {f"text {i}" for i in range(1000)}
+    assert scan_documents(spark, f"{tmp_path}/9*.txt").count() == 111
+    named = scan_documents(spark, str(tmp_path)).select("filename", "length")
+    assert "content" not in named._jdf.queryExecution().executedPlan().toString().lower().replace("binaryfile", "")
+    assert scan_tasks(spark, 10 * TASK_BYTES, 20) == 10 and scan_tasks(spark, 0, 0) == 1
