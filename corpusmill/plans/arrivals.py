@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.plans.flow import DocumentFlow
-from corpusmill.sources.files import file_name, file_type
+from corpusmill.schemas import POINT_SCHEMA
+from corpusmill.session import drop_path, stored
+from corpusmill.sinks.points import write_points
+from corpusmill.sources.files import TASK_BYTES, TASK_FILES, file_name, file_type
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
+# Files of one batch: of these the driver holds the names, and the tasks one content at a time
+FILES_AT_ONCE = 100_000
 
 
-def arriving_documents(spark: SparkSession, folder: str, glob: str | None = None, files_at_once: int = 1000) -> DataFrame:
+def arriving_documents(spark: SparkSession, folder: str, glob: str | None = None, files_at_once: int = FILES_AT_ONCE) -> DataFrame:
     """A stream of the files of a folder: path, filename, filetype, length, content; each file once, by its path."""
     reader = (
         spark.readStream.format("binaryFile").schema(_FILES)
@@ -23,30 +28,50 @@ def arriving_documents(spark: SparkSession, folder: str, glob: str | None = None
     return reader.load(folder).select("path", name.alias("filename"), file_type(name).alias("filetype"), "length", "content")
 
 
+def _small_files(spark: SparkSession) -> SparkSession:
+    """A session beside this one, with its settings, but for very many files in a batch.
+
+    Spark looks up each file of a batch in a task of its own, and counts it as several megabytes when it deals out the scan.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(4 * spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.files.openCostInBytes", str(TASK_BYTES // TASK_FILES))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(TASK_BYTES))
+    return own
+
+
 def load_arrivals(
     spark: SparkSession, folder: str, flow: DocumentFlow, name: str, checkpoint: str, glob: str | None = None,
-    files_at_once: int = 1000,
+    files_at_once: int = FILES_AT_ONCE,
 ) -> dict[str, int]:
     """Loads all files that have come since the last call and ends; returns what was written, added and replaced.
 
-    ``checkpoint`` remembers which files were loaded. The flow reads the columns of :func:`arriving_documents`, its document
-    id is ``path``. Points go by id into the collection, so a batch that is run again after a failure
-    leaves the same points, and files that came in many calls leave those of a single one.
+    ``checkpoint`` remembers which files were read. The flow reads the columns of :func:`arriving_documents`, its document
+    id is ``path``. The points of each batch are kept in a folder of their own beside the checkpoint, and those of all batches
+    go into the collection at once, so that its parts are written once for a call, not once for a batch. A batch that is run
+    again takes the place of its first run; points that a failed call has left there are loaded by the next one. They
+    go by id, so a load that is repeated leaves the same points, and files that came in many calls leave those of a single one.
     """
     if flow.doc_id != "path" or flow.content != "content":
         raise ValueError("the flow must take 'path' as its document id and 'content' as its content")
-    total = {"written": 0, "added": 0, "replaced": 0}
     text = not callable(flow.source)
+    staged = f"{checkpoint.rstrip('/')}-points"
 
-    def load(batch: DataFrame, number: int) -> None:
+    def stage(batch: DataFrame, number: int) -> None:
         rows = batch.withColumn("content", F.col("content").cast("string")) if text else batch
-        done = flow.run(rows, name)
-        for key in total:
-            total[key] += getattr(done, key)
+        flow.whole_points(rows).write.mode("overwrite").parquet(f"{staged}/{number}")
 
     query = (
-        arriving_documents(spark, folder, glob, files_at_once).writeStream.foreachBatch(load)
+        arriving_documents(_small_files(spark), folder, glob, files_at_once).writeStream.foreachBatch(stage)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return total
+    if not stored(spark, staged)[1]:
+        return {"written": 0, "added": 0, "replaced": 0}
+    points = spark.read.schema(POINT_SCHEMA).parquet(f"{staged}/*")
+    done = write_points(points, name, flow.dim, normalize=False)
+    drop_path(spark, staged)
+    return {key: getattr(done, key) for key in ("written", "added", "replaced")}

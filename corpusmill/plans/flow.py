@@ -122,6 +122,9 @@ class DocumentFlow:
         A chunk without a token has nothing to hash; it gets the zero vector, so the collection
         holds every chunk and each text is embedded once.
         """
+        return write_points(self.whole_points(documents), name, self.dim, batch_size=batch_size, normalize=False)
+
+    def whole_points(self, documents: DataFrame) -> DataFrame:
+        """The points as :meth:`run` writes them, the zero vector in place of none."""
         zero = F.array_repeat(F.lit(0.0).cast("float"), self.dim)
-        points = self.points(documents).withColumn("vector", F.coalesce("vector", zero))
-        return write_points(points, name, self.dim, batch_size=batch_size, normalize=False)
+        return self.points(documents).withColumn("vector", F.coalesce("vector", zero))

@@ -4,6 +4,7 @@ import pytest
 
 from corpusmill.plans.arrivals import load_arrivals
 from corpusmill.plans.flow import DocumentFlow
+from corpusmill.sinks import points
 from corpusmill.sinks.points import read_points
 from corpusmill.sources.files import scan_text_files
 
@@ -37,3 +38,26 @@ def test_two_arrivals_are_one_batch(spark, tmp_path, names):
     assert rows(names[0]) == rows(names[1]) and len(rows(names[0])) == 11
     with pytest.raises(ValueError, match="document id"):
         load_arrivals(spark, str(folder), DocumentFlow("html"), names[0], checkpoint)
+
+
+def test_batches_of_a_call_are_one_load(spark, tmp_path, names, monkeypatch):
+    """The collection is written once for a call; points of a call that failed before that come with the next one."""
+    folder, flow = tmp_path / "in", DocumentFlow("text", doc_id="path", filename="filename", dim=4)
+    folder.mkdir()
+    for i in range(5):
+        (folder / f"{i}.txt").write_text(f"one two {i}")
+    loads, upsert = [], points.upsert_table
+
+    def counted(spark, name, *args, **kwargs):
+        loads.append(name)
+        if len(loads) == 1:
+            raise OSError("no space")
+        return upsert(spark, name, *args, **kwargs)
+
+    monkeypatch.setattr(points, "upsert_table", counted)
+    with pytest.raises(Exception, match="no space"):
+        load_arrivals(spark, str(folder), flow, names[0], str(tmp_path / "seen"), files_at_once=2)
+    (folder / "5.txt").write_text("three")
+    assert load_arrivals(spark, str(folder), flow, names[0], str(tmp_path / "seen"), files_at_once=2)["added"] == 6
+    assert len(loads) == 2 and read_points(spark, names[0]).count() == 6
+    assert load_arrivals(spark, str(folder), flow, names[0], str(tmp_path / "seen"))["written"] == 0
