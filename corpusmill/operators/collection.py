@@ -14,9 +14,9 @@ from corpusmill.functions.predicates import has_text
 
 # Query vectors up to this many bytes go to every executor; more take the
 # block form.
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 # Most entries of one score matrix, and of one block of vectors
-MATRIX_ENTRIES = 8 * 1024 * 1024
+MATRIX_ENTRIES = 2 * 1024 * 1024
 # Scores equal to this many decimals are ties, decided by id
 SCORE_DECIMALS = 9
 

@@ -57,9 +57,12 @@ def fit_centroids(points: DataFrame, dim: int, lists: int, *, key: str = "id", v
 
 
 def _nearest(rows: DataFrame, key: str, centroids: np.ndarray, dim: int, n: int) -> DataFrame:
-    """``(key, v, list)`` for the ``n`` nearest centroids of each row with a full vector."""
+    """``(key, v, list)`` for the ``n`` nearest centroids of each row with a full vector.
+
+    A vector leaves Python once, with the numbers of its lists; it is repeated for each of them outside.
+    """
     shipped = rows.sparkSession.sparkContext.broadcast(centroids)  # lists x dim doubles, both bounded by parameters
-    out = T.StructType([*rows.schema.fields, T.StructField(LIST, T.IntegerType())])
+    out = T.StructType([*rows.schema.fields, T.StructField(LIST, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         directions = shipped.value
@@ -77,9 +80,9 @@ def _nearest(rows: DataFrame, key: str, centroids: np.ndarray, dim: int, n: int)
                     found = np.broadcast_to(np.arange(few), scores.shape)
                 if few == 1:  # of equally near ones the first, whatever the batch
                     found = scores.argmax(axis=1)[:, None]
-                yield part.loc[part.index.repeat(few)].assign(**{LIST: found.ravel().astype("int32")})
+                yield part.assign(**{LIST: list(found.astype("int32"))})
 
-    return rows.mapInPandas(run, out)
+    return rows.mapInPandas(run, out).withColumn(LIST, F.explode(LIST))
 
 
 def build_lists(points: DataFrame, dim: int, lists: int | None = None, *, key: str = "id", vector: str = "vector",

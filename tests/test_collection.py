@@ -75,3 +75,8 @@ def test_stats(spark):
     assert ("points", "with_vector") not in {
         (r.section, r.key) for r in collection_stats(points).collect()
     }
+
+
+def test_blocks_of_a_worker_are_small():
+    """Queries sent along, a block of vectors, and a score matrix: a worker holds a few of each."""
+    assert collection.BROADCAST_BYTES <= 16 * 2**20 and 8 * collection.MATRIX_ENTRIES <= 16 * 2**20

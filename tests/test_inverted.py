@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.operators.collection import knn
-from corpusmill.operators.inverted import build_lists, fit_centroids, probes_for, recall, search_lists
+from corpusmill.operators.inverted import _nearest, build_lists, fit_centroids, probes_for, recall, search_lists
 
 
 def clustered(spark, n=1500, dim=8, groups=20, seed=1):
@@ -54,3 +54,14 @@ def test_no_pairs_of_all_blocks(spark):
     plan = search_lists(index, queries, 5, probes=2, dim=8)._jdf.queryExecution().optimizedPlan().toString()
     assert "Cross" not in plan and "CartesianProduct" not in plan
     assert search_lists(index, queries, 5, probes=2, dim=8).groupBy("query_id").agg(F.count("*").alias("n")).where("n = 5").count() > 1400
+
+
+def test_vectors_leave_python_once(spark):
+    """However many lists are probed, a query is one row of the Python step, and repeated by Spark."""
+    rows = clustered(spark, 300).withColumnsRenamed({"id": "query_id", "vector": "v"})
+    centroids = np.random.default_rng(2).normal(size=(50, 8))
+    found = _nearest(rows, "query_id", centroids, 8, 40)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(list") < plan.index("MapInPandas")
+    counted = found.groupBy("query_id").agg(F.count_distinct("list").alias("n"), F.count("v").alias("all")).select("n", "all").distinct().collect()
+    assert [(r["n"], r["all"]) for r in counted] == [(40, 40)]
