@@ -12,10 +12,11 @@ from corpusmill.functions.predicates import tokens
 
 # A gazetteer up to this size is sent to every executor, as a trie of tokens.
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Up to this many names, their digests are sent instead, to sort out token runs
-# that are no name before any of them is shuffled.
-DIGEST_ROWS = 8_000_000
-# Copies of a larger gazetteer, so that one frequent phrase is spread over tasks.
+# Up to this many first tokens of names are sent instead, each with the lengths of its
+# names, to sort out token runs that are no name before any of them is put together.
+DIGEST_ROWS = 250_000
+# Copies of a larger gazetteer, so that one frequent phrase is spread over tasks, where
+# Spark does not split such partitions itself.
 SALTS = 32
 # Tokens per group when overlapping matches of one document are compared.
 BUCKET_TOKENS = 4096
@@ -68,9 +69,9 @@ def gazetteer_entities(
 
     Result: doc_id, entity_type, entity, pos (token number, from 0). A match
     inside a longer one is dropped. A gazetteer whose measured size allows sending it
-    along is walked as a trie inside each row. Otherwise token runs of the lengths that it
-    has are shuffled and salted, after the digests of the names, if those are few enough to
-    be sent, have left hardly more than true matches.
+    along is walked as a trie inside each row. Otherwise token runs are shuffled to the names: of
+    the lengths that names with the same first token have, if the first tokens are few enough to
+    be sent, else of all lengths of the gazetteer.
     """
     return extract_entities(df, gazetteer, doc_id, text, {}, broadcast_bytes, digest_rows)
 
@@ -106,30 +107,36 @@ def extract_entities(
         ).alias("bytes"),
         F.count("*").alias("rows"),
         F.array_sort(F.collect_set("n")).alias("lengths"),
+        F.approx_count_distinct(_first("phrase")).alias("heads"),
     ).first()
-    lengths, names = measured["lengths"] or [1], names.drop("n")
+    lengths = measured["lengths"] or [1]
 
     if measured["bytes"] <= broadcast_bytes:
         return _in_row(df, names, doc_id, text, patterns)
 
-    candidates = _candidates(df, doc_id, text, lengths)
-    if measured["rows"] <= digest_rows:
-        digests = names.select(F.xxhash64("phrase").alias("_digest")).distinct()
-        candidates = (
-            candidates.withColumn("_digest", F.xxhash64("phrase"))
-            .join(F.broadcast(digests), "_digest", "left_semi")
-            .drop("_digest")
-        )
-    salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    joined = candidates.withColumn(
-        "_salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
-    ).join(salted, ["phrase", "_salt"])
+    heads = None
+    if measured["heads"] <= digest_rows:
+        heads = names.groupBy(_first("phrase").alias("_head")).agg(F.collect_set("n").alias("_lengths"))
+    candidates, names = _candidates(df, doc_id, text, lengths, heads), names.drop("n")
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true" == conf.get("spark.sql.adaptive.skewJoin.enabled"):
+        # runs pass the names of their partition unsorted; one with a very frequent phrase is split as it is read
+        joined = candidates.join(names.hint("shuffle_hash"), "phrase")
+    else:
+        salted = names.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = candidates.withColumn(
+            "_salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int")
+        ).join(salted, ["phrase", "_salt"])
     found = _resolved(joined, lengths)
     if not patterns:
         return found
     return found.unionByName(pattern_entities(df, doc_id, text, patterns))
 
 
+def _first(phrase: str) -> Column:
+    return F.substring_index(phrase, " ", 1)
+
+
 _FOUND = "array<struct<entity_type:string,entity:string,pos:int>>"
 
 
@@ -191,9 +198,11 @@ def _trie_finder(rows):
     return F.arrow_udf(find, _FOUND)
 
 
-def _candidates(df: DataFrame, doc_id: str, text: str, lengths: list[int]) -> DataFrame:
+def _candidates(df: DataFrame, doc_id: str, text: str, lengths: list[int], heads: DataFrame | None) -> DataFrame:
     """Token runs, for gazetteers that cannot be sent along: doc_id, pos, n, phrase.
 
+    With ``heads``, only runs whose first token is there, of the lengths found beside it.
+
     One row per token first, with the tokens that follow it. The shifted arrays share the
     token strings; the runs are put together in generated code.
     """
@@ -204,15 +213,19 @@ def _candidates(df: DataFrame, doc_id: str, text: str, lengths: list[int]) -> Da
         for k in range(max(lengths))
     ]
     numbered = tokenized.select("doc_id", F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
+    wanted = [F.lit(True)] * len(lengths)
+    if heads is not None:
+        numbered = numbered.join(F.broadcast(heads), F.col("z.t0") == F.col("_head"))
+        wanted = [F.array_contains("_lengths", n) for n in lengths]
     rows = [
         F.struct(
             F.lit(n).alias("n"),
             F.when(
-                F.col(f"z.t{n - 1}").isNotNull(),
+                w & F.col(f"z.t{n - 1}").isNotNull(),
                 F.concat_ws(" ", *(F.col(f"z.t{k}") for k in range(n))),
             ).alias("phrase"),
         )
-        for n in lengths
+        for n, w in zip(lengths, wanted)
     ]
     return numbered.select("doc_id", "pos", F.inline(F.array(*rows))).where(F.col("phrase").isNotNull())
 
@@ -242,8 +255,9 @@ def _longest(matches: DataFrame) -> DataFrame:
         ),
     )
     group = Window.partitionBy("doc_id", "_bucket")
-    order = group.orderBy(F.col("pos").asc(), F.col("_end").desc())
-    ranked = bucketed.withColumn("_extent", F.dense_rank().over(order))
+    # one number in the order of start and, from the longest, of end, so that one sort serves
+    extent = F.col("pos").cast("bigint") * F.lit(1 << 32) - F.col("_end")
+    ranked = bucketed.withColumn("_extent", extent)
     before = group.orderBy("_extent").rangeBetween(Window.unboundedPreceding, -1)
     return (
         ranked.withColumn("_reached", F.max("_end").over(before))

@@ -73,3 +73,12 @@ def test_both(spark, limit):
     )
     empty = gazetteer.limit(0)
     assert {r.entity for r in extract_entities(df, empty).collect()} == {"$5"}
+
+
+def test_large_gazetteer_is_not_copied(spark):
+    """Names beyond the size that is sent go through the shuffle once, and only first tokens are sent."""
+    df = spark.createDataFrame([(1, "Ann Lee of New York")], "doc_id int, text string")
+    found = gazetteer_entities(df, spark.createDataFrame(NAMES, "name string, entity_type string"), broadcast_bytes=0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and "_head" in plan and plan.count("strategy=broadcast") == 1
+    assert {r.entity for r in found.collect()} == {"Ann Lee", "New York"}
