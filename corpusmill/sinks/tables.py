@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.schemas import SchemaConflict, check_rows, fields
-from corpusmill.session import drop_path, scratch_path
+from corpusmill.session import drop_path, scratch_path, stored
 
 PART = "_part"
+# Bytes of incoming rows, as staged, that one task writes
+TASK_BYTES = 64 * 1024 * 1024
 _KEY, _PARTS, _BUCKETS = "corpusmill.key", "corpusmill.parts", "corpusmill.buckets"
 
 
@@ -192,16 +194,31 @@ def upsert_table(
     if touched:
         old = spark.table(name).where(F.col(PART).isin(touched))
         before, after = old.count(), Observation()  # counted by the footers
-        merged = kept_rows(old, rows, key, bool(latest.get["no_key"])).observe(after, F.count(F.lit(1)).alias("kept"))
-        fitted = _in_schema(rows, schema).withColumn(PART, _part(key, parts)).repartition(buckets, key)
-        merged.select(*schema.names, PART).unionByName(fitted).write.option(
-            "maxRecordsPerFile", max_records_per_file
-        ).insertInto(name, overwrite=True)
-        replaced = before - after.get["kept"]
+        fitted = _in_schema(rows, schema).withColumn(PART, _part(key, parts))
+        written = dealt(fitted, key, parts, buckets, stored(spark, staged)[0])
+        if before:
+            kept = kept_rows(old, rows, key, bool(latest.get["no_key"])).observe(after, F.count(F.lit(1)).alias("kept"))
+            written = kept.select(*schema.names, PART).unionByName(written)
+        written.write.option("maxRecordsPerFile", max_records_per_file).insertInto(name, overwrite=True)
+        replaced = before - after.get["kept"] if before else 0
     drop_path(spark, staged)
     return Load(coming.get["received"], latest.get["written"], replaced, coming.get["refused"], checked.where(refused))
 
 
+def dealt(rows: DataFrame, key: str, parts: int, buckets: int, n_bytes: int) -> DataFrame:
+    """Rows by bucket, for a write: into as many tasks as their bytes need, however few buckets and parts there are.
+
+    Beyond one task for a bucket, its parts go to several, and then the rows of a part, as further files of the bucket.
+    """
+    tasks = max(1, -(-n_bytes // (buckets * TASK_BYTES)))
+    groups = min(parts, tasks)
+    pieces = -(-tasks // groups)
+    bucket = F.pmod(F.hash(key), F.lit(buckets))  # as Spark numbers its buckets
+    piece = F.pmod(F.shiftright(F.xxhash64(key), 32), F.lit(pieces))
+    place = (bucket * groups + F.pmod(F.col(PART), F.lit(groups))) * pieces + piece
+    return rows.repartitionById(buckets * groups * pieces, place.cast("int"))
+
+
 def kept_rows(old: DataFrame, rows: DataFrame, key: str, no_key: bool) -> DataFrame:
     """The rows of ``old`` whose key is not in ``rows``; those without a key go if ``no_key``.
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.plans.flow import DocumentFlow
+from corpusmill.sinks import tables
 from corpusmill.sinks.points import (
     collection_dim, ensure_collection, read_points, write_points,
 )
@@ -209,3 +210,17 @@ def test_column_of_one_part_stays(spark, name):
     upsert_table(spark, name, spark.createDataFrame(rows, "id int, v string, seq int"), "id", "seq", parts=2, buckets=2)
     found = {r.id: (r.v, r.w) for r in read_table(spark, name).collect()}
     assert found == {i: ("b", "new") if i == 3 else ("c", None) for i in range(20)}
+
+
+def test_a_large_load_has_more_tasks_than_buckets(spark, name, monkeypatch):
+    """Few buckets do not make few tasks of a load, and rows stay in their bucket and part."""
+    monkeypatch.setattr(tables, "TASK_BYTES", 1000)
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    marked = tables.dealt(rows.withColumn(tables.PART, tables._part("k", 3)), "k", 3, 2, 20_000)
+    assert marked.rdd.getNumPartitions() == 24
+    where = marked.select(F.spark_partition_id().alias("p"), tables.PART, F.pmod(F.hash("k"), F.lit(2)).alias("b"))
+    assert where.groupBy("p").agg(F.count_distinct(tables.PART, "b").alias("n")).where("n <> 1").count() == 0
+    for _ in range(2):
+        done = upsert_table(spark, name, rows, "k", None, parts=3, buckets=2)
+    assert (done.written, done.replaced) == (3000, 3000)
+    assert sorted(map(tuple, read_table(spark, name).collect())) == sorted(map(tuple, rows.collect()))
