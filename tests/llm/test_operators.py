@@ -152,6 +152,35 @@ def test_suffix_dedup_many_contexts(spark):
         assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
 
 
+def test_suffix_dedup_frequent_passage_is_split_by_many_tasks(spark, monkeypatch):
+    own = random.Random(8)
+    around = ["".join(own.choice("abcdefgh") for _ in range(50)) for _ in range(160)]
+    hasher = suffix_dedup._Hasher(16)
+    lowest = min("ijklmnopqrstuvwxyz", key=lambda c: hasher(np.frombuffer(c.encode() * 16, np.uint8))[0])
+    texts = [a + lowest * 150 + b for a, b in zip(around[::2], around[1::2])]
+    shares = []
+
+    def split(contexts, width, length, old=suffix_dedup._split):
+        rows = [r["count"] for r in contexts.groupBy(F.spark_partition_id()).count().collect()]
+        shares.append(max(rows) / sum(rows))
+        return old(contexts, width, length)
+
+    monkeypatch.setattr(suffix_dedup, "_split", split)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = suffix_dedup.removed(df, 100, 16, 500).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = dict(enumerate(brute_removed(texts, 100)))
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
+    assert shares and shares[0] < 0.5
+
+
 def test_suffix_dedup_repeated_rows(spark):
     """Rows that repeat id and text are counted, not paired: 600 of 20 kB beside others that share parts of it."""
     long = "".join(draw.choice("abcdefgh \u00e9") for _ in range(20_000))
