@@ -17,12 +17,14 @@ def write_clean_text(
     filename: str = "filename",
     content: str = "content",
     layout: str = "table",
+    folders: int = 0,
 ) -> None:
     """Writes (filename, content) rows.
 
     ``table`` is one parquet table, the form for many files. ``files`` is one file per row, with
     the row's name and exactly its text in UTF-8; a NULL text is an empty file. Names must be unique,
-    not NULL, and without slashes. A path that holds data is refused, so a source can never be overwritten
+    not NULL, and without slashes. With ``folders`` they are dealt by name to so many folders below the path, as one folder of
+    millions of files is listed and removed as a whole. A path that holds data is refused, so a source can never be overwritten
     while it is being read.
     """
     rows = df.select(F.col(filename).alias("filename"), F.col(content).alias("content"))
@@ -33,12 +35,12 @@ def write_clean_text(
     if layout == "table":
         rows.write.mode("errorifexists").parquet(path)
     elif layout == "files":
-        _write_files(rows, path)
+        _write_files(rows, path, folders)
     else:
         raise ValueError(f"layout must be 'table' or 'files': {layout!r}")
 
 
-def _write_files(rows: DataFrame, path: str) -> None:
+def _write_files(rows: DataFrame, path: str, folders: int) -> None:
     name = F.col("filename")
     bad = rows.groupBy("filename").count().where(
         name.isNull() | name.rlike(r"^[._]?$|/") | name.isin("..") | (F.col("count") > 1)
@@ -53,10 +55,15 @@ def _write_files(rows: DataFrame, path: str) -> None:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow.fs import FileSystem
 
-        files, folder = FileSystem.from_uri(target)
-        files.create_dir(folder, recursive=True)
+        files, top = FileSystem.from_uri(target)
+        files.create_dir(top, recursive=True)
+        made = {""}
         for batch in batches:
-            for file_name, text in zip(batch["filename"], batch["content"]):
+            for file_name, text, inner in zip(batch["filename"], batch["content"], batch["folder"]):
+                folder = f"{top}/{inner}" if inner else top
+                if inner not in made:
+                    files.create_dir(folder, recursive=True)
+                    made.add(inner)
                 # complete under a hidden name first, so that a repeated task leaves no half file
                 draft = f"{folder}/.{uuid.uuid4().hex}"
                 with files.open_output_stream(draft) as out:
@@ -64,4 +71,5 @@ def _write_files(rows: DataFrame, path: str) -> None:
                 files.move(draft, f"{folder}/{file_name}")
             yield pd.DataFrame({"n": [len(batch)]})
 
-    rows.mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    number = F.pmod(F.xxhash64("filename"), F.lit(folders)).cast("string") if folders else F.lit("")
+    rows.withColumn("folder", number).mapInPandas(run, "n long").agg(F.sum("n")).collect()

@@ -88,11 +88,15 @@ def text_sink(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# folders that the files of documents are dealt to
+_FOLDERS = 256
+
+
 def _written(spark, sf_dir):
-    """The documents as one text file each, in a folder of the shared place."""
+    """The documents as one text file each, in folders of the shared place."""
     path = scratch_path(spark, "text-files")
     docs = load(spark, sf_dir, "documents").withColumn("name", F.concat("doc_id", F.lit(".TXT")))
-    write_clean_text(docs, path, filename="name", content="text", layout="files")
+    write_clean_text(docs, path, filename="name", content="text", layout="files", folders=_FOLDERS)
     return path
 
 

@@ -224,3 +224,11 @@ def test_a_large_load_has_more_tasks_than_buckets(spark, name, monkeypatch):
         done = upsert_table(spark, name, rows, "k", None, parts=3, buckets=2)
     assert (done.written, done.replaced) == (3000, 3000)
     assert sorted(map(tuple, read_table(spark, name).collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_text_files_in_folders(spark, tmp_path):
+    """So many files that one folder would be too large are dealt to several, with the same names and texts."""
+    rows = [(f"{i}.txt", f"text {i}") for i in range(100)]
+    write_clean_text(spark.createDataFrame(rows, "filename string, content string"), str(tmp_path / "f"), layout="files", folders=4)
+    assert sorted(os.listdir(tmp_path / "f")) == ["0", "1", "2", "3"]
+    assert sorted((r.filename, r.content) for r in scan_text_files(spark, str(tmp_path / "f")).collect()) == sorted(rows)

@@ -1,4 +1,7 @@
+import pytest
+
 from corpusmill.session import scratch_path, shared_dir
+from corpusmill.sources import files
 from corpusmill.sources.files import (
     TASK_BYTES, accepted, scan_documents, scan_tasks, scan_text_files, url_manifest, validate_manifest,
 )
@@ -111,3 +114,61 @@ def test_small_files_share_a_task(spark, tmp_path):
     named = scan_documents(spark, str(tmp_path)).select("filename", "length")
     assert "content" not in named._jdf.queryExecution().executedPlan().toString().lower().replace("binaryfile", "")
     assert scan_tasks(spark, 10 * TASK_BYTES, 20) == 10 and scan_tasks(spark, 0, 0) == 1
+
+
+def test_no_names_of_files_in_the_driver(spark, tmp_path):
+    """Tasks list the files: a plan holds the files of the list, not one entry for each file that is scanned."""
+    for i in range(300):
+        (tmp_path / f"{i}.txt").write_text("text")
+    scan = scan_documents(spark, str(tmp_path))
+    assert len(scan.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism and scan.count() == 300
+
+
+def test_lists_are_those_of_the_file_scan(spark, tmp_path):
+    """Odd names, hidden ones, empty files, links and depths, with and without patterns, as Spark's own scan has them."""
+    for name in (
+        "one.txt", "a b%20c.TXT", "é.txt", "_hidden.txt", "_k=v.txt", ".dot.txt", "x._COPYING_", "_metadata.txt", "noending",
+        "_gone/a.txt", "_metadata_x/b.txt", "k=1/c.txt", "d/e/f/g/h.txt", "d/e/i.csv", "d/.j/k.txt", "line\nend.txt",
+    ):
+        place = tmp_path / "in" / name
+        place.parent.mkdir(parents=True, exist_ok=True)
+        place.write_text(f"text of {name}")
+    (tmp_path / "in" / "empty.txt").write_text("")
+    (tmp_path / "in" / "nothing").mkdir()
+    (tmp_path / "far").mkdir()
+    (tmp_path / "far" / "l.txt").write_text("linked")
+    (tmp_path / "in" / "link").symlink_to(tmp_path / "far")
+    (tmp_path / "in" / "m.txt").symlink_to(tmp_path / "far" / "l.txt")
+    (tmp_path / "in" / "broken.txt").symlink_to(tmp_path / "none")
+    folder = str(tmp_path / "in")
+    for path, glob in (
+        (folder, None), (f"file:{folder}", "*.txt"), (folder, "{?,noending}*[!v]"), (f"{folder}/*/e", None), (f"{folder}/*.txt", None),
+        (f"{folder}/one.txt", None), (f"{folder}/nothing", None),
+    ):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        theirs = (reader.option("pathGlobFilter", glob) if glob else reader).load(path)
+        ours = scan_documents(spark, path, glob).select(theirs.columns)
+        assert ours.dtypes == theirs.dtypes and sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect())), (path, glob)
+    with pytest.raises(Exception, match="none"):
+        scan_documents(spark, str(tmp_path / "none"))
+
+
+def test_large_and_small_contents(spark, tmp_path, monkeypatch):
+    """Files leave a task in pieces bounded by bytes, each with the content of its own path."""
+    monkeypatch.setattr(files, "BYTES_AT_ONCE", 50)
+    monkeypatch.setattr(files, "NAMES_AT_ONCE", 7)
+    expected = {}
+    for i in range(60):
+        (tmp_path / str(i % 5)).mkdir(exist_ok=True)
+        expected[f"{i}.txt"] = f"{i}-" * (1 + 100 * (i % 7 == 0))
+        (tmp_path / str(i % 5) / f"{i}.txt").write_text(expected[f"{i}.txt"])
+    assert {r.filename: r.content for r in scan_text_files(spark, str(tmp_path)).coalesce(1).collect()} == expected
+
+
+def test_another_store_is_listed_by_spark(spark, tmp_path):
+    """Only mounted folders are walked by tasks."""
+    (tmp_path / "a.txt").write_text("text")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.own.link./in", f"file://{tmp_path}")
+    assert files.walkable(spark, str(tmp_path)) and not files.walkable(spark, "viewfs://own/in")
+    assert [(r.filename, r.content) for r in scan_text_files(spark, "viewfs://own/in").collect()] == [("a.txt", "text")]
