@@ -146,16 +146,27 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> tuple
     return spark.read.schema(found.schema).parquet(listed), counted.get["n_bytes"], counted.get["n"]
 
 
-def file_content(path: Column | str) -> Column:
-    """The bytes of the file at a path of :func:`list_files`."""
+def file_content(path: Column | str, under: str | None = None) -> Column:
+    """The bytes of the file at a path of :func:`list_files`.
+
+    A file that has gone since fails the task; with ``under``, it has NULL as long as that folder is there.
+    """
+
+    def content(name: str) -> bytes | None:
+        try:
+            with open(name.removeprefix("file:"), "rb") as file:
+                return file.read()
+        except FileNotFoundError:
+            if under is None or not os.path.isdir(under):
+                raise
+            return None
 
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             held, n_bytes = [], 0
             for name in batch.to_pylist():
-                with open(name.removeprefix("file:"), "rb") as file:
-                    held.append(file.read())
-                n_bytes += len(held[-1])
+                held.append(content(name))
+                n_bytes += len(held[-1] or b"")
                 if n_bytes >= BYTES_AT_ONCE:
                     yield pa.array(held, pa.binary())
                     held, n_bytes = [], 0

@@ -655,7 +655,8 @@ def arrivals(spark, sf_dir):
 
     def fill(name):
         for lot in (0, 1):
-            write_clean_text(docs.where(F.col("doc_id") % 2 == lot), f"{path}/{lot}", filename="name", content="text", layout="files")
+            part = docs.where(F.col("doc_id") % 2 == lot)
+            write_clean_text(part, f"{path}/{lot}", filename="name", content="text", layout="files", folders=_FOLDERS)
             totals.append(load_arrivals(spark, path, flow, name, checkpoint, "*.txt"))
 
     stored = from_table(spark, "arrivals", fill)
